@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .. import sqltext as sql
+
 # How a null cell reads when a mapping names it.
 _NULL_TEXT = "nan"
 
@@ -28,20 +30,19 @@ def compile_mapping(mapping: Mapping[str, str | None]) -> dict[str, str | None]:
     return resolved
 
 
-def map_values(c: Column, mapping: Mapping[str, str | None]) -> Column:
+def map_values(column: str, mapping: Mapping[str, str | None]) -> Column:
     """Replace whole values, ignoring case; values without an entry stay as they are."""
     lookup = compile_mapping(mapping)
     if not lookup:
-        return c
+        return F.col(column)
     by_target: dict[str | None, list[str]] = {}
     for source, target in lookup.items():
         by_target.setdefault(target, []).append(source)
-    key = F.lower(c.cast("string"))
-    out = None
-    for target, sources in by_target.items():
-        value = F.lit(target).cast("string")
-        hit = key.isin(*sources)
-        out = F.when(hit, value) if out is None else out.when(hit, value)
+    text = f"CAST({sql.name(column)} AS STRING)"
+    cases = [
+        (sql.in_list(f"lower({text})", sources), sql.literal(target))
+        for target, sources in by_target.items()
+    ]
     if lookup.get(_NULL_TEXT) is not None:
-        out = out.when(c.isNull(), F.lit(lookup[_NULL_TEXT]))
-    return out.otherwise(c.cast("string"))
+        cases.append((f"{text} IS NULL", sql.literal(lookup[_NULL_TEXT])))
+    return F.expr(sql.first_case(cases, text))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import sqltext as sql
 from ..specs import CHECK_KINDS, STRING, Check, TableSpec
 
 
@@ -25,10 +25,11 @@ class Constraint:
     def label(self) -> str:
         return f"{self.column}:{self.check.kind}"
 
-    def keep(self) -> Column:
-        c = F.col(self.column)
+    def keep(self) -> str:
+        """SQL predicate of the rows that stay."""
+        c = sql.name(self.column)
         holds = self.check.holds(c)
-        return holds | c.isNull() if self.null_ok else holds & c.isNotNull()
+        return f"{holds} OR {c} IS NULL" if self.null_ok else f"{holds} AND {c} IS NOT NULL"
 
 
 def constraints_for(
@@ -70,7 +71,7 @@ def present(df: DataFrame, constraints: Sequence[Constraint]) -> list[Constraint
 def apply_constraints(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """Drop the rows that break any constraint: one filter."""
     keeps = [c.keep() for c in present(df, constraints)]
-    return df.filter(reduce(lambda a, b: a & b, keeps)) if keeps else df
+    return df.filter(sql.all_of(keeps)) if keeps else df
 
 
 def first_broken(constraints: Sequence[Constraint]) -> Column:
@@ -79,32 +80,29 @@ def first_broken(constraints: Sequence[Constraint]) -> Column:
     Counting rows by this label gives what each rule would remove if the rules ran one after the
     other.
     """
-    out = None
-    for c in constraints:
-        # anything but a plain true drops the row, as in the filter
-        broken = ~F.coalesce(c.keep(), F.lit(False))
-        out = (F if out is None else out).when(broken, F.lit(c.label))
-    return F.lit(None).cast("string") if out is None else out
+    # anything but a plain true drops the row, as in the filter
+    return F.expr(sql.first_case(
+        [(f"({c.keep()}) IS NOT TRUE", sql.literal(c.label)) for c in constraints],
+        sql.literal(None),
+    ))
+
+
+def removed_counters(constraints: Sequence[Constraint], label: str) -> list[Column]:
+    """Aggregates ``removed_0 .. removed_n`` over the label column."""
+    return [
+        F.expr(f"count_if({label} = {sql.literal(c.label)}) AS removed_{i}")
+        for i, c in enumerate(constraints)
+    ]
 
 
 def drop_counts(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """FLT8: rows removed by each constraint, one pass, rules without losses included."""
     rules = present(df, constraints)
-    label = F.col("_broken")
     counts = df.select(first_broken(rules).alias("_broken")).agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        *[F.count_if(label == c.label).alias(f"removed_{i}") for i, c in enumerate(rules)],
+        F.count(F.lit(1)).alias("rows_in"), *removed_counters(rules, "_broken"),
     )
-    rows = [
-        F.struct(
-            F.lit(i + 1).alias("rule_number"), F.lit(c.column).alias("column_name"),
-            F.lit(c.check.kind).alias("rule"), F.col("rows_in"),
-            F.coalesce(F.col(f"removed_{i}"), F.lit(0)).cast("bigint").alias("rows_removed"),
-        )
+    return counts.selectExpr(sql.rows([
+        {"rule_number": str(i + 1), "column_name": sql.literal(c.column),
+         "rule": sql.literal(c.check.kind), "rows_in": "rows_in", "rows_removed": f"removed_{i}"}
         for i, c in enumerate(rules)
-    ]
-    if not rows:
-        return counts.selectExpr(
-            "0 as rule_number", "'' as column_name", "'' as rule", "rows_in", "0L as rows_removed"
-        ).limit(0)
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    ]))

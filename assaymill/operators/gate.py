@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from .profile import data_columns, null_counts
+from .. import sqltext as sql
+from .profile import data_columns, null_cells, null_counts
 
 GATE_COLUMNS = ("table_name", "rule", "column_name", "measured", "threshold", "passed")
 
 
-def _rule(table: str, rule: str, column: str | None, measured: Column, threshold: float) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-        F.lit(column).cast("string").alias("column_name"),
-        measured.cast("double").alias("measured"), F.lit(float(threshold)).alias("threshold"),
-        (measured <= threshold).alias("passed"),
-    )
+def _rule(table: str, rule: str, column: str | None, measured: str, threshold: float) -> dict[str, str]:
+    limit = sql.literal(float(threshold))
+    return {
+        "table_name": sql.literal(table), "rule": sql.literal(rule),
+        "column_name": sql.literal(column), "measured": f"CAST({measured} AS DOUBLE)",
+        "threshold": limit, "passed": f"{measured} <= {limit}",
+    }
 
 
 def key_gate(
@@ -35,10 +35,10 @@ def key_gate(
     rules = []
     for k in keys:
         missing = k not in names
-        rules.append(_rule(table, "missing_key_column", k, F.lit(int(missing)), 0))
+        rules.append(_rule(table, "missing_key_column", k, str(int(missing)), 0))
         if not missing:
-            rules.append(_rule(table, "null_key", k, F.col(f"nulls_{names.index(k)}"), 0))
-    return stats.select(F.explode(F.array(*rules)).alias("g")).select("g.*")
+            rules.append(_rule(table, "null_key", k, f"nulls_{names.index(k)}", 0))
+    return stats.selectExpr(sql.rows(rules))
 
 
 def null_ratio_gate(
@@ -49,10 +49,8 @@ def null_ratio_gate(
     names = data_columns(df)
     if stats is None:
         stats = df.agg(F.count(F.lit(1)).alias("row_count"), *null_counts(df))
-    nulls = reduce(lambda a, b: a + b, [F.col(f"nulls_{i}") for i in range(len(names))])
-    ratio = F.coalesce(F.try_divide(nulls, F.col("row_count") * len(names)), F.lit(0.0))
-    rule = _rule(table, "null_ratio", None, ratio, threshold)
-    return stats.select(F.explode(F.array(rule)).alias("g")).select("g.*")
+    ratio = f"coalesce(try_divide({null_cells(names)}, row_count * {len(names)}), CAST(0 AS DOUBLE))"
+    return stats.selectExpr(sql.rows([_rule(table, "null_ratio", None, ratio, threshold)]))
 
 
 def quality_gate(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import percentage
+from .. import sqltext as sql
+from ..local import local_table
 from ..plans.recipe import Recipe, apply_recipe, apply_step, trace_recipe
-from .constraints import first_broken, present
+from .constraints import first_broken, present, removed_counters
 from .dedup import duplicate_count
 from .profile import row_counts
 
@@ -33,27 +35,23 @@ def step_metrics(df: DataFrame, recipe: Recipe, deduplicate: bool = True) -> Dat
     label = first_broken(rules)
     stats = traced.select("*", label.alias("_broken")).agg(
         F.count(F.lit(1)).alias("rows_in"),
-        *[F.count_if(cond).alias(f"changed_{i}") for i, (_, _, cond) in enumerate(changed)],
-        *[F.count_if(F.col("_broken") == r.label).alias(f"removed_{i}")
-          for i, r in enumerate(rules)],
+        *[F.expr(f"count_if({cond}) AS changed_{i}") for i, (_, _, cond) in enumerate(changed)],
+        *removed_counters(rules, "_broken"),
     )
 
-    def row(number, name, column, rule, cells, removed) -> Column:
-        return F.struct(
-            F.lit(recipe.spec.name).alias("table_name"), F.lit(number).alias("step_number"),
-            F.lit(name).alias("step_name"), F.lit(column).cast("string").alias("column_name"),
-            F.lit(rule).cast("string").alias("rule"), F.col("rows_in"),
-            F.coalesce(cells, F.lit(0)).cast("bigint").alias("cells_changed"),
-            F.coalesce(removed, F.lit(0)).cast("bigint").alias("rows_removed"),
-        )
+    def row(number: int, step_name: str, column, rule, cells: str, removed: str) -> dict[str, str]:
+        return {
+            "table_name": sql.literal(recipe.spec.name), "step_number": str(number),
+            "step_name": sql.literal(step_name), "column_name": sql.literal(column),
+            "rule": sql.literal(rule), "rows_in": "rows_in", "cells_changed": cells,
+            "rows_removed": removed,
+        }
 
-    rows = [row(s.number, s.name, c, None, F.col(f"changed_{i}"), F.lit(0))
+    rows = [row(s.number, s.name, c, None, f"changed_{i}", "0L")
             for i, (s, c, _) in enumerate(changed)]
-    rows += [row(step.number, step.name, r.column, r.check.kind, F.lit(0), F.col(f"removed_{i}"))
+    rows += [row(step.number, step.name, r.column, r.check.kind, "0L", f"removed_{i}")
              for i, r in enumerate(rules)]
-    if not rows:
-        rows = [row(0, "none", None, None, F.lit(0), F.lit(0))]
-    out = stats.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+    out = stats.selectExpr(sql.rows(rows or [row(0, "none", None, None, "0L", "0L")]))
     dedup = recipe.step("duplicate_removal")
     if deduplicate and dedup:
         filtered = apply_recipe(df, recipe.without("duplicate_removal"))
@@ -84,22 +82,20 @@ def mapping_effects(df: DataFrame, recipe: Recipe) -> DataFrame:
         for c, m in (step.parameters["value_mappings"] if step else {}).items()
         if c in renamed.columns for old, new in m.items()
     ]
-    known = df.sparkSession.createDataFrame(
-        entries, "column_name string, key string, from_value string, to_value string"
+    known = local_table(
+        df.sparkSession, entries, "column_name string, key string, from_value string, to_value string"
     )
     columns = list(dict.fromkeys(e[0] for e in entries))
     if not columns:
         return known.select("column_name", "from_value", "to_value",
                             F.lit(0).cast("bigint").alias("rows_affected"))
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"),
-                 F.when(F.lower(F.col(c).cast("string")).isin(
-                     *[k for c2, k, _, _ in entries if c2 == c]),
-                     F.lower(F.col(c).cast("string"))).alias("key"))
-        for c in columns
-    ])
+    cells = []
+    for c in columns:
+        key = f"lower(CAST({sql.name(c)} AS STRING))"
+        known_key = sql.in_list(key, {k: None for c2, k, _, _ in entries if c2 == c})
+        cells.append({"column_name": sql.literal(c), "key": f"CASE WHEN {known_key} THEN {key} END"})
     hits = (
-        renamed.select(F.explode(cells).alias("c")).select("c.*")
+        renamed.selectExpr(sql.rows(cells))
         .filter(F.col("key").isNotNull())
         .groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("rows_affected"))
     )
@@ -146,8 +142,8 @@ def stage_delta(before: DataFrame, after: DataFrame, table: str) -> DataFrame:
 def column_mapping_effects(df: DataFrame, recipe: Recipe) -> DataFrame:
     """RPT17: every configured rename and whether the table has the column."""
     step = recipe.step("column_mapping")
-    return df.sparkSession.createDataFrame(
-        [(recipe.spec.name, old, new, old in df.columns)
+    return local_table(
+        df.sparkSession, [(recipe.spec.name, old, new, old in df.columns)
          for old, new in (step.parameters["column_mappings"] if step else {}).items()],
         "table_name string, from_column string, to_column string, applied boolean",
     )

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import sqltext as sql
 from .dedup import ROW_POSITION, default_order
 
 _FLOATS = ("double", "float")
@@ -18,55 +19,58 @@ def data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != ROW_POSITION]
 
 
-def is_missing(df: DataFrame, column: str) -> Column:
-    """FLT7: null, or NaN in a floating-point column."""
-    c = F.col(f"`{column}`")
-    return (c.isNull() | F.isnan(c)) if dict(df.dtypes)[column] in _FLOATS else c.isNull()
+def is_missing(column: str, data_type: str) -> str:
+    """FLT7, as SQL: null, or NaN in a floating-point column."""
+    c = sql.name(column)
+    return f"({c} IS NULL OR isnan({c}))" if data_type in _FLOATS else f"{c} IS NULL"
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
     """Aggregates ``nulls_0 .. nulls_n``, one per column, for use in a shared single pass."""
+    types = dict(df.dtypes)
     return [
-        F.count_if(is_missing(df, c)).alias(f"nulls_{i}")
+        F.expr(f"count_if({is_missing(c, types[c])}) AS nulls_{i}")
         for i, c in enumerate(columns or data_columns(df))
     ]
 
 
+def null_cells(columns: Sequence[str]) -> str:
+    """SQL sum of the counters of :func:`null_counts`."""
+    return " + ".join(f"nulls_{i}" for i in range(len(columns)))
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """AGG7: rows, nulls and share of nulls per column, one pass."""
     names = data_columns(df)
     stats = df.agg(F.count(F.lit(1)).alias("row_count"), *null_counts(df))
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"), F.col("row_count"),
-            F.col(f"nulls_{i}").alias("null_count"),
-            F.coalesce(F.try_divide(f"nulls_{i}", "row_count"), F.lit(0.0)).alias("null_ratio"),
-        )
+    return stats.selectExpr(sql.rows([
+        {"column_name": sql.literal(c), "row_count": "row_count", "null_count": f"nulls_{i}",
+         "null_ratio": f"coalesce(try_divide(nulls_{i}, row_count), CAST(0 AS DOUBLE))"}
         for i, c in enumerate(names)
-    ]
-    return stats.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+    ]))
 
 
 def null_ratio(df: DataFrame) -> DataFrame:
     """AGG8: one row, the share of null cells in the table; 0 for an empty table."""
     names = data_columns(df)
     stats = df.agg(F.count(F.lit(1)).alias("row_count"), *null_counts(df))
-    nulls = reduce(lambda a, b: a + b, [F.col(f"nulls_{i}") for i in range(len(names))])
-    return stats.select(
-        "row_count", nulls.alias("null_cells"),
-        F.coalesce(F.try_divide(nulls, F.col("row_count") * len(names)), F.lit(0.0))
-        .alias("null_ratio"),
+    return stats.selectExpr(
+        "row_count", f"{null_cells(names)} AS null_cells",
+        f"coalesce(try_divide({null_cells(names)}, row_count * {len(names)}), CAST(0 AS DOUBLE)) "
+        "AS null_ratio",
     )
 
 
+def _cells(columns: Sequence[str]) -> str:
+    return sql.array_of_structs([
+        {"column_name": sql.literal(c), "value": f"CAST({sql.name(c)} AS STRING)"} for c in columns
+    ])
+
+
 def value_census(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """AGG17: every distinct value of the given columns with its number of rows."""
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-        for c in columns
-    ])
     return (
-        df.select(F.explode(cells).alias("c")).select("c.*")
+        df.select(F.expr(f"inline({_cells(columns)})"))
         .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
     )
 
@@ -80,14 +84,9 @@ def sample_values(
     ``n`` rows per column.
     """
     order = F.struct(*default_order(df, order_by))
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-        for c in columns
-    ])
     window = Window.partitionBy("column_name").orderBy("_order")
     return (
-        df.select(order.alias("_order"), F.explode(cells).alias("c"))
-        .select("_order", "c.column_name", "c.value")
+        df.select(order.alias("_order"), F.expr(f"inline({_cells(columns)})"))
         .filter(F.col("value").isNotNull())
         .withColumn("value_rank", F.row_number().over(window))
         .filter(F.col("value_rank") <= n)

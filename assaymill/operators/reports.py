@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from .. import sqltext as sql
 from ..functions import (
     band, executive_status, first_match, severity, severity_priority, success_rate,
 )
@@ -36,34 +37,40 @@ def validation_events(
 ) -> DataFrame:
     """RPT1: the events of one validated table: at most one per rule, plus two."""
     stats = validation.stats() if stats is None else stats
-    ts = (F.current_timestamp() if event_ts is None else event_ts).cast("timestamp")
     counts = validation.rule_counts(stats)
-    broken = counts.filter(F.col("failed_cells") > 0)
-    head = [F.lit(run_id).alias("run_id"), ts.alias("event_ts")]
-    where = [F.lit(validation.spec.name).alias("table_name"),
-             F.lit(validation.stage).alias("stage")]
-    errors = broken.select(
-        *head, F.lit(_ERROR).alias("kind"), *where, "rule_number", "column_name", "check_name",
-        "error_type",
-        failure_message(F.coalesce("column_name", F.lit(validation.spec.name)), F.col("check_name"),
-                        F.concat(F.col("failed_cells").cast("string"), F.lit(" cases, e.g. "),
-                                 F.coalesce("example", F.lit("null")))).alias("error_message"),
-        F.col("example").alias("actual_value"), "failed_cells",
+    ts = (F.current_timestamp() if event_ts is None else event_ts).cast("timestamp")
+    where = {
+        "run_id": sql.literal(run_id), "table_name": sql.literal(validation.spec.name),
+        "stage": sql.literal(validation.stage),
+    }
+
+    def shaped(df: DataFrame, **fields: str) -> DataFrame:
+        given = {**where, **fields}
+        return df.withColumn("event_ts", ts).selectExpr(*[
+            f"CAST({given.get(n, 'NULL')} AS {t}) AS {n}" if n != "event_ts" else n
+            for n, t in (part.split() for part in EVENT_SCHEMA.split(","))
+        ])
+
+    message = failure_message(
+        f"coalesce(column_name, {where['table_name']})", "check_name",
+        "concat(failed_cells, ' cases, e.g. ', coalesce(example, 'null'))",
     )
+    same = {n: n for n in ("rule_number", "column_name", "check_name", "error_type",
+                           "failed_cells")}
+    broken = counts.filter("failed_cells > 0")
+    errors = shaped(broken, kind=sql.literal(_ERROR), error_message=message,
+                    actual_value="example", **same)
     # one row: rules broken and cells failed
-    verdict = broken.agg(F.count(F.lit(1)).alias("_rules"),
-                         F.coalesce(F.sum("failed_cells"), F.lit(0)).alias("failed_cells"))
-    result = validation.score(stats).drop("table_name", "stage").crossJoin(verdict).select(
-        *head, F.lit(_TABLE).alias("kind"), *where, "failed_cells", "total_rows", "valid_rows",
-        "invalid_rows", "data_quality_score", (F.col("_rules") == 0).alias("is_valid"),
-    )
-    success = result.filter("is_valid").withColumn("kind", F.lit(_SUCCESS))
-    out = (
-        errors.unionByName(result, allowMissingColumns=True)
-        .unionByName(success, allowMissingColumns=True)
+    verdict = broken.agg(F.expr("count(1) AS broken_rules"),
+                         F.expr("coalesce(sum(failed_cells), 0) AS failed_cells"))
+    result = validation.score(stats).crossJoin(verdict).withColumn(
+        "kind",  # a stage without errors also counts as a success
+        F.expr("explode(CASE WHEN broken_rules = 0 THEN array('table', 'success') "
+               "ELSE array('table') END)"),
     )
-    names = [part.strip().split(" ") for part in EVENT_SCHEMA.split(",")]
-    return out.select(*[F.col(n).cast(t).alias(n) for n, t in names])
+    measures = {n: n for n in ("kind", "failed_cells", "total_rows", "valid_rows", "invalid_rows",
+                               "data_quality_score")}
+    return errors.unionByName(shaped(result, is_valid="broken_rules = 0", **measures))
 
 
 def error_events(events: DataFrame) -> DataFrame:

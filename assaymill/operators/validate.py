@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import sqltext as sql
 from ..errors import ValidationFailed
 from ..functions import convert
+from ..local import local_table
 from ..specs import SHOWN_TYPES, SPARK_TYPES, STRING, TableSpec
 from .dedup import ROW_POSITION, duplicate_count
 from .profile import data_columns, is_missing
@@ -23,26 +24,22 @@ from .profile import data_columns, is_missing
 MISSING_COLUMN, EXTRA_COLUMN = "MissingColumn", "ExtraColumn"
 TYPE_MISMATCH, VALUE_ERROR = "TypeMismatch", "ValidationError"
 
-COUNT_SCHEMA = (
-    "rule_number int, table_name string, stage string, column_name string, check_name string, "
-    "error_type string, failed_cells bigint, example string"
-)
-
 
 @dataclass(frozen=True)
 class CellRule:
-    """A rule on single cells; ``failed`` is true or false for every row."""
+    """A rule on single cells; ``failed`` is an SQL predicate, true or false for every row."""
 
     column: str
     check_name: str
     error_type: str
-    failed: Column
+    failed: str
 
 
-def failure_message(column: Column, check: Column, value: Column) -> Column:
-    """VAL11."""
-    return F.format_string(
-        "Column '%s' failed check '%s': %s", column, check, F.coalesce(value, F.lit("null"))
+def failure_message(column: str, check: str, value: str) -> str:
+    """VAL11, as SQL over SQL operands."""
+    return (
+        f"concat('Column \\'', {column}, '\\' failed check \\'', {check}, '\\': ', "
+        f"coalesce({value}, 'null'))"
     )
 
 
@@ -60,31 +57,39 @@ class Validation:
             c.name for c in spec.columns
             if c.name in self._types and self._types[c.name] != SPARK_TYPES[c.type]
         ]
-        self.rules = self._cell_rules()
+        self.rules, self._typed = self._cell_rules()
 
     # --- rules ---------------------------------------------------------------------------------
 
-    def _cell_rules(self) -> list[CellRule]:
-        rules = []
+    def _cell_rules(self) -> tuple[list[CellRule], dict[str, Column]]:
+        """The rules, and the typed copies of columns that some of them look at."""
+        rules, typed = [], {}
         for c in self.spec.columns:
             if c.name not in self.columns or c.name in self.mistyped:
                 continue
-            cell, source = F.col(f"`{c.name}`"), self._types[c.name]
-            missing = is_missing(self.df, c.name)
-            value = cell
+            source = self._types[c.name]
+            missing = is_missing(c.name, source)
+            value = sql.name(c.name)
             if source != SPARK_TYPES[c.type]:
-                value = convert(cell, c.type, source)
+                copy = f"_typed_{c.name}"
+                typed[copy] = convert(F.col(f"`{c.name}`"), c.type, source)
+                value = sql.name(copy)
                 if c.type != STRING:  # VAL4: everything has a text form
                     rules.append(CellRule(
                         c.name, f"coerce_dtype('{SHOWN_TYPES[c.type]}')", TYPE_MISMATCH,
-                        ~missing & value.isNull(),
+                        f"NOT ({missing}) AND {value} IS NULL",
                     ))
             if not c.nullable:  # VAL5
                 rules.append(CellRule(c.name, "not_nullable", VALUE_ERROR, missing))
             for check in c.checks:  # VAL6, VAL7: nulls pass
-                broken = ~F.coalesce(check.holds(value), F.lit(True))
-                rules.append(CellRule(c.name, check.name, VALUE_ERROR, broken))
-        return rules
+                rules.append(CellRule(
+                    c.name, check.name, VALUE_ERROR, f"({check.holds(value)}) IS FALSE"
+                ))
+        return rules, typed
+
+    def prepared(self) -> DataFrame:
+        """The table with the typed copies its rules look at."""
+        return self.df.withColumns(self._typed) if self._typed else self.df
 
     def _static_findings(self) -> list[tuple[str, str, str, str]]:
         """(column, check, error type, example) of everything the schema alone tells."""
@@ -97,91 +102,82 @@ class Validation:
         ]
         return found
 
-    def any_failed(self) -> Column:
-        if not self.rules:
-            return F.lit(False)
-        return reduce(lambda a, b: a | b, [r.failed for r in self.rules])
+    def any_failed(self) -> str:
+        return sql.any_of([r.failed for r in self.rules])
 
     # --- counting --------------------------------------------------------------------------------
 
     def aggregates(self) -> list[Column]:
-        """Aggregates of a shared single pass; :meth:`rule_counts` reads them back."""
-        out = [
-            F.count(F.lit(1)).alias("total_rows"),
-            F.count_if(self.any_failed()).alias("invalid_rows"),
-        ]
+        """Aggregates over :meth:`prepared` for a shared single pass; :meth:`rule_counts` reads
+        them back."""
+        out = [f"count(1) AS total_rows", f"count_if({self.any_failed()}) AS invalid_rows"]
         for i, r in enumerate(self.rules):
-            out.append(F.count_if(r.failed).alias(f"failed_{i}"))
-            out.append(
-                F.min(F.when(r.failed, F.col(f"`{r.column}`").cast("string"))).alias(f"example_{i}")
-            )
+            example = f"CASE WHEN {r.failed} THEN CAST({sql.name(r.column)} AS STRING) END"
+            out.append(f"count_if({r.failed}) AS failed_{i}")
+            out.append(f"min({example}) AS example_{i}")
+        columns = [F.expr(e) for e in out]
         for i, t in enumerate(self.spec.table_checks):
             test = t.test(self.df)
             if isinstance(test, Column):
-                out.append(test.alias(f"table_check_{i}"))
-        return out
+                columns.append(test.alias(f"table_check_{i}"))
+        return columns
 
     def stats(self) -> DataFrame:
         """One row with the aggregates."""
-        return self.df.agg(*self.aggregates())
+        return self.prepared().agg(*self.aggregates())
+
+    def _count_row(self, number, column, check, error_type, failed, example) -> dict[str, str]:
+        return {
+            "rule_number": str(number), "table_name": sql.literal(self.spec.name),
+            "stage": sql.literal(self.stage), "column_name": sql.literal(column),
+            "check_name": sql.literal(check), "error_type": sql.literal(error_type),
+            "failed_cells": f"CAST({failed} AS BIGINT)", "example": example,
+        }
 
     def rule_counts(self, stats: DataFrame | None = None) -> DataFrame:
         """Every rule with the number of cells that fail it; rules without failures included."""
         stats = self.stats() if stats is None else stats
-        number = 0
-        rows = []
-
-        def row(column, check, error_type, failed, example) -> Column:
-            nonlocal number
-            number += 1
-            return F.struct(
-                F.lit(number).alias("rule_number"), F.lit(self.spec.name).alias("table_name"),
-                F.lit(self.stage).alias("stage"), F.lit(column).cast("string").alias("column_name"),
-                F.lit(check).alias("check_name"), F.lit(error_type).alias("error_type"),
-                failed.cast("bigint").alias("failed_cells"), example.cast("string").alias("example"),
-            )
-
-        for column, check, error_type, example in self._static_findings():
-            rows.append(row(column, check, error_type, F.lit(1), F.lit(example)))
-        for i, r in enumerate(self.rules):
-            rows.append(row(r.column, r.check_name, r.error_type,
-                            F.col(f"failed_{i}"), F.col(f"example_{i}")))
-        for i, t in enumerate(self.spec.table_checks):
-            if f"table_check_{i}" in stats.columns:  # VAL9
-                broken = ~F.coalesce(F.col(f"table_check_{i}"), F.lit(False))
-                rows.append(row(None, t.name, VALUE_ERROR, broken.cast("int"), F.lit(None)))
-        none = row(None, "", "", F.lit(0), F.lit(None))
-        out = (
-            stats.select(F.explode(F.array(*(rows or [none]))).alias("r")).select("r.*")
-        )
-        out = out if rows else out.limit(0)
-        for extra in self._counted_elsewhere():
-            number += 1
-            out = out.unionByName(
-                extra.select(
-                    F.lit(number).alias("rule_number"), F.lit(self.spec.name).alias("table_name"),
-                    F.lit(self.stage).alias("stage"), F.lit(None).cast("string").alias("column_name"),
-                    "check_name", F.lit(VALUE_ERROR).alias("error_type"), "failed_cells",
-                    F.lit(None).cast("string").alias("example"),
-                )
-            )
+        entries = [
+            (column, check, error_type, "1", sql.literal(example))
+            for column, check, error_type, example in self._static_findings()
+        ]
+        entries += [
+            (r.column, r.check_name, r.error_type, f"failed_{i}", f"example_{i}")
+            for i, r in enumerate(self.rules)
+        ]
+        entries += [  # VAL9
+            (None, t.name, VALUE_ERROR, f"int(table_check_{i} IS NOT TRUE)", sql.literal(None))
+            for i, t in enumerate(self.spec.table_checks) if f"table_check_{i}" in stats.columns
+        ]
+        parts = []
+        if entries:
+            parts.append(stats.selectExpr(sql.rows(
+                [self._count_row(n, *e) for n, e in enumerate(entries, 1)]
+            )))
+        for n, (check, counted) in enumerate(self._counted_elsewhere(), len(entries) + 1):
+            row = self._count_row(n, None, check, VALUE_ERROR, "failed_cells", sql.literal(None))
+            parts.append(counted.selectExpr(*[f"{e} AS {a}" for a, e in row.items()]))
+        if not parts:
+            row = self._count_row(0, None, "none", VALUE_ERROR, "0", sql.literal(None))
+            return stats.selectExpr(sql.rows([row])).limit(0)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
         return out
 
-    def _counted_elsewhere(self) -> list[DataFrame]:
+    def _counted_elsewhere(self) -> list[tuple[str, DataFrame]]:
         """Rules that need a shuffle: unique keys (VAL8) and row-valued table checks (VAL9)."""
         out = []
         key = self.spec.unique_key
         if key and all(k in self.columns for k in key):
-            out.append(duplicate_count(self.df, key).select(
-                F.lit(f"unique({list(key)})").alias("check_name"),
-                F.col("duplicate_rows").alias("failed_cells"),
+            out.append((
+                f"unique({list(key)})",
+                duplicate_count(self.df, key).withColumnRenamed("duplicate_rows", "failed_cells"),
             ))
         for t in self.spec.table_checks:
             test = t.test(self.df)
             if isinstance(test, DataFrame):
-                out.append(test.agg(F.count(F.lit(1)).alias("failed_cells")).select(
-                    F.lit(t.name).alias("check_name"), "failed_cells"
-                ))
+                out.append((t.name, test.agg(F.count(F.lit(1)).alias("failed_cells"))))
         return out
 
     # --- failing cells -----------------------------------------------------------------------------
@@ -189,7 +185,7 @@ class Validation:
     def failures(
         self, row_id: Column | str | None = None, limit_per_rule: int | None = None,
     ) -> DataFrame:
-        """VAL10, VAL11: one row per failing cell.
+        """VAL10, VAL11: one row per failing cell, and one per finding about the schema.
 
         ``row_id`` says where the row is (by default its source position). With ``limit_per_rule``
         only the first cells of each rule are kept (TOP4); the limit is applied before the shuffle.
@@ -198,43 +194,42 @@ class Validation:
             has_position = ROW_POSITION in self.df.columns
             row_id = ROW_POSITION if has_position else F.lit(None).cast("string")
         order = F.col(row_id) if isinstance(row_id, str) else row_id
-        cells = [
-            F.when(r.failed, F.struct(
-                F.lit(r.column).alias("column_name"), F.lit(r.check_name).alias("check_name"),
-                F.lit(r.error_type).alias("error_type"),
-                F.col(f"`{r.column}`").cast("string").alias("failure_case"),
-            ))
+        fields = [
+            (r.failed, {
+                "column_name": sql.literal(r.column), "check_name": sql.literal(r.check_name),
+                "error_type": sql.literal(r.error_type),
+                "failure_case": f"CAST({sql.name(r.column)} AS STRING)",
+            })
             for r in self.rules
         ]
-        if not cells:
-            cells = [F.lit(None).cast(
-                "struct<column_name:string,check_name:string,error_type:string,failure_case:string>"
-            )]
+        if not fields:
+            fields = [("false", {k: sql.literal(None) for k in
+                                 ("column_name", "check_name", "error_type", "failure_case")})]
+        cells = ", ".join(f"CASE WHEN {f} THEN {sql.struct(s)} END" for f, s in fields)
         out = (
-            self.df.filter(self.any_failed())
-            .select(order.alias("_order"), F.explode(F.array(*cells)).alias("f"))
-            .filter(F.col("f").isNotNull())
-            .select("_order", "f.*")
+            # rows without a failure leave before anything is built for them
+            self.prepared().filter(self.any_failed())
+            .select(order.alias("row_id"), F.expr(f"explode(array({cells})) AS f"))
+            .filter("f IS NOT NULL")
+            .select("row_id", "f.*")
         )
         if limit_per_rule is not None:
-            window = Window.partitionBy("column_name", "check_name").orderBy("_order")
+            window = Window.partitionBy("column_name", "check_name").orderBy("row_id")
             out = (
                 out.withColumn("_n", F.row_number().over(window))
                 .filter(F.col("_n") <= limit_per_rule).drop("_n")
             )
         found = self._static_findings()
         if found:
-            static = self.df.sparkSession.createDataFrame(
-                found,
+            static = local_table(
+                self.df.sparkSession, found,
                 "column_name string, check_name string, error_type string, failure_case string",
             )
             out = out.unionByName(static, allowMissingColumns=True)
-        return out.select(
-            F.lit(self.spec.name).alias("table_name"), F.lit(self.stage).alias("stage"),
-            F.col("_order").alias("row_id"),
-            "column_name", "check_name", "error_type", "failure_case",
-            failure_message(F.col("column_name"), F.col("check_name"), F.col("failure_case"))
-            .alias("error_message"),
+        return out.selectExpr(
+            f"{sql.literal(self.spec.name)} AS table_name", f"{sql.literal(self.stage)} AS stage",
+            "row_id", "column_name", "check_name", "error_type", "failure_case",
+            failure_message("column_name", "check_name", "failure_case") + " AS error_message",
         )
 
     # --- verdicts -----------------------------------------------------------------------------------
@@ -243,62 +238,60 @@ class Validation:
         """VAL12, VAL13, SET2: one row per column of the spec or the table."""
         counts = self.rule_counts() if counts is None else counts
         by_column = (
-            counts.filter(F.col("column_name").isNotNull() & (F.col("failed_cells") > 0))
+            counts.filter("column_name IS NOT NULL AND failed_cells > 0")
             .groupBy("column_name")
             .agg(
-                F.sum("failed_cells").alias("error_count"),
-                F.min_by(F.struct("error_type", "check_name", "example"), "rule_number")
-                .alias("first"),
-                F.array_sort(F.collect_list(F.struct(
-                    "rule_number", "check_name", "failed_cells", "example"))).alias("details"),
+                F.expr("sum(failed_cells) AS cells"),
+                F.expr("min_by(struct(error_type, check_name, example), rule_number) AS first"),
+                # at most one entry per rule of the column
+                F.expr("array_sort(collect_list(struct(rule_number, check_name, failed_cells, "
+                       "example))) AS details"),
             )
         )
-        spark = self.df.sparkSession
-        known = spark.createDataFrame(
-            [(c, c in self.missing, c in self.extra) for c in [*self.spec.names, *self.extra]],
-            "column_name string, is_missing boolean, is_extra boolean",
+        known = local_table(
+            self.df.sparkSession,
+            [(c, "missing" if c in self.missing else "extra" if c in self.extra else "there")
+             for c in [*self.spec.names, *self.extra]],
+            "column_name string, presence string",
         )
-        name, first = F.col("column_name"), F.col("first")
-        failed = F.col("error_count").isNotNull()
-        return known.join(by_column, "column_name", "left").select(
-            F.lit(self.spec.name).alias("table_name"), name,
-            (~failed & ~F.col("is_missing") & ~F.col("is_extra")).alias("is_valid"),
-            F.when(F.col("is_extra") | F.col("is_missing"), F.lit(1))
-            .otherwise(F.coalesce("error_count", F.lit(0))).cast("bigint").alias("error_count"),
-            F.when(F.col("is_missing"), F.lit(MISSING_COLUMN))
-            .when(F.col("is_extra"), F.lit(EXTRA_COLUMN))
-            .when(failed, first["error_type"]).alias("error_type"),
-            F.when(F.col("is_missing"),
-                   F.concat(F.lit("Column '"), name, F.lit("' not found in dataframe")))
-            .when(F.col("is_extra"),
-                  F.concat(F.lit("Unexpected column '"), name, F.lit("' found in dataframe")))
-            .when(failed, failure_message(name, first["check_name"], first["example"]))
-            .alias("error_message"),
-            F.when(F.col("is_missing") | F.col("is_extra"), F.lit("ColumnExists"))
-            .when(failed, first["check_name"]).alias("check_name"),
-            F.when(F.col("is_missing"), F.lit("COLUMN_MISSING"))
-            .when(F.col("is_extra"), F.lit("EXTRA_COLUMN"))
-            .when(failed, F.lit("VALIDATION_FAILED")).otherwise(F.lit("SUCCESS"))
-            .alias("error_code"),
+
+        def verdict(missing: str, extra: str, failed: str, valid: str, alias: str) -> str:
+            return (f"CASE presence WHEN 'missing' THEN {missing} WHEN 'extra' THEN {extra} "
+                    f"ELSE CASE WHEN cells > 0 THEN {failed} ELSE {valid} END END AS {alias}")
+
+        none = sql.literal(None)
+        return known.join(by_column, "column_name", "left").selectExpr(
+            f"{sql.literal(self.spec.name)} AS table_name", "column_name",
+            verdict("false", "false", "false", "true", "is_valid"),
+            verdict("1L", "1L", "cells", "0L", "error_count"),
+            verdict(f"'{MISSING_COLUMN}'", f"'{EXTRA_COLUMN}'", "first.error_type", none,
+                    "error_type"),
+            verdict("concat('Column \\'', column_name, '\\' not found in dataframe')",
+                    "concat('Unexpected column \\'', column_name, '\\' found in dataframe')",
+                    failure_message("column_name", "first.check_name", "first.example"), none,
+                    "error_message"),
+            verdict("'ColumnExists'", "'ColumnExists'", "first.check_name", none, "check_name"),
+            verdict("'COLUMN_MISSING'", "'EXTRA_COLUMN'", "'VALIDATION_FAILED'", "'SUCCESS'",
+                    "error_code"),
             "details",
         )
 
     def score(self, stats: DataFrame | None = None) -> DataFrame:
         """VAL18: rows, valid rows, invalid rows and the share of valid ones, measured."""
         stats = self.stats() if stats is None else stats
-        valid = F.col("total_rows") - F.col("invalid_rows")
-        return stats.select(
-            F.lit(self.spec.name).alias("table_name"), F.lit(self.stage).alias("stage"),
-            "total_rows", valid.alias("valid_rows"), "invalid_rows",
-            F.coalesce(F.try_divide(valid, "total_rows") * 100, F.lit(100.0))
-            .alias("data_quality_score"),
+        valid = "total_rows - invalid_rows"
+        return stats.selectExpr(
+            f"{sql.literal(self.spec.name)} AS table_name", f"{sql.literal(self.stage)} AS stage",
+            "total_rows", f"{valid} AS valid_rows", "invalid_rows",
+            f"coalesce(try_divide({valid}, total_rows) * 100, CAST(100 AS DOUBLE)) "
+            "AS data_quality_score",
         )
 
     def raise_if_failed(self, counts: DataFrame | None = None) -> None:
         """VAL16: action; stops the run when any rule fails."""
         counts = self.rule_counts() if counts is None else counts
         # at most one row per rule of the spec
-        broken = counts.filter(F.col("failed_cells") > 0).orderBy("rule_number").collect()
+        broken = counts.filter("failed_cells > 0").orderBy("rule_number").collect()
         if broken:
             shown = "; ".join(
                 f"{r['column_name'] or self.spec.name}: {r['check_name']} ({r['failed_cells']})"
@@ -311,7 +304,9 @@ def validate(df: DataFrame, spec: TableSpec, stage: str = "validation") -> Valid
     return Validation(df, spec, stage)
 
 
-def first_errors(failures: DataFrame, n: int = 10, by: Sequence[str] = ("table_name", "stage")) -> DataFrame:
+def first_errors(
+    failures: DataFrame, n: int = 10, by: Sequence[str] = ("table_name", "stage"),
+) -> DataFrame:
     """TOP4: the first ``n`` failing cells per group; the limit is applied before the shuffle."""
     window = Window.partitionBy(*by).orderBy("row_id", "column_name", "check_name")
     return (

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,12 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from ..config import default_config
 from ..errors import AssayError, ExtractionError, GateFailed, PlanError
+from ..local import local_table, measured
 from ..operators.gate import gate_passed, key_gate, null_ratio_gate
 from ..operators.merge import merge_tables, orphan_counts
 from ..operators.metrics import STEP_SCHEMA, mapping_effects, step_metrics, with_rates
 from ..operators.profile import null_counts
-from ..operators.reports import AFTER_CLEANING, EVENT_SCHEMA, build_reports, validation_events
+from ..operators.reports import AFTER_CLEANING, build_reports, validation_events
 from ..operators.skew import hot_key_hashes
 from ..operators.summary import summarise
 from ..operators.validate import validate
@@ -105,7 +107,7 @@ class Pipeline:
         before = {s.name: validate(renamed[s.name], s, BEFORE_CLEANING) for s in INPUTS}
         # one pass per raw table measures the gate and the validation before cleaning
         stats = {
-            n: self._measured(v.df.agg(*v.aggregates(), *null_counts(v.df),
+            n: measured(v.prepared().agg(*v.aggregates(), *null_counts(v.df),
                                        F.count(F.lit(1)).alias("row_count")))
             for n, v in before.items()
         }
@@ -121,7 +123,7 @@ class Pipeline:
         }
         result.tables.update(cleaned)
         after = {s.name: validate(cleaned[s.name], s, AFTER_CLEANING) for s in INPUTS}
-        stats_after = {n: self._measured(v.stats()) for n, v in after.items()}
+        stats_after = {n: measured(v.stats()) for n, v in after.items()}
 
         subjects = cleaned["subjects"]
         project_keys = [k for k in fixed.PROJECT_KEYS
@@ -135,7 +137,7 @@ class Pipeline:
             "merged",
         )
         check = validate(merged, MERGED, AFTER_CLEANING)
-        stats_after["merged"] = self._measured(check.stats())
+        stats_after["merged"] = measured(check.stats())
         check.raise_if_failed(check.rule_counts(stats_after["merged"]))
         after["merged"] = check
         result.tables["merged"] = merged
@@ -144,7 +146,7 @@ class Pipeline:
         summary = staging.put(summarise(merged, keys, ordered=False), "summary")
         result.tables["summary"] = summary
         after["summary"] = validate(summary, SUMMARY, AFTER_CLEANING)
-        stats_after["summary"] = self._measured(after["summary"].stats())
+        stats_after["summary"] = measured(after["summary"].stats())
 
         files = self.config.get("files") or {}
         if write:
@@ -175,10 +177,6 @@ class Pipeline:
         except Exception as e:  # a malformed record surfaces when the scan runs
             raise ExtractionError(f"Failed to extract {name}: {str(e).splitlines()[0]}") from e
 
-    def _measured(self, stats: DataFrame) -> DataFrame:
-        """Run a one-row aggregate and hold the row as a local table."""
-        return self.spark.createDataFrame(stats.collect(), stats.schema)
-
     def _gate(self, tables: Mapping[str, DataFrame], stats: Mapping[str, DataFrame]) -> DataFrame:
         return (
             key_gate(tables["projects"], "projects", fixed.PROJECT_KEYS, stats["projects"])
@@ -189,14 +187,14 @@ class Pipeline:
     def _events(self, run_id, before, stats, after, stats_after) -> DataFrame:
         parts = [validation_events(v, run_id, stats[n]) for n, v in before.items()]
         parts += [validation_events(v, run_id, stats_after[n]) for n, v in after.items()]
-        rows = [row for p in parts for row in p.collect()]  # at most one per rule, plus two
-        return self.spark.createDataFrame(rows, EVENT_SCHEMA)
+        # at most one per rule, plus two per validation
+        return measured(reduce(lambda a, b: a.unionByName(b), parts))
 
     def _metrics(self, raw, cleaned, stats, stats_after) -> dict[str, DataFrame]:
         rows_in = {n: s.first()["total_rows"] for n, s in stats.items()}
         rows_out = {n: s.first()["total_rows"] for n, s in stats_after.items()}
-        counts = self.spark.createDataFrame(
-            [(n, rows_in.get(n), rows_out[n]) for n in rows_out],
+        counts = local_table(
+            self.spark, [(n, rows_in.get(n), rows_out[n]) for n in rows_out],
             "table_name string, input_rows bigint, output_rows bigint",
         )
         steps = []
@@ -211,7 +209,7 @@ class Pipeline:
                               left - rows_out[name]))
         return {
             "table_metrics": with_rates(counts),
-            "step_metrics": self.spark.createDataFrame(steps, STEP_SCHEMA),
+            "step_metrics": local_table(self.spark, steps, STEP_SCHEMA),
             "value_mappings": mapping_effects(raw["results"], self.recipes["results"]),
             "orphans": orphan_counts(cleaned["projects"], cleaned["subjects"], cleaned["results"]),
         }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as fixed
+from .. import sqltext as sql
 from ..errors import ExtractionError
 from ..operators.dedup import ROW_POSITION
 
@@ -21,7 +22,8 @@ def with_na_tokens_as_null(df: DataFrame, tokens: Sequence[str] = fixed.NA_TOKEN
     """SRC6: texts that mean "no value" become null in every text column, in one projection."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({
-        c: F.when(~F.col(f"`{c}`").isin(*tokens), F.col(f"`{c}`")) for c in texts
+        c: F.expr(f"CASE WHEN NOT {sql.in_list(sql.name(c), tokens)} THEN {sql.name(c)} END")
+        for c in texts
     }) if texts and tokens else df
 
 

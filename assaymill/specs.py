@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
+from . import sqltext as sql
+from .local import local_table
 
 STRING, DOUBLE, LONG, TIMESTAMP = "string", "double", "long", "timestamp"
 SPARK_TYPES = {STRING: "string", DOUBLE: "double", LONG: "bigint", TIMESTAMP: "timestamp_ntz"}
@@ -40,22 +42,15 @@ class Check:
         }
         return f"{names[self.kind]}({shown})"
 
-    def holds(self, c: Column) -> Column:
-        """True / false for a value, null for a null."""
+    def holds(self, operand: str) -> str:
+        """SQL predicate: true / false for a value, null for a null."""
         if self.kind == "allowed_values":
-            return c.isin(*self.value)
-        if self.kind == "min_value":
-            return c >= self.value
-        if self.kind == "max_value":
-            return c <= self.value
-        if self.kind == "greater_than":
-            return c > self.value
-        if self.kind == "less_than":
-            return c < self.value
-        raise ValueError(f"Unsupported check: {self.kind}")
+            return sql.in_list(operand, self.value)
+        return f"{operand} {_OPERATORS[self.kind]} {sql.literal(self.value)}"
 
 
-CHECK_KINDS = ("allowed_values", "min_value", "max_value", "greater_than", "less_than")
+_OPERATORS = {"min_value": ">=", "max_value": "<=", "greater_than": ">", "less_than": "<"}
+CHECK_KINDS = ("allowed_values", *_OPERATORS)
 
 
 def at_least(value) -> Check:
@@ -196,8 +191,8 @@ def spec_frame(spark: SparkSession, *specs: TableSpec) -> DataFrame:
         for s in (specs or tuple(SPECS.values()))
         for i, c in enumerate(s.columns)
     ]
-    return spark.createDataFrame(
-        rows,
+    return local_table(
+        spark, rows,
         "table_name string, position int, column_name string, data_type string, nullable boolean, "
         "checks array<string>, description string",
     )
@@ -221,6 +216,6 @@ def spec_lint(spark: SparkSession, *specs: TableSpec) -> DataFrame:
             elif c.type in (DOUBLE, LONG) and c.name not in _LINT_EXEMPT_NUMBERS:
                 rows.append((s.name, c.name, "range_validation",
                              "Consider adding min/max value constraints"))
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, rule_type string, suggestion string"
+    return local_table(
+        spark, rows, "table_name string, column_name string, rule_type string, suggestion string"
     ).orderBy(F.col("table_name"), F.col("column_name"))
