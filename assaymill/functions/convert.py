@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from ..specs import DOUBLE, LONG, STRING, TIMESTAMP
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|(?i)^\s*[+-]?inf(inity)?\s*$"
+# Plain numbers only: a cast to double would also read 0.5d, 1f, 0x1p3 and NaN.
+_NUMBER = (r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+           r"|^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$")
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 # A day-first date (5/1/2023, 05-01-2023 10:20, 5.1.2023 ...) at the start of the text.
 _DAY_FIRST = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
-_YEAR_FIRST_SLASH = r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})"
 
 
 def null_if_nan(c: Column) -> Column:
@@ -28,7 +29,7 @@ def null_if_nan(c: Column) -> Column:
 def to_double(c: Column, source_type: str = "string") -> Column:
     """PRJ9: text to double; anything else than a plain number is null."""
     if source_type == "string":
-        return F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
+        return F.when(c.rlike(_NUMBER), c.try_cast("double"))
     return null_if_nan(c.try_cast("double"))
 
 
@@ -38,7 +39,7 @@ def to_long(c: Column, source_type: str = "string") -> Column:
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
     if source_type == "string":
         # digits only: straight to bigint, which keeps values above 2**53 exact
-        return F.when(c.rlike(_WHOLE), F.trim(c).try_cast("bigint")).otherwise(whole)
+        return F.when(c.rlike(_WHOLE), c.try_cast("bigint")).otherwise(whole)
     if source_type in ("double", "float") or source_type.startswith("decimal"):
         return whole
     return c.try_cast("bigint")
@@ -65,12 +66,15 @@ def to_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column:
     """PRJ11: text to a zone-less timestamp, day first, each value on its own.
 
     By default ISO dates and day-first dates with ``/ - .`` are read, each with an optional time:
-    one rewrite puts the date into ISO order and one ``try_cast`` parses it. With ``formats`` the
+    what is not in ISO order is rewritten to it, and one ``try_cast`` parses the result. With ``formats`` the
     given patterns are tried in order instead; a pattern is only tried on texts of its shape.
     """
     if formats is None:
-        iso = F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1")
-        iso = F.regexp_replace(iso, _YEAR_FIRST_SLASH, "$1-$2-$3")
+        iso = (
+            F.when(c.like("____-%"), c)
+            .when(c.like("____/%"), F.translate(c, "/", "-"))
+            .otherwise(F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1"))
+        )
         return iso.try_cast("timestamp_ntz")
     text = F.trim(c)
     tries = [

@@ -35,42 +35,47 @@ def validation_events(
     validation: Validation, run_id: str, stats: DataFrame | None = None,
     event_ts: Column | None = None,
 ) -> DataFrame:
-    """RPT1: the events of one validated table: at most one per rule, plus two."""
+    """RPT1: the events of one validated table, at most one per rule plus two, all read off the
+    one row of counts."""
     stats = validation.stats() if stats is None else stats
-    counts = validation.rule_counts(stats)
-    ts = (F.current_timestamp() if event_ts is None else event_ts).cast("timestamp")
-    where = {
-        "run_id": sql.literal(run_id), "table_name": sql.literal(validation.spec.name),
-        "stage": sql.literal(validation.stage),
+    schema = [part.split() for part in EVENT_SCHEMA.split(",")]
+    table = sql.literal(validation.spec.name)
+    entries = validation.entries()
+    cells = " + ".join(f"CAST({e[3]} AS BIGINT)" for e in entries) or "0"
+    broken = " + ".join(f"int({e[3]} > 0)" for e in entries) or "0"
+
+    def event(condition: str, kind: str, **fields: str) -> str:
+        given = {"run_id": sql.literal(run_id), "event_ts": "_ts", "kind": sql.literal(kind),
+                 "table_name": table, "stage": sql.literal(validation.stage), **fields}
+        row = sql.struct({n: f"CAST({given.get(n, 'NULL')} AS {t})" for n, t in schema})
+        return f"CASE WHEN {condition} THEN {row} END"
+
+    events = []
+    for n, (column, check, error_type, failed, example) in enumerate(entries, 1):
+        message = failure_message(
+            sql.literal(column or validation.spec.name), sql.literal(check),
+            f"concat({failed}, ' cases, e.g. ', coalesce({example}, 'null'))",
+        )
+        events.append(event(
+            f"{failed} > 0", _ERROR, rule_number=str(n), column_name=sql.literal(column),
+            check_name=sql.literal(check), error_type=sql.literal(error_type),
+            error_message=message, actual_value=example, failed_cells=failed,
+        ))
+    result = {
+        "failed_cells": cells, "total_rows": "total_rows", "invalid_rows": "invalid_rows",
+        "valid_rows": "total_rows - invalid_rows", "is_valid": f"({broken}) = 0",
+        "data_quality_score":
+            "coalesce(try_divide(total_rows - invalid_rows, total_rows) * 100, 100)",
     }
-
-    def shaped(df: DataFrame, **fields: str) -> DataFrame:
-        given = {**where, **fields}
-        return df.withColumn("event_ts", ts).selectExpr(*[
-            f"CAST({given.get(n, 'NULL')} AS {t}) AS {n}" if n != "event_ts" else n
-            for n, t in (part.split() for part in EVENT_SCHEMA.split(","))
-        ])
-
-    message = failure_message(
-        f"coalesce(column_name, {where['table_name']})", "check_name",
-        "concat(failed_cells, ' cases, e.g. ', coalesce(example, 'null'))",
-    )
-    same = {n: n for n in ("rule_number", "column_name", "check_name", "error_type",
-                           "failed_cells")}
-    broken = counts.filter("failed_cells > 0")
-    errors = shaped(broken, kind=sql.literal(_ERROR), error_message=message,
-                    actual_value="example", **same)
-    # one row: rules broken and cells failed
-    verdict = broken.agg(F.expr("count(1) AS broken_rules"),
-                         F.expr("coalesce(sum(failed_cells), 0) AS failed_cells"))
-    result = validation.score(stats).crossJoin(verdict).withColumn(
-        "kind",  # a stage without errors also counts as a success
-        F.expr("explode(CASE WHEN broken_rules = 0 THEN array('table', 'success') "
-               "ELSE array('table') END)"),
+    events.append(event("true", _TABLE, **result))
+    # a stage without errors also counts as a success
+    events.append(event(f"({broken}) = 0", _SUCCESS, **result))
+    ts = (F.current_timestamp() if event_ts is None else event_ts).cast("timestamp")
+    return (
+        stats.withColumn("_ts", ts)
+        .select(F.expr(f"explode(array({', '.join(events)})) AS e"))
+        .filter("e IS NOT NULL").select("e.*")
     )
-    measures = {n: n for n in ("kind", "failed_cells", "total_rows", "valid_rows", "invalid_rows",
-                               "data_quality_score")}
-    return errors.unionByName(shaped(result, is_valid="broken_rules = 0", **measures))
 
 
 def error_events(events: DataFrame) -> DataFrame:

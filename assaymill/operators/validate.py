@@ -18,6 +18,7 @@ from ..errors import ValidationFailed
 from ..functions import convert
 from ..local import local_table
 from ..specs import SHOWN_TYPES, SPARK_TYPES, STRING, TableSpec
+from .compute import computed_once
 from .dedup import ROW_POSITION, duplicate_count
 from .profile import data_columns, is_missing
 
@@ -110,61 +111,67 @@ class Validation:
     def aggregates(self) -> list[Column]:
         """Aggregates over :meth:`prepared` for a shared single pass; :meth:`rule_counts` reads
         them back."""
-        out = [f"count(1) AS total_rows", f"count_if({self.any_failed()}) AS invalid_rows"]
+        out = ["count(1) AS total_rows", f"count_if({self.any_failed()}) AS invalid_rows"]
         for i, r in enumerate(self.rules):
             example = f"CASE WHEN {r.failed} THEN CAST({sql.name(r.column)} AS STRING) END"
             out.append(f"count_if({r.failed}) AS failed_{i}")
             out.append(f"min({example}) AS example_{i}")
         columns = [F.expr(e) for e in out]
-        for i, t in enumerate(self.spec.table_checks):
-            test = t.test(self.df)
-            if isinstance(test, Column):
-                columns.append(test.alias(f"table_check_{i}"))
+        for i in self._aggregate_checks():
+            columns.append(self.spec.table_checks[i].test(self.df).alias(f"table_check_{i}"))
         return columns
 
-    def stats(self) -> DataFrame:
-        """One row with the aggregates."""
-        return self.prepared().agg(*self.aggregates())
-
-    def _count_row(self, number, column, check, error_type, failed, example) -> dict[str, str]:
-        return {
-            "rule_number": str(number), "table_name": sql.literal(self.spec.name),
-            "stage": sql.literal(self.stage), "column_name": sql.literal(column),
-            "check_name": sql.literal(check), "error_type": sql.literal(error_type),
-            "failed_cells": f"CAST({failed} AS BIGINT)", "example": example,
-        }
+    def stats(self, *more: Column) -> DataFrame:
+        """One row with the aggregates, and ``more`` of the caller's from the same pass."""
+        out = self.prepared().agg(*self.aggregates(), *more)
+        for i, (_, counted) in enumerate(self._counted_elsewhere()):
+            out = out.withColumn(f"elsewhere_{i}", counted.select("failed_cells").scalar())
+        return out
 
-    def rule_counts(self, stats: DataFrame | None = None) -> DataFrame:
-        """Every rule with the number of cells that fail it; rules without failures included."""
-        stats = self.stats() if stats is None else stats
-        entries = [
+    def entries(self) -> list[tuple[str | None, str, str, str, str]]:
+        """Every rule as (column, check, error type, SQL of its count, SQL of its example), the
+        last two over the columns of :meth:`stats`. The place in the list is the rule number."""
+        none = sql.literal(None)
+        out = [
             (column, check, error_type, "1", sql.literal(example))
             for column, check, error_type, example in self._static_findings()
         ]
-        entries += [
+        out += [
             (r.column, r.check_name, r.error_type, f"failed_{i}", f"example_{i}")
             for i, r in enumerate(self.rules)
         ]
-        entries += [  # VAL9
-            (None, t.name, VALUE_ERROR, f"int(table_check_{i} IS NOT TRUE)", sql.literal(None))
-            for i, t in enumerate(self.spec.table_checks) if f"table_check_{i}" in stats.columns
+        out += [  # VAL9
+            (None, self.spec.table_checks[i].name, VALUE_ERROR,
+             f"int(table_check_{i} IS NOT TRUE)", none)
+            for i in self._aggregate_checks()
+        ]
+        out += [
+            (None, check, VALUE_ERROR, f"elsewhere_{i}", none)
+            for i, (check, _) in enumerate(self._counted_elsewhere())
         ]
-        parts = []
-        if entries:
-            parts.append(stats.selectExpr(sql.rows(
-                [self._count_row(n, *e) for n, e in enumerate(entries, 1)]
-            )))
-        for n, (check, counted) in enumerate(self._counted_elsewhere(), len(entries) + 1):
-            row = self._count_row(n, None, check, VALUE_ERROR, "failed_cells", sql.literal(None))
-            parts.append(counted.selectExpr(*[f"{e} AS {a}" for a, e in row.items()]))
-        if not parts:
-            row = self._count_row(0, None, "none", VALUE_ERROR, "0", sql.literal(None))
-            return stats.selectExpr(sql.rows([row])).limit(0)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
         return out
 
+    def rule_counts(self, stats: DataFrame | None = None) -> DataFrame:
+        """Every rule with the number of cells that fail it; rules without failures included."""
+        stats = self.stats() if stats is None else stats
+        entries = self.entries()
+        rows = [
+            {
+                "rule_number": str(n), "table_name": sql.literal(self.spec.name),
+                "stage": sql.literal(self.stage), "column_name": sql.literal(column),
+                "check_name": sql.literal(check), "error_type": sql.literal(error_type),
+                "failed_cells": f"CAST({failed} AS BIGINT)", "example": example,
+            }
+            for n, (column, check, error_type, failed, example)
+            in enumerate(entries or [(None, "none", VALUE_ERROR, "0", sql.literal(None))], 1)
+        ]
+        out = stats.selectExpr(sql.rows(rows))
+        return out if entries else out.limit(0)
+
+    def _aggregate_checks(self) -> list[int]:
+        return [i for i, t in enumerate(self.spec.table_checks)
+                if isinstance(t.test(self.df), Column)]
+
     def _counted_elsewhere(self) -> list[tuple[str, DataFrame]]:
         """Rules that need a shuffle: unique keys (VAL8) and row-valued table checks (VAL9)."""
         out = []
@@ -208,7 +215,8 @@ class Validation:
         cells = ", ".join(f"CASE WHEN {f} THEN {sql.struct(s)} END" for f, s in fields)
         out = (
             # rows without a failure leave before anything is built for them
-            self.prepared().filter(self.any_failed())
+            computed_once(self.prepared(), [*self._typed, *{r.column for r in self.rules}])
+            .filter(self.any_failed())
             .select(order.alias("row_id"), F.expr(f"explode(array({cells})) AS f"))
             .filter("f IS NOT NULL")
             .select("row_id", "f.*")

@@ -21,7 +21,9 @@ from ..operators.constraints import Constraint, apply_constraints, drop_counts
 from ..operators.skew import hot_key_hashes
 from ..operators.summary import summarise
 from ..operators.validate import first_errors, validate
-from ..sources import Staging, scan_csv, scan_parquet, write_parquet, write_report, write_summary_csv
+from ..sources import (
+    Staging, scan_csv, scan_parquet, spread, write_parquet, write_report, write_summary_csv,
+)
 from .. import fixed_values as fixed
 from ..specs import MERGED, PROJECTS, RESULTS, SUBJECTS, SUMMARY, Check, ColumnSpec, TableCheck, TableSpec
 from . import shapes
@@ -133,7 +135,7 @@ def value_mapping_chain(spark, folder):
 def string_standardize(spark, folder):
     """PRJ5-PRJ7 over whole documents."""
     text = standardize(F.col("text"))
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         "doc_id", F.md5(text).alias("text_md5"), F.length(text).cast("bigint").alias("text_length"))
 
 
@@ -420,7 +422,7 @@ def rule_counts(spark, folder):
 
 
 def _result_failures(spark, folder) -> DataFrame:
-    raw = table(spark, folder, "lineitem").select(
+    raw = spread(table(spark, folder, "lineitem")).select(
         *[F.expr(e).alias(c) for c, e in shapes.RESULTS.items()],
         F.expr(shapes.RESULT_ROW).alias("row_name"))
     spec_columns = _renamed(raw, "results")

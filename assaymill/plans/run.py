@@ -27,7 +27,7 @@ from ..operators.skew import hot_key_hashes
 from ..operators.summary import summarise
 from ..operators.validate import validate
 from ..sources import (
-    Staging, extract_projects, extract_results, extract_subjects, write_parquet, write_recipes,
+    Staging, extract_projects, extract_results, extract_subjects, spread, write_parquet, write_recipes,
     write_report, write_summary_csv,
 )
 from ..specs import MERGED, PROJECTS, RESULTS, SUBJECTS, SUMMARY, spec_frame
@@ -107,8 +107,7 @@ class Pipeline:
         before = {s.name: validate(renamed[s.name], s, BEFORE_CLEANING) for s in INPUTS}
         # one pass per raw table measures the gate and the validation before cleaning
         stats = {
-            n: measured(v.prepared().agg(*v.aggregates(), *null_counts(v.df),
-                                       F.count(F.lit(1)).alias("row_count")))
+            n: measured(v.stats(*null_counts(v.df), F.count(F.lit(1)).alias("row_count")))
             for n, v in before.items()
         }
         result.gate = self._gate(renamed, stats)
@@ -173,7 +172,7 @@ class Pipeline:
     def _extract(self, name: str, staging: Staging) -> DataFrame:
         df = self.sources[name](self.spark, self._path(f"{name}_file"))
         try:
-            return staging.put(df, f"raw_{name}")
+            return staging.put(spread(df), f"raw_{name}")
         except Exception as e:  # a malformed record surfaces when the scan runs
             raise ExtractionError(f"Failed to extract {name}: {str(e).splitlines()[0]}") from e
 

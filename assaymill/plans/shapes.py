@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import ROW_POSITION
+from ..sources import spread
 
 _CENTS = "cast(round(l_discount * 100) AS bigint)"
 
@@ -92,11 +93,12 @@ def shaped(df: DataFrame, shape: Mapping[str, str], order: tuple[str, ...] = ())
 
 
 def raw_results(spark: SparkSession, folder: str) -> DataFrame:
-    return shaped(table(spark, folder, "lineitem"), RESULTS, RESULT_ORDER)
+    return shaped(spread(table(spark, folder, "lineitem")), RESULTS, RESULT_ORDER)
 
 
 def _orders_of_nations(spark: SparkSession, folder: str) -> DataFrame:
-    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    orders = spread(table(spark, folder, "orders"))
+    customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation")
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))

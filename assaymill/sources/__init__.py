@@ -1,7 +1,7 @@
 """Scans and writes."""
 
 from .scan import (
-    extract_projects, extract_results, extract_subjects, scan, scan_csv, scan_parquet,
+    extract_projects, extract_results, extract_subjects, scan, scan_csv, scan_parquet, spread,
     with_na_tokens_as_null,
 )
 from .sinks import write_parquet, write_recipes, write_report, write_summary_csv
@@ -9,6 +9,6 @@ from .staging import Staging, staging_root
 
 __all__ = [
     "Staging", "extract_projects", "extract_results", "extract_subjects", "scan", "scan_csv",
-    "scan_parquet", "staging_root", "with_na_tokens_as_null", "write_parquet", "write_recipes",
+    "scan_parquet", "spread", "staging_root", "with_na_tokens_as_null", "write_parquet", "write_recipes",
     "write_report", "write_summary_csv",
 ]

@@ -39,6 +39,17 @@ def _position() -> Column:
     ).alias(ROW_POSITION)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of a scan over the cores when it comes in far fewer tasks than there are.
+
+    Meant for inputs that cannot be split (one row group, a multi-line file) in front of heavy
+    per-row work. A scan that already fills a quarter of the cores is left alone, so large inputs
+    never pay a shuffle for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+
+
 def _missing(path: str, error: Exception) -> ExtractionError:
     return ExtractionError(f"File not found or unreadable: {path} ({str(error).splitlines()[0]})")
 
