@@ -101,8 +101,10 @@ def drop_counts(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     counts = df.select(first_broken(rules).alias("_broken")).agg(
         F.count(F.lit(1)).alias("rows_in"), *removed_counters(rules, "_broken"),
     )
-    return counts.selectExpr(sql.rows([
-        {"rule_number": str(i + 1), "column_name": sql.literal(c.column),
-         "rule": sql.literal(c.check.kind), "rows_in": "rows_in", "rows_removed": f"removed_{i}"}
-        for i, c in enumerate(rules)
-    ]))
+    def row(number: int, column: str, rule: str, removed: str) -> dict[str, str]:
+        return {"rule_number": str(number), "column_name": sql.literal(column),
+                "rule": sql.literal(rule), "rows_in": "rows_in", "rows_removed": removed}
+
+    entries = [row(i + 1, c.column, c.check.kind, f"removed_{i}") for i, c in enumerate(rules)]
+    out = counts.selectExpr(sql.rows(entries or [row(0, "", "", "0L")]))
+    return out if entries else out.limit(0)

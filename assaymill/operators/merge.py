@@ -77,7 +77,7 @@ def merge_tables(
     """JON5: subjects with their results and project attributes.
 
     ``order_by`` decides which of several equal projects is kept. ``hot_samples`` /
-    ``hot_projects`` are the hot keys of ``subjects`` (see :func:`hot_key_hashes`).
+    ``hot_projects`` are the hot keys of ``subjects`` (see :func:`assaymill.operators.skew.hot_keys`).
     """
     if "sample_id" not in subjects.columns or "sample_id" not in results.columns:
         raise PlanError("sample_id is needed in subjects and results")

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import sqltext as sql
+
 # A key is hot from this share of the rows on; so there are at most 1 / HOT_SHARE hot keys.
 HOT_SHARE = 0.005
 SALTS = 64
@@ -22,27 +24,29 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows.
+def hot_keys(
+    df: DataFrame, *key_sets: Sequence[str], share: float = HOT_SHARE, least: int = 10_000,
+) -> list[list[int]]:
+    """For each set of key columns, the hashes of the keys that hold at least ``share`` of the rows.
 
-    One pass over the key columns with a heavy-hitter sketch: nothing is shuffled by key, and what
-    reaches the driver is one row with at most ``1 / share`` hashes.
+    One pass over the key columns with a heavy-hitter sketch per set: nothing is shuffled by key,
+    and what reaches the driver is one row with at most ``1 / share`` hashes per set. Keys of fewer
+    than ``least`` rows are not worth a salt.
     """
     most = max(1, int(1 / share))
-    row = (
-        df.dropna(subset=list(keys))
-        .select(key_hash(keys).alias("h"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.expr(f"approx_top_k(h, {most}, {max(_TRACKED, most)})").alias("top"),
-        )
-        .first()
-    )
-    if row is None or not row["n"]:
-        return []
-    # a key of a small table is not worth a salt
-    least = max(share * row["n"], 10_000)
-    return sorted(t["item"] for t in row["top"] or [] if t["count"] >= least)
+    sketches = []
+    for i, keys in enumerate(key_sets):
+        there = " AND ".join(f"{sql.name(k)} IS NOT NULL" for k in keys)
+        key_of = f"xxhash64({', '.join(sql.name(k) for k in keys)})"
+        sketches.append(F.expr(
+            f"approx_top_k({key_of}, {most}, {max(_TRACKED, most)}) FILTER (WHERE {there}) AS top_{i}"
+        ))
+    row = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
+    least = max(share * row["n"], least)
+    return [
+        sorted(t["item"] for t in row[f"top_{i}"] or [] if t["count"] >= least)
+        for i in range(len(key_sets))
+    ]
 
 
 def join_on_keys(

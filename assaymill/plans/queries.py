@@ -18,7 +18,7 @@ from ..functions import (
 from ..functions.scores import first_match, severity_priority
 from ..operators import dedup, gate, merge, metrics, profile, reports
 from ..operators.constraints import Constraint, apply_constraints, drop_counts
-from ..operators.skew import hot_key_hashes
+from ..operators.skew import hot_keys
 from ..operators.summary import summarise
 from ..operators.validate import first_errors, validate
 from ..sources import (
@@ -57,18 +57,17 @@ def _clean_projects(spark, folder) -> DataFrame:
     return clean(raw_projects(spark, folder), PROJECTS, default_config())
 
 
-def _hot(spark, folder, *keys: str) -> list[int]:
+def _hot(spark, folder, *key_sets) -> list[list[int]]:
     """Hot keys of the subjects, told from the standardised keys without the duplicate removal."""
     recipe = generate_recipe(SUBJECTS, default_config()).without("duplicate_removal")
-    return hot_key_hashes(apply_recipe(raw_subjects(spark, folder), recipe), list(keys))
+    return hot_keys(apply_recipe(raw_subjects(spark, folder), recipe), *key_sets)
 
 
 def _merged(spark, folder) -> DataFrame:
+    samples, projects = _hot(spark, folder, ["sample_id"], fixed.PROJECT_KEYS)
     return merge.merge_tables(
         _clean_projects(spark, folder), _clean_subjects(spark, folder),
-        _clean_results(spark, folder),
-        hot_samples=_hot(spark, folder, "sample_id"),
-        hot_projects=_hot(spark, folder, *fixed.PROJECT_KEYS),
+        _clean_results(spark, folder), hot_samples=samples, hot_projects=projects,
     )
 
 
@@ -282,7 +281,7 @@ def merge_inner(spark, folder):
         "l_orderkey AS sample_id", "l_linenumber AS line", "l_extendedprice AS price")
     orders = table(spark, folder, "orders").selectExpr(
         "o_orderkey AS sample_id", "o_totalprice AS price", "o_orderstatus AS status")
-    hot = hot_key_hashes(lines, ["sample_id"])
+    [hot] = hot_keys(lines, ["sample_id"])
     return merge.inner_join(lines, orders, ["sample_id"], "_results", hot=hot)
 
 
@@ -293,7 +292,7 @@ def merge_null_safe(spark, folder):
         "nullif(o_orderpriority, '5-LOW') AS priority", "o_orderkey", "o_orderstatus")
     totals = _count(orders.select("priority"), "priority")
     return merge.inner_join(orders, totals, ["priority"], null_safe=True,
-                            hot=hot_key_hashes(orders, ["priority"]))
+                            hot=hot_keys(orders, ["priority"])[0])
 
 
 @query
@@ -303,7 +302,7 @@ def merge_key_intersection(spark, folder):
     projects = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
         "lower(n_name) AS project_code", "n_name AS project_name", "r_name AS disease_name")
     return merge.join_projects(_clean_subjects(spark, folder), projects,
-                               hot=_hot(spark, folder, "project_code"))
+                               hot=_hot(spark, folder, ["project_code"])[0])
 
 
 @query
@@ -313,7 +312,7 @@ def merge_dedup_right(spark, folder):
     samples = raw_subjects(spark, folder).drop(dedup.ROW_POSITION)
     samples = samples.withColumn("project_code", F.trim("project_code"))
     return merge.join_projects(samples, projects,
-                               hot=hot_key_hashes(samples, list(fixed.PROJECT_KEYS)))
+                               hot=hot_keys(samples, fixed.PROJECT_KEYS)[0])
 
 
 @query

@@ -23,7 +23,7 @@ from ..operators.merge import merge_tables, orphan_counts
 from ..operators.metrics import STEP_SCHEMA, mapping_effects, step_metrics, with_rates
 from ..operators.profile import null_counts
 from ..operators.reports import AFTER_CLEANING, build_reports, validation_events
-from ..operators.skew import hot_key_hashes
+from ..operators.skew import hot_keys
 from ..operators.summary import summarise
 from ..operators.validate import validate
 from ..sources import (
@@ -127,12 +127,10 @@ class Pipeline:
         subjects = cleaned["subjects"]
         project_keys = [k for k in fixed.PROJECT_KEYS
                         if k in subjects.columns and k in cleaned["projects"].columns]
+        hot = hot_keys(subjects, ["sample_id"], *([project_keys] if project_keys else []))
         merged = staging.put(
-            merge_tables(
-                cleaned["projects"], subjects, cleaned["results"],
-                hot_samples=hot_key_hashes(subjects, ["sample_id"]),
-                hot_projects=hot_key_hashes(subjects, project_keys) if project_keys else (),
-            ),
+            merge_tables(cleaned["projects"], subjects, cleaned["results"],
+                         hot_samples=hot[0], hot_projects=hot[1] if project_keys else ()),
             "merged",
         )
         check = validate(merged, MERGED, AFTER_CLEANING)

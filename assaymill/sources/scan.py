@@ -43,11 +43,11 @@ def spread(df: DataFrame) -> DataFrame:
     """Share the rows of a scan over the cores when it comes in far fewer tasks than there are.
 
     Meant for inputs that cannot be split (one row group, a multi-line file) in front of heavy
-    per-row work. A scan that already fills a quarter of the cores is left alone, so large inputs
+    per-row work. A scan that already fills more than half of the cores is left alone, so large inputs
     never pay a shuffle for it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def _missing(path: str, error: Exception) -> ExtractionError:
@@ -98,7 +98,9 @@ def scan_csv(
     )
     raw = (
         reader.schema(schema).option("enforceSchema", False).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BROKEN).csv(path)
+        .option("columnNameOfCorruptRecord", _BROKEN)
+        # a pruned parse does not count the fields of a record
+        .option("columnPruning", False).csv(path)
     )
     # Separators outside quotes; only evaluated for records whose field count is off.
     bare = F.regexp_replace(_BROKEN, _QUOTED, "")
