@@ -18,6 +18,7 @@ from ..specs import DOUBLE, LONG, STRING, TIMESTAMP
 _NUMBER = (r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
            r"|^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$")
 _WHOLE = r"^\s*[+-]?\d+\s*$"
+_YEAR_FIRST = r"^\s*[0-9]{4}/"
 # A day-first date (5/1/2023, 05-01-2023 10:20, 5.1.2023 ...) at the start of the text.
 _DAY_FIRST = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
 
@@ -71,8 +72,8 @@ def to_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column:
     """
     if formats is None:
         iso = (
-            F.when(c.like("____-%"), c)
-            .when(c.like("____/%"), F.translate(c, "/", "-"))
+            F.when(c.like("____-__-__%"), c)
+            .when(c.rlike(_YEAR_FIRST), F.translate(c, "/", "-"))
             .otherwise(F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1"))
         )
         return iso.try_cast("timestamp_ntz")

@@ -24,7 +24,7 @@ def connect(folder):
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9)
+        return None if math.isnan(value) else value
     return value
 
 

@@ -30,11 +30,11 @@ def test_numbers(spark):
 
 def test_dates_each_in_its_own_format(spark):
     texts = ["5/1/2023", "2023-01-05", "05-01-2023 10:20:30", "5.1.2023 7:05", "2023/01/05",
-             "31/02/2023", "abc", None]
+             "05/1/2023", "5-01-2023", "2023-1-5", "31/02/2023", "abc", None]
     day = dt.datetime(2023, 1, 5)
     assert apply(spark, texts, to_timestamp) == [
         day, day, day.replace(hour=10, minute=20, second=30), day.replace(hour=7, minute=5), day,
-        None, None, None]
+        day, day, day, None, None, None]
     given = lambda c: to_timestamp(c, ["MM/dd/yyyy", "dd-MMM-yyyy"])
     assert apply(spark, ["01/05/2023", "05-Jan-2023", "5/1/2023"], given) == [day, day, None]
 
