@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import op1_ngram_join as op1
 from . import op2_line_dedup as op2
 from . import op3_html_text as op3
 from . import op4_line_frequency as op4
+from . import op8_superkmers as op8
+from . import op9_packing as op9
+from . import op10_secrets as op10
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +41,44 @@ def op3_html_text(spark, folder):
 @query
 def op4_line_frequency(spark, folder):
     return op4.line_frequency_rules(table(spark, folder, "documents"))
+
+
+def tokenizer_path() -> str:
+    """The shipped vocabulary file; any other file of the library is a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op9_packing(spark, folder):
+    return op9.tokenize_and_pack(table(spark, folder, "documents"), tokenizer_path(), 4096)
+
+
+@query
+def op10_secrets(spark, folder):
+    out = op10.find_secrets(table(spark, folder, "documents"))
+    order = F.create_map(*[x for i, k in enumerate(op10.KINDS) for x in (F.lit(k), F.lit(i))])
+    live = F.transform("live", lambda s: F.struct(F.lit("live").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    every = F.transform(
+        F.array_sort(F.transform(F.concat("base", live), lambda s: F.struct(
+            s["start"].alias("start"), order[s["kind"]].alias("place"),
+            s["end"].alias("end"), s["kind"].alias("kind")))),
+        lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+
+    def n(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return out.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(op10.joined(F.col("base")), 256).alias("base_sha256"),
+                      op10.joined(every).alias("spans"))
+
+
+@query
+def op8_superkmers(spark, folder):
+    return op8.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_ngram_join(spark, folder):
+    return op1.ngram_components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
