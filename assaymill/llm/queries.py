@@ -11,6 +11,9 @@ from . import op1_ngram_join as op1
 from . import op2_line_dedup as op2
 from . import op3_html_text as op3
 from . import op4_line_frequency as op4
+from . import op5_topk as op5
+from . import op6_mixing as op6
+from . import op7_toxicity as op7
 from . import op8_superkmers as op8
 from . import op9_packing as op9
 from . import op10_secrets as op10
@@ -82,3 +85,31 @@ def op8_superkmers(spark, folder):
 @query
 def op1_ngram_join(spark, folder):
     return op1.ngram_components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op5_topk(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return op5.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+#: The documents name no domain; a source's number stands for one.
+DOMAIN = ("CASE CAST(regexp_extract(source, '[0-9]+$', 0) AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' "
+          "WHEN 2 THEN 'forum' ELSE 'other' END")
+WEIGHTS = {"domain": {"web": 5, "books": 3, "forum": 2}, "language": {"en": 6, "de": 2, "fr": 1, "es": 1}, "source": {}}
+
+
+@query
+def op6_mixing(spark, folder):
+    """Four fifths of the corpus' tokens, so that some branches run short and others pass over."""
+    mixed = op6.mix(table(spark, folder, "documents"), op6.share_of_corpus(80), F.expr(DOMAIN), WEIGHTS, max_epochs=2)
+    return mixed.select("row.doc_id", "domain", "language", "source", "tokens", "epoch")
+
+
+@query
+def op7_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    classifier = op7.train(docs, table(spark, folder, "labels"), ~op7.held_out(F.col("doc_id")))
+    return op7.score(docs, classifier).select(
+        "row.doc_id", op7.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))

@@ -6,7 +6,10 @@ Words are maximal runs of characters other than blank and 0x09-0x0D. ``bytes.spl
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +21,22 @@ from ..sources.staging import Staging
 BLANKS = r"\x20\x09-\x0D"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their Python need not have it."""
+    context = spark.sparkContext
+    if getattr(context, "_assaymill_sent", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="assaymill-")) / "assaymill.zip"  # read by the driver's own file server
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(path))
+    context._assaymill_sent = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
