@@ -16,6 +16,7 @@ FINISHED_WORDS = ("finished", "completed")
 PROJECT_KEYS = ("project_code", "study_code", "study_cohort_code")
 SUBJECT_KEYS = PROJECT_KEYS + ("subject_id", "sample_id")
 RESULT_KEYS = ("sample_id",)
+JOIN_KEYS = SUBJECT_KEYS
 
 # --- fixed values: output columns of the merged table, in order ------------------------------
 MERGED_COLUMNS = (

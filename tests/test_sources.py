@@ -42,7 +42,7 @@ def test_short_rows_are_padded_and_long_rows_fail(spark, tmp_path):
 def test_records_over_several_lines(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('a,b\n1,"two\nlines"\n2,x\n')
-    assert rows(scan_csv(spark, str(path))) == [("1", "two\nlines"), ("2", "x")]
+    assert rows(scan_csv(spark, str(path), multiline=True)) == [("1", "two\nlines"), ("2", "x")]
 
 
 def test_missing_and_empty_files(spark, tmp_path):
@@ -64,11 +64,16 @@ def test_first_means_file_order_whatever_the_partitioning(spark, tmp_path):
     assert last == {(str(i), str(1950 + i)) for i in range(50)}
 
 
-def test_spread_only_when_cores_would_idle(spark):
+def test_spread_only_on_request(spark):
     small = spark.range(0, 100, 1, 1)
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 8)
-    assert spread(wide) is wide
+    assert spread(small) is small
+    assert spread(small, 3).rdd.getNumPartitions() == 3
+
+
+def test_encoding_is_told_per_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("a,b\nplain,é\n".encode("latin-1"))
+    (tmp_path / "b.csv").write_bytes("a,b\nodd \"quote,é\n".encode("utf-8"))
+    assert sorted(rows(scan_csv(spark, str(tmp_path)))) == [('odd "quote', "é"), ("plain", "é")]
 
 
 def test_round_trips(spark, tmp_path):
