@@ -75,13 +75,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
-def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """AGG9: one row, the number of rows that repeat an earlier key."""
+def duplicate_count(df: DataFrame, keys: Sequence[str], null_keys_equal: bool = True) -> DataFrame:
+    """AGG9: one row, the number of rows that repeat an earlier key; see :func:`drop_duplicates`."""
+    surplus = F.col("copies") - 1
+    if not null_keys_equal:
+        surplus = F.when(_any_null(keys), 0).otherwise(surplus)
     return (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
         .agg(
             F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rows_in"),
             F.count(F.lit(1)).alias("distinct_keys"),
-            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+            F.coalesce(F.sum(surplus), F.lit(0)).cast("bigint").alias("duplicate_rows"),
         )
     )

@@ -57,7 +57,7 @@ def step_metrics(df: DataFrame, recipe: Recipe, deduplicate: bool = True) -> Dat
         filtered = apply_recipe(df, recipe.without("duplicate_removal"))
         keys = [k for k in dedup.parameters["subset"] if k in filtered.columns]
         if keys:
-            out = out.unionByName(duplicate_count(filtered, keys).select(
+            out = out.unionByName(duplicate_count(filtered, keys, null_keys_equal=False).select(
                 F.lit(recipe.spec.name).alias("table_name"),
                 F.lit(dedup.number).alias("step_number"), F.lit(dedup.name).alias("step_name"),
                 F.lit(None).cast("string").alias("column_name"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..functions import convert
 from ..local import local_table
 from ..specs import SHOWN_TYPES, SPARK_TYPES, STRING, TableSpec
 from .compute import computed_once
-from .dedup import ROW_POSITION, duplicate_count
+from .dedup import ROW_POSITION, default_order, duplicate_count
 from .profile import data_columns, is_missing
 
 MISSING_COLUMN, EXTRA_COLUMN = "MissingColumn", "ExtraColumn"
@@ -111,7 +112,9 @@ class Validation:
     def aggregates(self) -> list[Column]:
         """Aggregates over :meth:`prepared` for a shared single pass; :meth:`rule_counts` reads
         them back."""
-        out = ["count(1) AS total_rows", f"count_if({self.any_failed()}) AS invalid_rows"]
+        # without a required column no row is valid
+        invalid = "count(1)" if self.missing else f"count_if({self.any_failed()})"
+        out = ["count(1) AS total_rows", f"{invalid} AS invalid_rows"]
         for i, r in enumerate(self.rules):
             example = f"CASE WHEN {r.failed} THEN CAST({sql.name(r.column)} AS STRING) END"
             out.append(f"count_if({r.failed}) AS failed_{i}")
@@ -192,7 +195,8 @@ class Validation:
     def failures(
         self, row_id: Column | str | None = None, limit_per_rule: int | None = None,
     ) -> DataFrame:
-        """VAL10, VAL11: one row per failing cell, and one per finding about the schema.
+        """VAL10, VAL11: one row per failing cell, one per row that repeats an earlier unique key, and
+        one per finding about the schema.
 
         ``row_id`` says where the row is (by default its source position). With ``limit_per_rule``
         only the first cells of each rule are kept (TOP4); the limit is applied before the shuffle.
@@ -221,6 +225,9 @@ class Validation:
             .filter("f IS NOT NULL")
             .select("row_id", "f.*")
         )
+        key = self.spec.unique_key
+        if key and all(k in self.columns for k in key):
+            out = out.unionByName(self._repeated_keys(list(key), order))
         if limit_per_rule is not None:
             window = Window.partitionBy("column_name", "check_name").orderBy("row_id")
             out = (
@@ -240,6 +247,22 @@ class Validation:
             failure_message("column_name", "check_name", "failure_case") + " AS error_message",
         )
 
+    def _repeated_keys(self, key: list[str], row_id: Column) -> DataFrame:
+        """VAL8: the rows that repeat a key, all but the first of each. The repeated keys and their
+        first rows are pre-aggregated, so a hot key is one row per task; rows then meet them by an
+        equi-join, whose large partitions Spark splits."""
+        place = F.struct(*default_order(self.df))
+        rows = self.df.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)],
+                              place.alias("_place"), row_id.alias("row_id"))
+        names = [f"_key_{i}" for i in range(len(key))]
+        repeated = rows.groupBy(*[F.col(n).alias(f"{n}_of") for n in names]).agg(
+            F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}_of")) for n in names])
+        shown = F.concat_ws("-", *[F.col(n).cast("string") for n in names])
+        return rows.join(repeated, same).filter(F.col("_place") > F.col("_first")).select(
+            "row_id", F.lit(None).cast("string").alias("column_name"), F.lit(f"unique({key})").alias("check_name"),
+            F.lit(VALUE_ERROR).alias("error_type"), shown.alias("failure_case"))
+
     # --- verdicts -----------------------------------------------------------------------------------
 
     def column_status(self, counts: DataFrame | None = None) -> DataFrame:

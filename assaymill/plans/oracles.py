@@ -174,7 +174,8 @@ ORACLES["date_parse"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN
 ORACLES["date_shapes"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') ||
   CASE WHEN o_orderkey % 5 = 4 THEN ' 13:05:00' ELSE ' 00:00:00' END AS parsed FROM orders"""
 ORACLES["composite_keys"] = f"""WITH {RAW_PROJECTS}
-  SELECT {_CODE} AS code, count(*) AS row_count FROM raw_projects GROUP BY 1"""
+  SELECT concat_ws('-', project_code, study_code, study_cohort_code) AS code, count(*) AS row_count
+  FROM raw_projects GROUP BY 1"""
 ORACLES["finished_flag"] = """SELECT status,
     coalesce(regexp_matches(status, '(?i)Finished|Completed'), false) AS finished,
     count(*) AS row_count
@@ -230,6 +231,11 @@ ORACLES["merge_null_safe"] = """WITH o AS (
   SELECT o.priority, o_orderkey, o_orderstatus, row_count FROM o JOIN
   (SELECT priority, count(*) AS row_count FROM o GROUP BY 1) t
   ON o.priority IS NOT DISTINCT FROM t.priority"""
+ORACLES["failure_cases_unique"] = """SELECT cast(l_linenumber AS varchar) AS row_id, NULL AS column_name,
+    'unique([''l_orderkey''])' AS check_name, 'ValidationError' AS error_type,
+    cast(l_orderkey AS varchar) AS failure_case
+  FROM (SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS n FROM lineitem)
+  WHERE n > 1"""
 ORACLES["merge_skewed"] = """WITH o AS (
   SELECT CASE WHEN o_orderkey % 8 = 0 THEN 'hot' ELSE 'k' || o_custkey END AS k, o_orderkey FROM orders)
   SELECT k, o_orderkey, count(*) OVER (PARTITION BY k) AS row_count FROM o"""
@@ -406,7 +412,6 @@ ORACLES["column_status_strict"] = f"""WITH {RAW_PROJECTS}, n AS (
   SELECT count(*) AS n FROM raw_projects WHERE project_code = 'NATION_3')
   SELECT 'projects' AS table_name, v.* FROM (VALUES
     ('project_code', true, 0, NULL, NULL, NULL, 'SUCCESS'),
-    ('study_code', true, 0, NULL, NULL, NULL, 'SUCCESS'),
     ('study_cohort_code', true, 0, NULL, NULL, NULL, 'SUCCESS'),
     ('study_name', false, 1, 'TypeMismatch',
       'Column ''study_name'' failed check ''dtype(''str'')'': int', 'dtype(''str'')',
@@ -422,7 +427,13 @@ ORACLES["column_status_strict"] = f"""WITH {RAW_PROJECTS}, n AS (
     CASE WHEN n > 0 THEN 'ValidationError' END,
     CASE WHEN n > 0 THEN 'Column ''project_name'' failed check ''not_nullable'': null' END,
     CASE WHEN n > 0 THEN 'not_nullable' END,
-    CASE WHEN n > 0 THEN 'VALIDATION_FAILED' ELSE 'SUCCESS' END FROM n"""
+    CASE WHEN n > 0 THEN 'VALIDATION_FAILED' ELSE 'SUCCESS' END FROM n
+  UNION ALL SELECT 'projects', 'study_code', n = 0, n,
+    CASE WHEN n > 0 THEN 'ValidationError' END,
+    CASE WHEN n > 0 THEN 'Column ''study_code'' failed check ''not_nullable'': null' END,
+    CASE WHEN n > 0 THEN 'not_nullable' END,
+    CASE WHEN n > 0 THEN 'VALIDATION_FAILED' ELSE 'SUCCESS' END
+    FROM (SELECT count(*) AS n FROM raw_projects WHERE study_code IS NULL)"""
 
 
 def _score(table: str, stage: str, source: str, rules) -> str:
@@ -641,8 +652,6 @@ def _steps() -> str:
     for c in ("sample_id", "cancer_detected", "sample_status", "fail_reason"):
         e = tidy(c) if c in ("cancer_detected", "sample_status") else std(c)
         add(4, "string_standardization", c, None, changed("mapped_results", e, c), 0)
-    add(5, "missing_value_handling", "sample_id", None,
-        "(SELECT count(*) FROM standard_results WHERE sample_id IS NULL)", 0)
     for c in _RESULT_NAMES.values():
         if c in ("detection_value", "sample_quality", "sample_quality_threshold"):
             lost = f"{c} IS NOT NULL AND ({num(c)}) IS NULL"
@@ -674,7 +683,7 @@ def _steps() -> str:
       UNION ALL BY NAME
       SELECT 'results' AS table_name, 8 AS step_number, 'duplicate_removal' AS step_name,
         NULL AS column_name, NULL AS rule, 0 AS cells_changed,
-        count(*) - count(DISTINCT sample_id) AS rows_removed, count(*) AS rows_in
+        count(sample_id) - count(DISTINCT sample_id) AS rows_removed, count(*) AS rows_in
       FROM broken WHERE n IS NULL"""
 
 

@@ -453,6 +453,16 @@ def failure_cases(spark, folder):
     return _result_failures(spark, folder)
 
 
+@query
+def failure_cases_unique(spark, folder):
+    """VAL8, VAL10: every row that repeats an earlier key."""
+    spec = TableSpec("lines", (ColumnSpec("l_orderkey", "long"), ColumnSpec("l_linenumber", "long")),
+                     unique_key=("l_orderkey",))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    found = validate(lines, spec, "check").failures(F.col("l_linenumber").cast("string"))
+    return found.select("row_id", "column_name", "check_name", "error_type", "failure_case")
+
+
 @query
 def first_n_errors(spark, folder):
     """TOP4."""
