@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -42,6 +42,10 @@ _NULL_ID = -(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _copy(text_col: str) -> Column:
+    return F.shiftright(F.xxhash64(text_col), 32).cast("int")
+
+
 def _seed_hashes(words: list[bytes], seed: int) -> np.ndarray:
     """A 64-bit hash of every ``seed`` consecutive words."""
     h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
@@ -68,13 +72,15 @@ def super_kmers(words: list[bytes], width: int, seed: int) -> Iterator[tuple[int
 
 # --- parcels -----------------------------------------------------------------------------------------
 
-_COLUMNS = (("minimiser", "<u8"), ("doc", "<i8"), ("copy", "<i8"), ("start", "<i4"), ("windows", "<i4"))
+# The minimiser's upper half is enough to sort by: windows are told apart by their words. Of the text's
+# hash, which only tells rows of one doc_id apart, 32 bits travel.
+_COLUMNS = (("minimiser", "<u4"), ("doc", "<i8"), ("copy", "<i4"), ("start", "<i4"), ("windows", "<i4"))
 
 
 def _parcel(items: list[tuple]) -> bytes:
-    head = b"".join(np.array([x[i] for x in items], t).tobytes() for i, (_, t) in enumerate(_COLUMNS))
+    head = b"".join(np.array([x[i] >> 32 if i == 0 else x[i] for x in items], t).tobytes() for i, (_, t) in enumerate(_COLUMNS))
     body = b"\n".join(x[5] for x in items)
-    return len(items).to_bytes(4, "little") + zstandard.ZstdCompressor(1).compress(head + body)
+    return len(items).to_bytes(4, "little") + zstandard.ZstdCompressor(3).compress(head + body)
 
 
 def _unpack(parcel: bytes) -> tuple[list[np.ndarray], list[bytes]]:
@@ -125,13 +131,13 @@ def _rows(bucket, parcels, runs) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         pa.array(list(bucket) + [(d ^ s) % (1 << 20) for d, s in zip(doc, start)], pa.int64()),
         pa.array(list(parcels) + [None] * m, pa.binary()),
-        pa.array([None] * n + list(doc), pa.int64()), pa.array([None] * n + list(copy), pa.int64()),
+        pa.array([None] * n + list(doc), pa.int64()), pa.array([None] * n + list(copy), pa.int32()),
         pa.array([None] * n + list(start), pa.int32()), pa.array([None] * n + list(count), pa.int32()),
     ], names=["bucket", "parcel", "doc", "copy", "start", "n"])
 
 
-_SENT = "bucket long, parcel binary, doc long, copy long, start int, n int"
-_RUN = "doc long, copy long, start int, n int"
+_SENT = "bucket long, parcel binary, doc long, copy int, start int, n int"
+_RUN = "doc long, copy int, start int, n int"
 
 
 def _send(keyed: DataFrame, width: int, seed: int, buckets: int) -> DataFrame:
@@ -140,7 +146,7 @@ def _send(keyed: DataFrame, width: int, seed: int, buckets: int) -> DataFrame:
 
         def flush():
             sent = list(held.parcels())
-            runs = [(x[1], x[2], x[3], x[4]) for x in held.later]
+            runs = _merged((x[1], x[2], x[3], x[4]) for x in held.later)
             held.__init__(buckets)
             for at in range(0, len(sent), 2000):
                 part = sent[at:at + 2000]
@@ -187,15 +193,15 @@ def _later_windows(items: list[tuple], width: int) -> Iterator[tuple[int, int, i
             yield doc, copy, start
 
 
-def _joined_runs(places: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Consecutive window starts of a document as (doc, copy, start, n)."""
-    places.sort()
+def _merged(runs) -> list[tuple[int, int, int, int]]:
+    """Runs (doc, copy, start, n) of window starts, joined where one begins before the last one ends."""
     out: list[list[int]] = []
-    for doc, copy, start in places:
-        if out and out[-1][0] == doc and out[-1][1] == copy and out[-1][2] + out[-1][3] == start:
-            out[-1][3] += 1
-        elif not (out and out[-1][0] == doc and out[-1][1] == copy and out[-1][2] + out[-1][3] > start):
-            out.append([doc, copy, start, 1])
+    for doc, copy, start, n in sorted(runs):
+        last = out[-1] if out else None
+        if last and last[0] == doc and last[1] == copy and start <= last[2] + last[3]:
+            last[3] = max(last[3], start + n - last[2])
+        else:
+            out.append([doc, copy, start, n])
     return [tuple(x) for x in out]
 
 
@@ -215,7 +221,7 @@ def _bucket_runs(parcels: list[bytes], width: int) -> list[tuple[int, int, int,
     for at, size in zip(cuts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
         items = [(int(doc[i]), int(copy[i]), int(start[i]), int(count[i]), packed[i]) for i in order[at:at + size]]
         places.extend(_later_windows(items, width))
-    return _joined_runs(places)
+    return _merged((doc, copy, start, 1) for doc, copy, start in places)
 
 
 def _receive(sent: DataFrame, width: int) -> DataFrame:
@@ -230,7 +236,7 @@ def _receive(sent: DataFrame, width: int) -> DataFrame:
             if runs:
                 columns = list(zip(*runs))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
                     names=["doc", "copy", "start", "n"])
 
         for batch in batches:
@@ -254,7 +260,7 @@ def repeated_windows(docs: DataFrame, width: int = 20, seed: int = 3, id_col: st
     """(doc, copy, start, n): runs of windows that also start earlier, at most one run per
     super-k-mer and bucket; ``copy`` is the text's hash, and null ids are the least long."""
     parts = partitions(docs.sparkSession)
-    keyed = docs.select(F.col(id_col).cast("long"), F.xxhash64(text_col).alias("copy"), F.col(text_col).cast("string"))
+    keyed = docs.select(F.col(id_col).cast("long"), _copy(text_col).alias("copy"), F.col(text_col).cast("string"))
     sent = _send(keyed, width, seed, parts * BUCKETS_PER_PART)
     dealt = sent.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int"))
     return _receive(dealt.sortWithinPartitions("bucket"), width)
@@ -267,9 +273,10 @@ def remove_repeats(docs: DataFrame, width: int = 20, seed: int = 3, id_col: str
         repeated_windows(docs, width, seed, id_col, text_col)
         .groupBy("doc", "copy").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
         .withColumnsRenamed({"doc": "_doc", "copy": "_copy"})
+        .hint("merge")  # they grow with the corpus: the same plan at every size
     )
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                        F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("_d"), F.xxhash64(text_col).alias("_c"))
+                        F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("_d"), _copy(text_col).alias("_c"))
     both = keyed.join(runs, (F.col("_d") == F.col("_doc")) & (F.col("_c") == F.col("_copy")), "left").select(
         "doc_id", "text", F.col("runs.start").alias("starts"), F.col("runs.n").alias("counts"))
 
