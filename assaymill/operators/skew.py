@@ -45,9 +45,12 @@ def hot_keys(
         sketches.append(F.expr(f"approx_top_k_accumulate({key_of}, {tracked}){kept} AS top_{i}"))
     in_groups = df.groupBy(F.expr(f"pmod(spark_partition_id(), {_COMBINERS})").alias("part")).agg(
         F.count(F.lit(1)).alias("n"), *sketches)
-    row = in_groups.agg(F.sum("n").alias("n"), *[
+    # a grouped aggregate, as one without groups would combine nothing at all for an empty table
+    row = in_groups.groupBy(F.pmod("part", F.lit(1)).alias("all")).agg(F.sum("n").alias("n"), *[
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(top_{i}, {tracked}), {most}) AS top_{i}")
         for i in range(len(key_sets))]).first()
+    if row is None:
+        return [[] for _ in key_sets]
     return [
         sorted(t["item"] for t in row[f"top_{i}"] or [] if t["count"] >= share * row["n"])
         for i in range(len(key_sets))

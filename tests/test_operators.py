@@ -268,6 +268,10 @@ def test_results_validation_and_failures(spark):
     assert cells == {(1, "detection_value", "1.5"), (1, "cancer_detected", "Maybe"), (2, "sample_id", None),
                      (2, "detection_value", "-0.5"), (3, "detection_value", "x")}
     score = v.score().first()
+    assert (score["total_rows"], score["invalid_rows"], score["data_quality_score"]) == (4, 4, 0.0)
+    # with every column there, only the rows that break a rule are invalid
+    whole = df.withColumns({c: F.lit(None).cast("string") for c in RESULTS.names if c not in df.columns})
+    score = validate(whole, RESULTS).score().first()
     assert (score["total_rows"], score["invalid_rows"], score["data_quality_score"]) == (4, 3, 25.0)
     assert [r["row_id"] for r in first_errors(v.failures("n").filter("row_id > 0"), 2).orderBy("error_rank").collect()] == [1, 1]
     with pytest.raises(ValidationFailed, match="detection_value"):
