@@ -51,12 +51,11 @@ def repeated_runs(
 ) -> DataFrame:
     """(doc, copy, runs): per document the maximal runs [start, end) of lines to delete, counted
     over its lines with a word. Documents without such a run are not listed."""
-    lines = line_sequences(docs, id_col, text_col)
-    levels = suffix_ranks(lines.drop("n_words"), OWNER, min_lines)
-    runs = later_runs(levels[min_lines], OWNER, min_lines)
+    lines = staged(line_sequences(docs, id_col, text_col), "lines")
+    runs = later_runs(suffix_ranks(lines.drop("n_words"), OWNER, min_lines), OWNER, min_lines)
     if long_line and min_lines > 1:
         long_lines = suffix_ranks(
-            lines.where(F.col("n_words") >= long_line).drop("n_words"), OWNER, 1)[1]
+            lines.where(F.col("n_words") >= long_line).drop("n_words"), OWNER, 1)
         runs = runs.unionByName(later_runs(long_lines, OWNER, 1))
     return runs.groupBy(*OWNER).agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
@@ -70,15 +69,16 @@ def dedup_lines(
     runs = staged(repeated_runs(docs, min_lines, long_line, id_col, text_col), "runs")
     keyed = docs.select(*_key(id_col, text_col),
                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # a sort-merge join at every size: the runs grow with the corpus, and so does what they meet
     joined = keyed.join(
-        runs.select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), "runs"),
+        runs.select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), "runs").hint("merge"),
         F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy")), "left",
     )
-    cut = joined.select("row", _without_runs(F.col(f"row.`{text_col}`"), "runs").alias("cut"))
+    without = F.pandas_udf(_without_runs, "text string, n_lines long, n_removed long")
+    cut = joined.select("row", without(F.col(f"row.`{text_col}`"), "runs").alias("cut"))
     return cut.select("row", "cut.*")
 
 
-@F.pandas_udf("text string, n_lines long, n_removed long")
 def _without_runs(text: pd.Series, runs: pd.Series) -> pd.DataFrame:
     out = []
     for whole, parts in zip(text, runs):

@@ -23,41 +23,40 @@ from pyspark.sql import functions as F
 from .shared import staged
 
 
-def _ranked(pairs: DataFrame, owner: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Suffixes whose key ``by`` occurs twice or more, with the key's rank and first place."""
-    place = F.struct(*owner, "pos")
-    keys = (
-        pairs.groupBy(*by).agg(F.min(place).alias("first"), F.max(place).alias("_last"))
-        .where(F.col("first") != F.col("_last"))
-        .drop("_last")
+def _repeated(pairs: DataFrame, owner: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The keys ``by`` that stand at two places or more. A place is told by its hash, so that the
+    partial aggregates are two numbers."""
+    place = F.xxhash64(*owner, "pos")
+    return (
+        pairs.groupBy(*by).agg(F.min(place).alias("_a"), F.max(place).alias("_b"))
+        .where(F.col("_a") != F.col("_b")).select(*by)
     )
-    # ranges of a sorted table are numbered in order, so the row numbers grow with the key
-    ranks = staged(
-        keys.orderBy(*by).withColumn("rank", F.monotonically_increasing_id()), "ranks")
-    return pairs.join(ranks, list(by), "inner").select(*owner, "pos", "rank", "first")
 
 
-def suffix_ranks(sequences: DataFrame, owner: Sequence[str], depth: int) -> dict[int, DataFrame]:
-    """Depth -> (owner..., pos, rank, first) of all suffixes that agree with another one to that
-    depth; ``first`` is the least (owner..., pos) of the suffix array's interval.
+def suffix_ranks(sequences: DataFrame, owner: Sequence[str], depth: int) -> DataFrame:
+    """(owner..., pos, rank) of all suffixes that agree with another one in their first ``depth``
+    symbols; equal ranks are one interval of the suffix array, and ranks grow along it.
 
-    Depths are 1, 2, 4, ... and ``depth`` itself. Sequences are told apart by ``owner``; rows that
-    repeat one (owner, pos) count as the same suffix. An empty table gives empty tables.
+    The depths 1, 2, 4, ... and ``depth`` are passed through. Sequences are told apart by ``owner``;
+    rows that repeat one (owner, pos) count as the same suffix. An empty table gives an empty one.
     """
-    level = staged(_ranked(sequences, owner, ["sym"]), "suffixes")
-    out, h = {1: level}, 1
+    # at depth 1 a symbol is its own rank
+    level = staged(sequences.join(_repeated(sequences, owner, ["sym"]), "sym").select(
+        *owner, "pos", F.col("sym").alias("rank")), "suffixes")
+    h = 1
     while h < depth:
         ahead = min(h, depth - h)
         there = Window.partitionBy(*owner).orderBy("pos").rangeBetween(ahead, ahead)
         pairs = (
-            level.select(*owner, "pos", F.col("rank").alias("head"),
-                         F.first("rank").over(there).alias("tail"))
+            level.select(*owner, "pos", F.col("rank").alias("head"), F.first("rank").over(there).alias("tail"))
             .where(F.col("tail").isNotNull())
         )
+        # ranges of a sorted table are numbered in order, so the row numbers grow with the key
+        ranks = staged(_repeated(pairs, owner, ["head", "tail"]).orderBy("head", "tail").withColumn(
+            "rank", F.monotonically_increasing_id()), "ranks")
+        level = staged(pairs.join(ranks, ["head", "tail"]).select(*owner, "pos", "rank"), "suffixes")
         h += ahead
-        level = staged(_ranked(pairs, owner, ["head", "tail"]), "suffixes")
-        out[h] = level
-    return out
+    return level
 
 
 def later_runs(level: DataFrame, owner: Sequence[str], depth: int) -> DataFrame:
@@ -68,8 +67,10 @@ def later_runs(level: DataFrame, owner: Sequence[str], depth: int) -> DataFrame:
     into one run.
     """
     last = F.size("at") - 1
+    place = F.struct(*owner, "pos")
+    first = level.groupBy("rank").agg(F.min(place).alias("first"))
     return (
-        level.where(F.struct(*owner, "pos") != F.col("first"))
+        level.join(first, "rank").where(place != F.col("first"))
         .groupBy(*owner).agg(F.array_sort(F.collect_set("pos")).alias("at"))
         # a run begins where the window before it ends earlier, and ends where the next begins later
         .select(
