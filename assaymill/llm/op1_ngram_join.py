@@ -10,9 +10,9 @@ The result is each document's component. Sets are compared by 64-bit hashes of t
    must share one of the first ``n - ceil(percent * n / 100) + 1`` n-grams of each. These are
    packed into parcels per bucket of n-grams, one shuffle in all. A bucket keeps the n-grams met
    by two sets of compatible size; unique ones, the bulk, end there.
-3. *Leaders.* In each meeting place the sets are walked by size, and compared with the smallest
-   one that their size allows. These pairs grow with the number of sets, not with its square, and
-   they already tie large groups of near copies together.
+3. *Leaders.* In each meeting place the sets are walked by size, and the smallest one that their
+   size allows leads them. Each set is compared with the leader it meets most often: one pair per
+   set, which already ties large groups of near copies together.
 4. *Signature trees.* A meeting place whose sets still lie in different components is searched
    exhaustively: its sets are dealt to blocks of bounded size, each pair of blocks gets a tree per
    side, whose nodes hold the OR of their token bitmaps, their size range and their components.
@@ -229,6 +229,17 @@ def _meeting_places(keyed: DataFrame, n: int, percent: int, common, parts: int)
 
 # --- comparing ---------------------------------------------------------------------------------------
 
+def _packed(hashes: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted hashes, byte by byte of all of them, which compresses the leading ones."""
+    columns = (hashes >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].T
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(columns).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(6, -1).T
+    return np.ascontiguousarray(np.pad(columns, ((0, 0), (0, 2)))).view(np.uint64).ravel()
+
+
 def _compared_sets(keyed: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(sid, hashes) of the documents in ``wanted`` (key): a fixed-size bit filter keeps the other
     texts from being hashed and moved. A false hit is only a set that no pair asks for."""
@@ -245,37 +256,39 @@ def _compared_sets(keyed: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     def take(batch: pa.RecordBatch):
         slots = batch.column("slot").to_numpy(zero_copy_only=False)
         hit = (shared.value[slots >> 6] >> (slots & 63)) & 1 == 1
-        texts = utf8(batch.column("text").filter(pa.array(hit)))
-        sets = [ngram_set(t, n) for t in texts]
+        # equal sets of one batch are sent once; of others, twice does no harm
+        sets = {set_id(s): s for s in (ngram_set(t, n) for t in utf8(batch.column("text").filter(pa.array(hit))))}
         if sets:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [pa.array(list(sets), pa.int64()), pa.array(map(_packed, sets.values()), pa.binary())],
                 names=["sid", "hashes"])
 
-    return map_arrow(keyed.select("text", slot.alias("slot")), take, "sid long, hashes binary").dropDuplicates(["sid"])
+    return map_arrow(keyed.select("text", slot.alias("slot")), take, "sid long, hashes binary")
 
 
 def linked(size_a: int, size_b: int, overlap: int, percent: int) -> bool:
     return 100 * overlap >= percent * (size_a + size_b - overlap)
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets link, by exact overlap."""
+def _links(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets link, by exact overlap. Only sets that a pair asks for are made,
+    from the texts; so a set travels once as ``v`` and, if it leads, once as ``u``."""
 
     def compare(batch: pa.RecordBatch):
         keep = []
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            a, b = _unpacked(a), _unpacked(b)
             if len(a) > len(b):
                 a, b = b, a
             at = np.minimum(np.searchsorted(b, a), len(b) - 1)
             keep.append(linked(len(a), len(b), int((b[at] == a).sum()), percent))
         yield batch.select(["u", "v"]).filter(pa.array(keep))
 
-    both = (
-        pairs.join(sets.select(F.col("sid").alias("u"), F.col("hashes").alias("a")), "u")
-        .join(sets.select(F.col("sid").alias("v"), F.col("hashes").alias("b")), "v")
-    )
+    def sets_of(side: str, as_: str) -> DataFrame:
+        wanted = classes.select("sid", "key").join(pairs.select(F.col(side).alias("sid")).distinct(), "sid", "left_semi")
+        return _compared_sets(keyed, wanted, n).select(F.col("sid").alias(side), F.col("hashes").alias(as_))
+
+    both = pairs.join(sets_of("v", "b"), "v").join(sets_of("u", "a"), "u")
     return map_arrow(both.select("u", "v", "a", "b"), compare, "u long, v long")
 
 
@@ -384,13 +397,14 @@ def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     rows = first.where(F.col("slice").isNull()).select("doc_id", "key", "sid", "size", "bits")
     common = spark.sparkContext.broadcast(_common(first.where(F.col("slice").isNotNull()).select("slice", "counts")))
     places = staged(_meeting_places(keyed.select("text"), n, percent, common, partitions(spark)), "places")
-    classes = rows.where(F.col("size") > 0).dropDuplicates(["sid"])
-    met = places.select("sid").distinct()
-    sets = staged(_compared_sets(keyed, classes.join(met, "sid", "left_semi"), n), "compared")
-    by_leader = staged(_links(
-        places.where(F.col("sid") != F.col("leader")).select(F.col("leader").alias("u"), F.col("sid").alias("v")).distinct(),
-        sets, percent), "links")
-    by_tree = staged(_links(_tree_pairs(places, classes, components(by_leader), percent), sets, percent), "links")
+    classes = staged(rows.where(F.col("size") > 0).dropDuplicates(["sid"]), "classes")
+    # each set is compared with the leader it meets most often
+    led = staged(
+        places.where(F.col("sid") != F.col("leader")).groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.col("sid").alias("v")).agg(F.max_by("leader", F.struct("n", "leader")).alias("u")), "led")
+    by_leader = staged(_links(led, keyed, classes, n, percent), "links")
+    left = staged(_tree_pairs(places, classes, components(by_leader), percent), "left")
+    by_tree = staged(_links(left, keyed, classes, n, percent), "links")
     comps = components(by_leader.unionByName(by_tree))
     # from sets back to documents: a component's least id is pre-aggregated before it moves
     tied = staged(rows.drop("bits").join(comps.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
