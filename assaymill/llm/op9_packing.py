@@ -2,7 +2,7 @@
 
 Documents are tokenized and cut into pieces of at most ``capacity`` tokens; only the histogram of
 piece lengths (at most ``capacity`` numbers, whatever the corpus) reaches the driver. There the
-lengths above a sixteenth of the capacity are rounded up to 256 classes, and the covering program
+lengths above a sixteenth of the capacity are rounded to 256 classes, and the covering program
 "as few bins as possible, each filled by a configuration of classes" is solved by multiplicative
 weights: every round prices the classes, a knapsack dynamic program finds the dearest
 configuration, and the covered classes lose weight. The rounded-down configurations are filled
@@ -21,7 +21,11 @@ from __future__ import annotations
 
 import bisect
 import functools
+import os
+import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -32,39 +36,94 @@ from pyspark.sql import functions as F
 
 from .shared import map_arrow, partitions, staged, utf8
 
-#: Distinct blank-separated chunks whose ids a worker keeps at hand.
-CACHED_CHUNKS = 300_000
+#: Distinct blank-separated chunks, and as many pieces of such chunks, in each of the two generations of ids
+#: that a worker keeps at hand.
+CACHED = 300_000
 #: Parts of the capacity that classes of lengths are multiples of.
 UNITS = 256
 
 
 # --- tokens ------------------------------------------------------------------------------------------
 
-@functools.lru_cache(1)
-def _tokenizer(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
-
-
-def token_bytes(text: bytes, path: str) -> bytes:
-    """The ids as little-endian 32-bit numbers. No token of this family of tokenizers reaches over
-    white space, so each blank-separated chunk has its own ids, kept for the next time."""
-    tokenizer, known = _tokenizer(path)
-    chunks = text.split()
-    parts = list(map(known.get, chunks))
-    if None in parts:
-        new = list({c for c, p in zip(chunks, parts) if p is None})
-        encoded = tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        ids = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, encoded)}
-        parts = [ids[c] if p is None else p for c, p in zip(chunks, parts)]
-        if len(known) + len(ids) > CACHED_CHUNKS:
-            known.clear()
-        known.update((c, b) for c, b in ids.items() if len(c) <= 40)
-    return b"".join(parts)
+# The tokenizer's own splitting rule, for chunks of ASCII and Latin-1 letters in lower case.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_SIMPLE = re.compile(r"[!-~À-ÿ]+")
+
+
+def _byte_letters() -> str:
+    """Byte-level vocabularies write a byte as the character it prints, the others as 256, 257, ..."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in shown)
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return "".join(letters[b] for b in range(256))
+
+
+class ChunkTokenizer:
+    """Ids of blank-separated chunks. No token reaches over white space, so each chunk has its own.
+
+    A chunk not seen lately is cut into the pieces that the vocabulary's rule makes of it; what isn't
+    plain ASCII or Latin-1, or might hold a special token, goes through the whole tokenizer."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.letters = _byte_letters()
+        self.chunks: dict[bytes, bytes] = {}
+        self.old_chunks: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        # the short way is taken only where it is known to give what the whole tokenizer gives
+        probe = "It's a Café, they're 12 (ÀÉ) naïve--no! schß"
+        self.short = False
+        self.short = sys.byteorder == "little" and self.text(probe.encode()) == self.text_as(probe, True)
+
+    def text_as(self, text: str, short: bool) -> bytes:
+        return b"".join(self._short(c) if short else self._whole(c) for c in text.split(" "))
+
+    def _whole(self, chunk: str) -> bytes:
+        return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _short(self, chunk: str) -> bytes:
+        out = []
+        for piece in _PIECES.findall(chunk.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self.old_pieces.get(piece)
+                if ids is None:
+                    shown = piece.encode().decode("latin-1").translate(self.letters)
+                    ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+                if len(self.pieces) >= CACHED:
+                    self.old_pieces, self.pieces = self.pieces, {}
+                if len(piece) <= 40:
+                    self.pieces[piece] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def chunk(self, chunk: bytes) -> bytes:
+        ids = self.old_chunks.get(chunk)
+        if ids is None:
+            text = chunk.decode()
+            ids = self._short(text) if self.short and _SIMPLE.fullmatch(text) and "<|" not in text else self._whole(text)
+        if len(self.chunks) >= CACHED:
+            self.old_chunks, self.chunks = self.chunks, {}
+        if len(chunk) <= 40:
+            self.chunks[chunk] = ids
+        return ids
+
+    def text(self, text: bytes) -> bytes:
+        """The ids of a text as little-endian 32-bit numbers."""
+        chunks = text.split()
+        parts = list(map(self.chunks.get, chunks))
+        if None in parts:
+            known = self.chunks
+            parts = [p if p is not None else known.get(c) or self.chunk(c) for c, p in zip(chunks, parts)]
+        return b"".join(parts)
+
+
+_tokenizer = functools.lru_cache(1)(ChunkTokenizer)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
@@ -76,7 +135,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
     def cut(batch: pa.RecordBatch):
         out = [[] for _ in range(6)]
         for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-            ids = token_bytes(text, tokenizer) + end
+            ids = _tokenizer(tokenizer).text(text) + end
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at:at + 4 * capacity]
                 row = (doc, k, at // 4, len(part) // 4, zlib.crc32(part), part)
@@ -118,7 +177,7 @@ def _dearest(sizes: np.ndarray, prices: np.ndarray, room: int) -> np.ndarray:
 
 
 def configurations(sizes: Sequence[int], demand: Sequence[int], room: int, step: float = 0.1,
-                   rounds: int = 3000) -> list[tuple[float, np.ndarray]]:
+                   rounds: int = 1500) -> list[tuple[float, np.ndarray]]:
     """A fractional solution of: fewest bins whose configurations cover ``demand``.
 
     Multiplicative weights over the covering constraints. Each round adds the dearest
@@ -177,53 +236,83 @@ class _Open:
         return room, bins, inside
 
 
-def packing_plan(histogram: dict[int, int], capacity: int) -> tuple[dict[str, np.ndarray], int]:
-    """Slots for every piece of the histogram: arrays length, rank, sequence, offset, and how many
-    sequences there are. Entry i serves the ranks from ``rank[i]`` to the length's next entry."""
-    left = dict(histogram)
+def _filled_configurations(left: dict[int, int], capacity: int, open_bins: _Open) -> None:
+    """Rounds the program's solution down and fills its bins with real lengths, taken out of ``left``.
+
+    A class holds the lengths of one unit, rounded down, so real lengths may not all fit: the last
+    place of a bin takes the longest length that does, if it is of its class or the next lower one.
+    """
     unit = -(-capacity // UNITS)
     groups: dict[int, list[int]] = defaultdict(list)
     for length in sorted(left, reverse=True):
         if length * 16 > capacity:
-            groups[-(-length // unit)].append(length)
+            groups[length // unit].append(length)
     sizes = sorted(groups)
     demand = [sum(left[x] for x in groups[s]) for s in sizes]
-    open_bins = _Open()
+    there = sorted(x for x in left if left[x])
     for amount, config in sorted(configurations(sizes, demand, capacity // unit), key=lambda x: -x[0]):
         items = [sizes[j] for j in np.flatnonzero(config)[::-1] for _ in range(config[j])]
         bins = int(amount)
         while bins > 0:
-            # the longest lengths still there, one for each place of the configuration
             taken: dict[int, int] = defaultdict(int)
-            inside = []
-            for s in items:
-                length = next((x for x in groups[s] if left[x] > taken.get(x, 0)), None)
+            room = capacity
+            for k, s in enumerate(items):
+                if k < len(items) - 1:
+                    length = next((x for x in groups[s] if x <= room and left[x] > taken.get(x, 0)), None)
+                else:
+                    i = bisect.bisect_right(there, min(room, (s + 1) * unit - 1)) - 1
+                    while i >= 0 and left[there[i]] <= taken.get(there[i], 0):
+                        i -= 1
+                    length = there[i] if i >= 0 and there[i] // unit >= s - 1 else None
                 if length is None:
                     break
                 taken[length] += 1
-                inside.append(length)
-            if len(inside) < len(items):
+                room -= length
+            if sum(taken.values()) < len(items):
                 break
             same = min(bins, *(left[x] // k for x, k in taken.items()))
             for x, k in taken.items():
                 left[x] -= k * same
-            open_bins.add(capacity - sum(inside), same, tuple(inside))
+                if not left[x]:
+                    there.remove(x)
+            open_bins.add(room, same, tuple(x for x, k in taken.items() for _ in range(k)))
             bins -= same
-    full: list[tuple[int, tuple]] = []
+
+
+def _best_fit(left: dict[int, int], capacity: int, open_bins: _Open) -> None:
+    """Everything in ``left``, longest first, each into the fullest bins that hold it."""
     for length in sorted(left, reverse=True):
         n = left[length]
         while n > 0:
             found = open_bins.best_fit(length)
             room, bins, inside = found or (capacity, n, ())
             placed = min(n, bins)
-            if placed < bins:
-                if found:
-                    open_bins.add(room, bins - placed, inside)
+            if placed < bins and found:
+                open_bins.add(room, bins - placed, inside)
             # as many into each bin as fit, while there are enough for all of them
             each = max(1, min(room // length, n // placed))
+            if not found:
+                each = min(capacity // length, n)
+                placed = n // each
             n -= each * placed
             open_bins.add(room - each * length, placed, inside + (length,) * each)
-    full.extend(x for groups_ in open_bins.by_room.values() for x in groups_)
+
+
+def packing_plan(histogram: dict[int, int], capacity: int) -> tuple[dict[str, np.ndarray], int]:
+    """Slots for every piece of the histogram: arrays length, rank, sequence, offset, and how many
+    sequences there are. Entry i serves the ranks from ``rank[i]`` to the length's next entry.
+
+    The rounded program is completed by best fit. Where best fit alone needs fewer sequences, as on
+    histograms with many short pieces, rounding down to no configuration at all is the better rounding.
+    """
+    tries = []
+    for fill in (_filled_configurations, None):
+        left, open_bins = dict(histogram), _Open()
+        if fill:
+            fill(left, capacity, open_bins)
+        _best_fit(left, capacity, open_bins)
+        tries.append([group for groups in open_bins.by_room.values() for group in groups])
+    full = min(tries, key=lambda groups: sum(bins for bins, _ in groups))
     entries, ranks, sequence = [], defaultdict(int), 0
     for bins, inside in full:
         offset = 0
