@@ -292,7 +292,8 @@ def next_steps(events: DataFrame) -> DataFrame:
 
 
 def critical_issues(events: DataFrame) -> DataFrame:
-    """RPT18: errors titled by what their message says."""
+    """RPT18: errors titled by what their message says; ``error`` is the head of the message that the
+    report shows, ``error_message`` all of it."""
     message = F.coalesce("error_message", F.lit("No message"))
     kind, table = _or_unknown("error_type"), _or_unknown("table_name")
     title = None
@@ -307,7 +308,7 @@ def critical_issues(events: DataFrame) -> DataFrame:
     )
     return error_events(events).select(
         "table_name", "column_name", "stage", "check_name", title.otherwise(other).alias("issue"),
-        short.alias("error"),
+        short.alias("error"), message.alias("error_message"),
         F.concat(F.lit("Affects "), table, F.lit("."), _or_unknown("column_name")).alias("impact"),
     )
 

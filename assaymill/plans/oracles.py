@@ -542,7 +542,7 @@ ORACLES["critical_issues"] = f"""WITH {EVENTS} SELECT table_name, column_name, s
       THEN 'DETECTION_VALUE UPPER BOUND VALIDATION FAILURE'
     ELSE upper(error_type) || ' IN ' || upper(table_name) END AS issue,
   substr(error_message, 1, 100) || CASE WHEN length(error_message) > 100 THEN '...' ELSE '' END
-    AS error,
+    AS error, error_message,
   'Affects ' || table_name || '.' || coalesce(column_name, 'Unknown') AS impact FROM errors"""
 ORACLES["table_analysis"] = f"""WITH {EVENTS} SELECT table_name, stage,
   CASE WHEN n = 0 THEN 'PASSED' ELSE 'FAILED' END AS validation_status, total_rows, valid_rows,

@@ -167,7 +167,7 @@ SPECS = {s.name: s for s in (PROJECTS, SUBJECTS, RESULTS, MERGED, SUMMARY)}
 
 def get_spec(name: str) -> TableSpec:
     if name not in SPECS:
-        raise ValueError(f"Unsupported file type: {name}. Available types: {list(SPECS)}")
+        raise ValueError(f"no table spec is called {name!r}; there are {', '.join(SPECS)}")
     return SPECS[name]
 
 
@@ -198,24 +198,30 @@ def spec_frame(spark: SparkSession, *specs: TableSpec) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class LintRule:
+    types: tuple[str, ...]
+    exempt: tuple[str, ...]
+    kind: str
+    advice: str
+
+
 # fixed values: required columns that need no check of their own
-_LINT_EXEMPT_STRINGS = ("project_code", "study_code", "study_cohort_code", "subject_id", "sample_id")
-_LINT_EXEMPT_NUMBERS = ("detection_value", "sample_quality")
+LINT_RULES = (
+    LintRule((STRING,), ("project_code", "study_code", "study_cohort_code", "subject_id", "sample_id"),
+             "string_validation", "No check limits the texts of this column"),
+    LintRule((DOUBLE, LONG), ("detection_value", "sample_quality"),
+             "range_validation", "No check limits the numbers of this column"),
+)
 
 
 def spec_lint(spark: SparkSession, *specs: TableSpec) -> DataFrame:
     """PRJ19: required columns that no check looks at."""
-    rows = []
-    for s in specs or tuple(SPECS.values()):
-        for c in s.columns:
-            if c.nullable or c.checks:
-                continue
-            if c.type == STRING and c.name not in _LINT_EXEMPT_STRINGS:
-                rows.append((s.name, c.name, "string_validation",
-                             "Consider adding string length or pattern validation"))
-            elif c.type in (DOUBLE, LONG) and c.name not in _LINT_EXEMPT_NUMBERS:
-                rows.append((s.name, c.name, "range_validation",
-                             "Consider adding min/max value constraints"))
+    unchecked = [(s.name, c) for s in specs or SPECS.values() for c in s.columns if not (c.nullable or c.checks)]
+    rows = [
+        (table, c.name, rule.kind, rule.advice)
+        for table, c in unchecked for rule in LINT_RULES if c.type in rule.types and c.name not in rule.exempt
+    ]
     return local_table(
         spark, rows, "table_name string, column_name string, rule_type string, suggestion string"
     ).orderBy(F.col("table_name"), F.col("column_name"))
