@@ -123,7 +123,9 @@ class ChunkTokenizer:
         return b"".join(parts)
 
 
-_tokenizer = functools.lru_cache(1)(ChunkTokenizer)
+@functools.lru_cache(1)
+def _tokenizer(path: str) -> ChunkTokenizer:
+    return ChunkTokenizer(path)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
