@@ -65,3 +65,29 @@ def test_stages(spark, tmp_path):
             assert offset == end
             end += length
         assert end <= 4096
+
+
+def test_copies_are_told_by_five_words_and_four_fifths(spark):
+    import corpus_pipeline as pipeline
+
+    def text(seed, n, edits=0):
+        w = [f"w{seed}x{k}" for k in range(n)]
+        for e in range(edits):
+            w[(2 * e + 1) * n // (2 * edits)] = f"new{seed}y{e}of{edits}"
+        return " ".join(w)
+
+    # 4 edits in 190 words: 5-word sets agree to 0.8 and more, 4-word sets to less than 0.85
+    texts = [text(s, n, e) for s, (n, edits) in enumerate([(190, (0, 4)), (190, (0, 1)), (190, (0, 5)), (90, (0, 2)), (400, (0, 8, 9))]) for e in edits]
+    texts += [None, "", "few words", "few words", text(1, 190).upper()]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    sets = [shingles(t or "", 5) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    narrow = [shingles(t or "", 4) for t in texts[:2]]
+    assert group[1] == 0 and 100 * len(narrow[0] & narrow[1]) < 85 * len(narrow[0] | narrow[1])
+    kept = sorted(r["doc_id"] for r in pipeline.copies(spark, docs, FOLDER).select("doc_id").collect())
+    assert kept == [i for i in range(len(texts)) if group[i] == i]
