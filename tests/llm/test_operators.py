@@ -179,6 +179,43 @@ def test_html_text(spark):
     assert op3.extract_text(df.limit(0)).count() == 0
 
 
+def brute_open(pages, long=8, share=10):
+    """Texts of unmarked pages, given as (host, words)."""
+    out = []
+    for host, own in pages:
+        rest = {tuple(w) for h, w in pages if h == host and len(w) >= long}
+        groups = []
+        for w in rest:
+            s = {w[i:i + 5] for i in range(len(w) - 4)}
+            ties = [g for g in groups if any(100 * len(s & o) >= 80 * len(s | o) for _, o in g)]
+            groups = [g for g in groups if not any(g is t for t in ties)] + [[(w, s), *sum(ties, [])]]
+        need = 2 if len(groups) < 3 else max(3, -(-len(groups) * share // 100))
+        count = collections.Counter(x for g in groups for x in {w[i:i + long] for w, _ in g for i in range(len(w) - long + 1)})
+        gone = {i + k for i in range(len(own) - long + 1) if count[tuple(own[i:i + long])] >= need for k in range(long)}
+        out.append(" ".join(w for i, w in enumerate(own) if i not in gone))
+    return out
+
+
+def test_copies_and_quotes_on_unmarked_pages_stay(spark):
+    ship(spark)
+    notice, quote = [f"notice{k}" for k in range(10)], [f"quote{k}" for k in range(9)]
+    body = [numbered(60, 50 + i) for i in range(40)]
+    near = [*body[0][:30], "edited", *body[0][31:]]
+    pages = [("copies", body[0])] * 4 + [("copies", near)]                            # one page, whatever the ids
+    pages += [("two", body[1] + notice), ("two", notice + body[2])]                   # both pages of a small host
+    pages += [("three", body[3] + notice), ("three", body[4] + notice), ("three", body[5])]
+    pages += [("some", b + notice + (quote if i < 2 else [])) for i, b in enumerate(body[6:12])] + [("some", body[6] + notice + quote)]
+    pages += [("many", b + (notice if i < 4 else []) + (quote if i < 3 else [])) for i, b in enumerate(body[:40])]
+    pages += [("other", body[0]), ("short", ["too", "short"]), ("short", ["too", "short"])]
+    expected = brute_open(pages)
+    assert expected[:5] == [" ".join(w) for _, w in pages[:5]] and expected[5] == " ".join(body[1])
+    assert "quote0" in expected[10] and "notice0" not in expected[10]
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", f"<body><div>{' '.join(w)}</div></body>") for i, (h, w) in enumerate(pages)],
+                               "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in op3.extract_text(df).collect()}
+    assert [out[i] for i in range(len(pages))] == expected
+
+
 def test_line_frequency(spark, docs, texts, empty):
     for r in op4.line_frequency_rules(docs.where("doc_id IS NOT NULL")).collect():
         t = texts[r["doc_id"]] or ""
