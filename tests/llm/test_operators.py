@@ -179,6 +179,27 @@ def test_html_text(spark):
     assert op3.extract_text(df.limit(0)).count() == 0
 
 
+def test_named_containers_beside_the_text_are_not_main(spark):
+    ship(spark)
+    body = "<div class='content'><p>body of page {0} here</p></div>"
+    pages = [
+        (PAGE.format(body.format(0)), "body of page 0 here"),  # the short advert goes by its name
+        (body.format(1) + "<section id='comments'><p>a long remark of one reader about page one and nothing else</p>"
+         "<article>a remark in an article of its own</article></section>", "body of page 1 here"),
+        ("<div class=sidebar>Top ten</div><p class='notice'>We moved" + body.format(2) + "<span role='banner'>Hi</span>", "body of page 2 here"),
+        ("<div class='layout has-sidebar with-comments'>" + body.format(3) + "<div class='sidebar right'>More</div></div>", "body of page 3 here"),
+        ("<div class='page-sidebar'><article>the article 4</article> aside</div>", "the article 4"),
+        ("<div class='sidebar'><article>teaser</article></div><main>the article 5</main>", "the article 5"),
+        ("<div class='widget Blog'>" + body.format(6) + "</div><div class='sidebar'>x</div>", "body of page 6 here"),
+        ("<div class='ads'>Buy <p>more</div><div class='comments'>yes</div>", ""),
+        ("<article><p>one<p class='share'>Tell<div>two</div></article>", "one two"),
+        ("<p class='ad'>Buy <b>now<div>rest 9</div>", "rest 9"),
+    ]
+    df = spark.createDataFrame([(i, f"http://h{i}/", h) for i, (h, _) in enumerate(pages)], "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in op3.extract_text(df).collect()}
+    assert [out[i] for i in range(len(pages))] == [want for _, want in pages]
+
+
 def brute_open(pages, long=8, share=10):
     """Texts of unmarked pages, given as (host, words)."""
     out = []
