@@ -2,13 +2,14 @@
 
 Each text is scanned once for the base kinds (assignments, access keys, hex runs) and for further
 long mixed tokens. The values found are candidates; only their 128-bit digests leave the task.
-Over the whole corpus a candidate's distinct repositories and owners are counted: one that few
-owners and few repositories hold, and that looks random, is ``live``; one found widely is a copied
-example. The base spans stay as they are; the live candidates are added as spans of kind ``live``.
+Over the whole corpus a candidate's distinct owners are counted: one that few owners hold, in however
+many documents, and that looks random for its length, is ``live``; one that many owners hold is a copied
+example. Where no owner is named at all, few repositories decide instead. The base spans stay as they
+are; the live candidates are added as spans of kind ``live``.
 
-By default a document is a repository and its source the owner. Counting goes by distinct
-(digest, owner, repository), then per (digest, owner), then per digest, each pre-aggregated before
-it moves, so an example that a third of the documents hold is a few rows per task.
+By default a document's source is the owner, and its text the repository, so that exact copies of a
+text are one. Distinct owners and repositories are told apart per digest and pre-aggregated before
+they move, so an example that a third of the documents hold is a few rows per task.
 
 Defined results: null or empty text has no spans; null owner or repository counts as one owner or
 repository; equal rows each get the same result; an empty table gives an empty table.
@@ -60,7 +61,8 @@ def entropy(value: str) -> float:
 
 def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
     """(start, end, value) of the values that look random: those of the base spans, and long tokens
-    that mix digits with letters of both cases."""
+    that mix digits with letters of both cases. Random is three quarters of the entropy that the
+    length allows, 3 bits from 16 characters on."""
     found = {(end - len(value), end): value for _, _, end, value in base}
     if b"1" * 20 in text.encode().translate(_LONG_MAP):
         for m in _LONG.finditer(text):
@@ -68,7 +70,7 @@ def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[i
             if re.search("[0-9]", v) and re.search("[a-z]", v) and re.search("[A-Z]", v) and not any(
                     s < m.end() and m.start() < e for s, e in found):
                 found[m.span()] = v
-    return [(s, e, v) for (s, e), v in sorted(found.items()) if len(v) >= 16 and entropy(v) >= 3.0]
+    return [(s, e, v) for (s, e), v in sorted(found.items()) if entropy(v) >= 0.75 * math.log2(min(len(v), 16))]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
@@ -94,17 +96,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 
     return map_arrow(docs.select(
         F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("long").alias("doc_id"),
-        F.col(owner_col).cast("string").alias("owner"), F.col(repo_col or id_col).cast("string").alias("repo"),
+        F.col(owner_col).cast("string").alias("owner"),
+        (F.col(repo_col) if repo_col else F.xxhash64(text_col)).cast("string").alias("repo"),
         F.col(text_col).cast("string").alias("text")), look, schema)
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(digest, n_repos, n_owners) from (digest, owner, repo), over the whole corpus."""
-    return (
-        found.select("digest", "owner", "repo").distinct()
-        .groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("repos"))
-        .groupBy("digest").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
-    )
+    """(digest, n_repos, n_owners, owned) from (digest, owner, repo), over the whole corpus; ``owned``
+    if an owner is named."""
+    return found.groupBy("digest").agg(
+        F.count_distinct(F.struct("repo")).alias("n_repos"), F.count_distinct(F.struct("owner")).alias("n_owners"),
+        F.max(F.col("owner").isNotNull()).alias("owned"))
 
 
 def find_secrets(docs: DataFrame, max_repos: int = 10, max_owners: int = 3, id_col: str = "doc_id",
@@ -112,7 +114,8 @@ def find_secrets(docs: DataFrame, max_repos: int = 10, max_owners: int = 3, id_c
     """(doc_id, base, live): spans per row of ``docs``, in order; live ones carry their counts."""
     rows = staged(scan(docs, id_col, text_col, owner_col, repo_col), "scan")
     found = rows.select("row_no", "owner", "repo", F.explode("found").alias("f")).select("row_no", "owner", "repo", "f.*")
-    rare = ownership(found).where((F.col("n_repos") <= max_repos) & (F.col("n_owners") <= max_owners))
+    rare = ownership(found).where(
+        (F.col("n_owners") <= max_owners) & (F.col("owned") | (F.col("n_repos") <= max_repos)))
     live = found.join(rare, "digest").groupBy("row_no").agg(F.array_sort(F.collect_set(
         F.struct("start", "end", "n_repos", "n_owners"))).alias("live"))
     return rows.select("row_no", "doc_id", "base").join(live, "row_no", "left").select(

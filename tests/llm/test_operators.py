@@ -425,3 +425,20 @@ def test_ownership_separates_examples_from_live_secrets(spark, empty):
     assert all(not out[i]["live"] for i in range(30)) and not out[101]["live"]
     assert [(s["start"], s["end"]) for s in out[100]["live"]] == [(8, 28)]
     assert op10.find_secrets(empty).count() == 0
+
+
+def test_secrets_of_few_owners_are_live_in_any_number_of_documents(spark):
+    ship(spark)
+    one, copied, example, nobody = "Ab3dEf6hIj9lMn2pQr5t", "Kd8sLw2nVb5xQz7mTy4c", "Zx9yWv8uTs7rQp6oNm5l", "Pq4rSt6uVw8xYz1aBc3d"
+    held = [(f"note {i} has {one}", "s1") for i in range(40)] + [(f"copy of {copied}", f"s{i % 3}") for i in range(50)]
+    held += [(f"see {example} {i}", f"s{i}") for i in range(4)] + [(f"page {i} {nobody}", None) for i in range(11)]
+    held += [(f"copy {nobody[::-1]}", None)] * 12
+    short = {"k7#": False, "k7Qz3x": True, "aaaaab": False, "hT5-pw92Lm": True, "x7Gq2Lp9Rv4Tz1": True, "abababababab": False}
+    held += [(f"password={v}", "s9") for v in short] + [("password=Tr0ub4dor", f"t{i}") for i in range(4)]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(held)], "doc_id long, text string, source string")
+    out = {r["doc_id"]: {held[r["doc_id"]][0][s["start"]:s["end"]] for s in r["live"]} for r in op10.find_secrets(df).collect()}
+    want = [one in t or copied in t or nobody[::-1] in t or any(t == f"password={v}" and live for v, live in short.items()) for t, _ in held]
+    assert [bool(out[i]) for i in range(len(held))] == want
+    assert {v for x in out.values() for v in x} == {one, copied, nobody[::-1], *[v for v in short if short[v]]}
+    n = op10.find_secrets(df).where("doc_id IN (0, 40)").selectExpr("doc_id", "live[0].n_repos r", "live[0].n_owners o").collect()
+    assert {tuple(x) for x in n} == {(0, 40, 1), (40, 1, 3)}
