@@ -93,8 +93,8 @@ def op5_topk(spark, folder):
     return op5.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
-#: The documents name no domain; a source's number stands for one.
-DOMAIN = ("CASE CAST(regexp_extract(source, '[0-9]+$', 0) AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' "
+#: The documents name no domain; a source's number stands for one. Without a number that fits: 'other'.
+DOMAIN = ("CASE TRY_CAST(regexp_extract(source, '[0-9]+$', 0) AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' "
           "WHEN 2 THEN 'forum' ELSE 'other' END")
 WEIGHTS = {"domain": {"web": 5, "books": 3, "forum": 2}, "language": {"en": 6, "de": 2, "fr": 1, "es": 1}, "source": {}}
 

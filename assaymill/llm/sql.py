@@ -112,7 +112,7 @@ b{depth} AS (SELECT {path}, tokens, CASE WHEN short IS NULL OR place < short THE
 
 
 OP6 = f"""
-WITH d AS (SELECT doc_id, {DOMAIN.replace("CAST(regexp_extract(source, '[0-9]+$', 0) AS INT)", "TRY_CAST(regexp_extract(source, '[0-9]+$', 0) AS INT)")} AS domain,
+WITH d AS (SELECT doc_id, {DOMAIN} AS domain,
   lang AS language, source, len({_words("text")}) AS tokens FROM documents),
 leaves AS (SELECT domain, language, source, sum(tokens) AS tokens FROM d GROUP BY ALL),
 {_level(0)},{_level(1)},{_level(2)},

@@ -442,3 +442,11 @@ def test_secrets_of_few_owners_are_live_in_any_number_of_documents(spark):
     assert {v for x in out.values() for v in x} == {one, copied, nobody[::-1], *[v for v in short if short[v]]}
     n = op10.find_secrets(df).where("doc_id IN (0, 40)").selectExpr("doc_id", "live[0].n_repos r", "live[0].n_owners o").collect()
     assert {tuple(x) for x in n} == {(0, 40, 1), (40, 1, 3)}
+
+
+def test_sources_without_a_number_fall_to_other(spark):
+    from assaymill.llm.queries import DOMAIN
+
+    sources = {"": "other", "press": "other", None: "other", "s12345678901": "other", "9s": "other", "s3": "web", "s4": "books", "s5": "forum"}
+    df = spark.createDataFrame([(s,) for s in sources], "source string")
+    assert {r["source"]: r["domain"] for r in df.select("source", F.expr(DOMAIN).alias("domain")).collect()} == sources
