@@ -17,6 +17,9 @@ from . import op7_toxicity as op7
 from . import op8_superkmers as op8
 from . import op9_packing as op9
 from . import op10_secrets as op10
+from . import op11_byte_bpe as op11
+from . import op12_whitening as op12
+from . import op13_conversation_repair as op13
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +116,24 @@ def op7_toxicity(spark, folder):
     return op7.score(docs, classifier).select(
         "row.doc_id", op7.held_out(F.col("row.doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op11_byte_bpe(spark, folder):
+    """Ids and decoded bytes travel as digests: the operator itself returns them whole."""
+    import public_tokenizers
+
+    codec = op11.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = op11.decode(op11.encode(table(spark, folder, "documents"), codec, keep=["doc_id"]), codec)
+    return out.select("row.doc_id", op11.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_whitening(spark, folder):
+    return op12.whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_conversation_repair(spark, folder):
+    return op13.repair(op13.damage(table(spark, folder, "conversations")), lost_col="lost")
