@@ -17,7 +17,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 def local_table(spark: SparkSession, rows: Iterable[Sequence[Any]], ddl: str) -> DataFrame:
     """Rows known to the driver (specs, mappings, counts) as a table."""
-    schema = T.StructType.fromDDL(ddl)
+    return local_rows(spark, rows, T.StructType.fromDDL(ddl))
+
+
+def local_rows(spark: SparkSession, rows: Iterable[Sequence[Any]], schema: T.StructType) -> DataFrame:
+    """The same with a schema at hand."""
     rows = list(rows)
     arrays = [
         pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(to_arrow_schema(schema))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import percentage
@@ -112,6 +112,15 @@ def table_metrics(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame
     return with_rates(rows_in.join(rows_out, "table_name", "full"))
 
 
+def counted_metrics(
+    spark: SparkSession, rows_in: Mapping[str, int], rows_out: Mapping[str, int],
+) -> DataFrame:
+    """RPT19 from numbers of rows that staged writes have counted."""
+    return with_rates(local_table(
+        spark, [(n, rows_in.get(n), rows_out[n]) for n in rows_out],
+        "table_name string, input_rows bigint, output_rows bigint"))
+
+
 def with_rates(counts: DataFrame) -> DataFrame:
     """``table_name, input_rows, output_rows`` with what was lost. A table without an input (made
     by the run itself) has neither loss nor rate."""
@@ -123,12 +132,19 @@ def with_rates(counts: DataFrame) -> DataFrame:
     )
 
 
-def stage_delta(before: DataFrame, after: DataFrame, table: str) -> DataFrame:
-    """AGG11: shape before and after cleaning, rows removed, columns added."""
+def stage_delta(
+    before: DataFrame, after: DataFrame, table: str, rows: tuple[int, int] | None = None,
+) -> DataFrame:
+    """AGG11: shape before and after cleaning, rows removed, columns added. ``rows`` brings the numbers of
+    rows where a staged write has counted them; only then neither table is read."""
+    if rows is None:
+        counts = (
+            row_counts({"before": before, "after": after})
+            .groupBy().pivot("table_name", ["before", "after"]).agg(F.max("row_count")))
+    else:
+        counts = local_table(before.sparkSession, [rows], "before bigint, after bigint")
     return (
-        row_counts({"before": before, "after": after})
-        .groupBy().pivot("table_name", ["before", "after"]).agg(F.max("row_count"))
-        .select(
+        counts.select(
             F.lit(table).alias("table_name"), F.col("before").alias("rows_before"),
             F.col("after").alias("rows_after"),
             F.lit(len(before.columns)).alias("columns_before"),

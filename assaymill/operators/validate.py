@@ -126,7 +126,12 @@ class Validation:
 
     def stats(self, *more: Column) -> DataFrame:
         """One row with the aggregates, and ``more`` of the caller's from the same pass."""
-        out = self.prepared().agg(*self.aggregates(), *more)
+        return self.completed(self.prepared().agg(*self.aggregates(), *more))
+
+    def completed(self, stats: DataFrame) -> DataFrame:
+        """The row of :meth:`aggregates`, wherever it was measured, with the counts of the rules that
+        need a shuffle."""
+        out = stats
         for i, (_, counted) in enumerate(self._counted_elsewhere()):
             out = out.withColumn(f"elsewhere_{i}", counted.select("failed_cells").scalar())
         return out

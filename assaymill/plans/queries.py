@@ -16,6 +16,7 @@ from ..functions import (
     composite_code, convert, is_finished, map_values, severity, standardize, to_timestamp,
 )
 from ..functions.scores import first_match, severity_priority
+from ..local import measured
 from ..operators import dedup, gate, merge, metrics, profile, reports
 from ..operators.constraints import Constraint, apply_constraints, drop_counts
 from ..operators.skew import hot_keys
@@ -57,18 +58,16 @@ def _clean_projects(spark, folder) -> DataFrame:
     return clean(raw_projects(spark, folder), PROJECTS, default_config())
 
 
-def _hot(spark, folder, *key_sets) -> list[list[int]]:
-    """Hot keys of the subjects, told from the standardised keys without the duplicate removal."""
-    recipe = generate_recipe(SUBJECTS, default_config()).without("duplicate_removal")
-    return hot_keys(apply_recipe(raw_subjects(spark, folder), recipe), *key_sets)
+def _joined(projects: DataFrame, subjects: DataFrame, results: DataFrame) -> DataFrame:
+    """The merged table; ``subjects`` is staged, as its hot keys are looked for first."""
+    hot_samples, hot_projects = hot_keys(subjects, ["sample_id"], fixed.PROJECT_KEYS)
+    return merge.merge_tables(
+        projects, subjects, results, hot_samples=hot_samples, hot_projects=hot_projects)
 
 
 def _merged(spark, folder) -> DataFrame:
-    samples, projects = _hot(spark, folder, ["sample_id"], fixed.PROJECT_KEYS)
-    return merge.merge_tables(
-        _clean_projects(spark, folder), _clean_subjects(spark, folder),
-        _clean_results(spark, folder), hot_samples=samples, hot_projects=projects,
-    )
+    subjects = Staging(spark).put(_clean_subjects(spark, folder), "clean_subjects")
+    return _joined(_clean_projects(spark, folder), subjects, _clean_results(spark, folder))
 
 
 def _dates_as_text(df: DataFrame) -> DataFrame:
@@ -496,7 +495,9 @@ def column_status_strict(spark, folder):
 def table_score(spark, folder):
     """VAL18, VAL14, VAL15."""
     parts = [_raw_validation(spark, folder, n).score() for n in ("projects", "subjects", "results")]
-    parts.append(validate(_clean_results(spark, folder), RESULTS, "after_cleaning").score())
+    check = validate(_clean_results(spark, folder), RESULTS, "after_cleaning")
+    _, stats = Staging(spark).put_observed(check.prepared(), "clean_results", check.aggregates(), check.df.columns)
+    parts.append(check.score(stats))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -537,13 +538,14 @@ _RUN = "run-1"
 
 
 def _events(spark, folder) -> DataFrame:
+    """At most one row per rule, and two per validated table: measured once and held."""
     ts = F.lit("2024-01-01 00:00:00").cast("timestamp")
     out = None
     for name in ("projects", "subjects", "results"):
         e = reports.validation_events(_raw_validation(spark, folder, name), _RUN, event_ts=ts)
         out = e if out is None else out.unionByName(e)
     after = validate(_clean_results(spark, folder), RESULTS, "after_cleaning")
-    return out.unionByName(reports.validation_events(after, _RUN, event_ts=ts))
+    return measured(out.unionByName(reports.validation_events(after, _RUN, event_ts=ts)))
 
 
 @query
@@ -734,12 +736,14 @@ def report_stats(spark, folder):
 
 @query
 def table_metrics(spark, folder):
-    """RPT19, AGG10."""
-    return metrics.table_metrics(
-        {"projects": raw_projects(spark, folder), "subjects": raw_subjects(spark, folder),
-         "results": raw_results(spark, folder)},
-        {"projects": _clean_projects(spark, folder), "subjects": _clean_subjects(spark, folder),
-         "results": _clean_results(spark, folder), "merged": _merged(spark, folder)})
+    """RPT19, AGG10: every table is made once; the writes count its rows."""
+    staging, tidy, rows_in, rows_out = Staging(spark), {}, {}, {}
+    for spec, make in ((PROJECTS, raw_projects), (SUBJECTS, raw_subjects), (RESULTS, raw_results)):
+        raw, rows_in[spec.name] = staging.put_counted(make(spark, folder), f"raw_{spec.name}")
+        tidy[spec.name], rows_out[spec.name] = staging.put_counted(
+            clean(raw, spec, default_config()), f"clean_{spec.name}")
+    _, rows_out["merged"] = staging.put_counted(_joined(**tidy), "merged")
+    return metrics.counted_metrics(spark, rows_in, rows_out)
 
 
 @query
@@ -759,8 +763,10 @@ def mapping_effects(spark, folder):
 @query
 def stage_delta(spark, folder):
     """AGG11."""
-    raw = raw_results(spark, folder).drop(dedup.ROW_POSITION)
-    return metrics.stage_delta(raw, _clean_results(spark, folder), "results")
+    staging = Staging(spark)
+    raw, rows_in = staging.put_counted(raw_results(spark, folder), "raw_results")
+    tidy, rows_out = staging.put_counted(clean(raw, RESULTS, default_config()), "clean_results")
+    return metrics.stage_delta(raw.drop(dedup.ROW_POSITION), tidy, "results", (rows_in, rows_out))
 
 
 # --- sources and sinks -----------------------------------------------------------------------------------------------------

@@ -1,7 +1,8 @@
 """The whole run: extract, gate, clean, merge, validate, summarise, save, report.
 
 Every table is scanned once and staged as Parquet (see :class:`Staging`); each later stage reads
-the staged columns it needs. Per table the driver sees one row of counts per pass.
+the staged columns it needs. Row, null and rule counts are observed by the write that makes a table,
+so no table is read again to be counted; only unique keys need a shuffle of their own.
 """
 
 from __future__ import annotations
@@ -20,17 +21,17 @@ from ..errors import AssayError, ExtractionError, GateFailed, PlanError
 from ..local import local_table, measured
 from ..operators.gate import gate_passed, key_gate, null_ratio_gate
 from ..operators.merge import merge_tables, orphan_counts
-from ..operators.metrics import STEP_SCHEMA, mapping_effects, step_metrics, with_rates
+from ..operators.metrics import STEP_SCHEMA, counted_metrics, mapping_effects, step_metrics
 from ..operators.profile import null_counts
 from ..operators.reports import AFTER_CLEANING, build_reports, validation_events
 from ..operators.skew import hot_keys
 from ..operators.summary import summarise
-from ..operators.validate import validate
+from ..operators.validate import Validation, validate
 from ..sources import (
     Staging, extract_projects, extract_results, extract_subjects, spread, write_parquet, write_recipes,
     write_report, write_summary_csv,
 )
-from ..specs import MERGED, PROJECTS, RESULTS, SUBJECTS, SUMMARY, spec_frame
+from ..specs import MERGED, PROJECTS, RESULTS, SUBJECTS, SUMMARY, TableSpec, spec_frame
 from .recipe import apply_recipe, generate_recipe, recipe_frame, rename_columns
 
 INPUTS = (PROJECTS, SUBJECTS, RESULTS)
@@ -50,11 +51,12 @@ class RunResult:
     gate: DataFrame | None = None
     events: DataFrame | None = None
     reports: dict[str, DataFrame] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
 
     def data_summary(self) -> dict[str, int]:
-        """AGG10: rows per table, 0 for a table the run did not reach."""
+        """AGG10: rows per table as observed when it was written, 0 for a table the run did not reach."""
         names = ("projects", "subjects", "results", "merged", "summary")
-        return {n: self.tables[n].count() if n in self.tables else 0 for n in names}
+        return {n: self.rows.get(n, 0) for n in names}
 
 
 class Pipeline:
@@ -96,54 +98,32 @@ class Pipeline:
     # --- stages -------------------------------------------------------------------------------------
 
     def _run(self, result: RunResult, staging: Staging, write: bool) -> None:
-        raw = {s.name: self._extract(s.name, staging) for s in INPUTS}
-        renamed = {
-            s.name: rename_columns(
-                raw[s.name],
-                self.recipes[s.name].step("column_mapping").parameters["column_mappings"],
-            )
-            for s in INPUTS
-        }
-        before = {s.name: validate(renamed[s.name], s, BEFORE_CLEANING) for s in INPUTS}
-        # one pass per raw table measures the gate and the validation before cleaning
-        stats = {
-            n: measured(v.stats(*null_counts(v.df), F.count(F.lit(1)).alias("row_count")))
-            for n, v in before.items()
-        }
-        result.gate = self._gate(renamed, stats)
+        # the write of a raw table measures the gate and the validation before cleaning
+        raw, before, stats = {}, {}, {}
+        for s in INPUTS:
+            raw[s.name], before[s.name], stats[s.name] = self._extract(s, staging)
+        result.gate = self._gate({n: v.df for n, v in before.items()}, stats)
         if not gate_passed(result.gate):
             raise GateFailed("Data quality check failed - too much corrupted data")
 
-        cleaned = {
-            s.name: staging.put(
-                apply_recipe(raw[s.name], self.recipes[s.name]), f"clean_{s.name}"
-            )
-            for s in INPUTS
-        }
-        result.tables.update(cleaned)
-        after = {s.name: validate(cleaned[s.name], s, AFTER_CLEANING) for s in INPUTS}
-        stats_after = {n: measured(v.stats()) for n, v in after.items()}
+        after, stats_after = {}, {}
+        for s in INPUTS:
+            tidy = apply_recipe(raw[s.name], self.recipes[s.name])
+            self._put_checked(result, staging, tidy, s, f"clean_{s.name}", after, stats_after)
+        cleaned = {s.name: result.tables[s.name] for s in INPUTS}
 
         subjects = cleaned["subjects"]
         project_keys = [k for k in fixed.PROJECT_KEYS
                         if k in subjects.columns and k in cleaned["projects"].columns]
         hot = hot_keys(subjects, ["sample_id"], *([project_keys] if project_keys else []))
-        merged = staging.put(
-            merge_tables(cleaned["projects"], subjects, cleaned["results"],
-                         hot_samples=hot[0], hot_projects=hot[1] if project_keys else ()),
-            "merged",
-        )
-        check = validate(merged, MERGED, AFTER_CLEANING)
-        stats_after["merged"] = measured(check.stats())
-        check.raise_if_failed(check.rule_counts(stats_after["merged"]))
-        after["merged"] = check
-        result.tables["merged"] = merged
+        joined = merge_tables(cleaned["projects"], subjects, cleaned["results"],
+                              hot_samples=hot[0], hot_projects=hot[1] if project_keys else ())
+        merged = self._put_checked(result, staging, joined, MERGED, "merged", after, stats_after)
+        after["merged"].raise_if_failed(after["merged"].rule_counts(stats_after["merged"]))
 
         keys = (self.config.get("summary") or {}).get("groupby_columns") or fixed.PROJECT_KEYS
-        summary = staging.put(summarise(merged, keys, ordered=False), "summary")
-        result.tables["summary"] = summary
-        after["summary"] = validate(summary, SUMMARY, AFTER_CLEANING)
-        stats_after["summary"] = measured(after["summary"].stats())
+        summary = self._put_checked(
+            result, staging, summarise(merged, keys, ordered=False), SUMMARY, "summary", after, stats_after)
 
         files = self.config.get("files") or {}
         if write:
@@ -167,12 +147,37 @@ class Pipeline:
             raise PlanError(f"files.{key} is not configured")
         return path
 
-    def _extract(self, name: str, staging: Staging) -> DataFrame:
+    def _extract(self, spec: TableSpec, staging: Staging) -> tuple[DataFrame, Validation, DataFrame]:
+        """The staged raw table, its validation under the names of the spec, and the counts of both
+        the validation and the gate."""
+        name = spec.name
+        mapping = self.recipes[name].step("column_mapping").parameters["column_mappings"]
         df = self.sources[name](self.spark, self._path(f"{name}_file"))
         try:
-            return staging.put(spread(df), f"raw_{name}")
+            view = rename_columns(spread(df), mapping)
+            check = validate(view, spec, BEFORE_CLEANING)
+            counts = [*check.aggregates(), *null_counts(view), F.count(F.lit(1)).alias("row_count")]
+            raw, stats = staging.put_observed(
+                check.prepared(), f"raw_{name}", counts, dict(zip(df.columns, view.columns)))
+        except AssayError:
+            raise
         except Exception as e:  # a malformed record surfaces when the scan runs
             raise ExtractionError(f"Failed to extract {name}: {str(e).splitlines()[0]}") from e
+        staged_check = validate(rename_columns(raw, mapping), spec, BEFORE_CLEANING)
+        return raw, staged_check, measured(staged_check.completed(stats))
+
+    def _put_checked(
+        self, result: RunResult, staging: Staging, df: DataFrame, spec: TableSpec, name: str,
+        after: dict[str, Validation], stats: dict[str, DataFrame],
+    ) -> DataFrame:
+        """Stage a table of the run; its validation is measured by the write."""
+        check = validate(df, spec, AFTER_CLEANING)
+        table, counts = staging.put_observed(check.prepared(), name, check.aggregates(), df.columns)
+        after[spec.name] = validate(table, spec, AFTER_CLEANING)
+        stats[spec.name] = measured(after[spec.name].completed(counts))
+        result.tables[spec.name] = table
+        result.rows[spec.name] = counts.first()["total_rows"]
+        return table
 
     def _gate(self, tables: Mapping[str, DataFrame], stats: Mapping[str, DataFrame]) -> DataFrame:
         return (
@@ -190,10 +195,6 @@ class Pipeline:
     def _metrics(self, raw, cleaned, stats, stats_after) -> dict[str, DataFrame]:
         rows_in = {n: s.first()["total_rows"] for n, s in stats.items()}
         rows_out = {n: s.first()["total_rows"] for n, s in stats_after.items()}
-        counts = local_table(
-            self.spark, [(n, rows_in.get(n), rows_out[n]) for n in rows_out],
-            "table_name string, input_rows bigint, output_rows bigint",
-        )
         steps = []
         for name, recipe in self.recipes.items():
             measured = step_metrics(raw[name], recipe, deduplicate=False).collect()
@@ -205,7 +206,7 @@ class Pipeline:
                 steps.append((name, dedup.number, dedup.name, None, None, left, 0,
                               left - rows_out[name]))
         return {
-            "table_metrics": with_rates(counts),
+            "table_metrics": counted_metrics(self.spark, rows_in, rows_out),
             "step_metrics": local_table(self.spark, steps, STEP_SCHEMA),
             "value_mappings": mapping_effects(raw["results"], self.recipes["results"]),
             "orphans": orphan_counts(cleaned["projects"], cleaned["subjects"], cleaned["results"]),

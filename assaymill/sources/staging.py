@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from ..local import local_rows
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -30,3 +34,28 @@ class Staging:
         path = f"{self.folder}/{name}.parquet"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def put_observed(
+        self, df: DataFrame, name: str, aggregates: Sequence[Column],
+        columns: Mapping[str, str] | Sequence[str] | None = None,
+    ) -> tuple[DataFrame, DataFrame]:
+        """Stage ``df`` and measure it while it is written: the staged table, and one row of
+        ``aggregates`` over ``df``. Nothing is scanned for the counts.
+
+        ``columns`` are those to store (all, if not given), or stored names and the columns they are
+        made from; the aggregates may read others as well. They stand right under the write, in its
+        last stage. There each partition counts once, with the attempt that was the first to succeed:
+        attempts that failed, were repeated or ran twice add nothing.
+        """
+        observation = Observation(f"{name}-{self.run_id}")
+        kept = list(df.columns) if columns is None else columns
+        pairs = kept.items() if isinstance(kept, Mapping) else [(c, c) for c in kept]
+        stored = df.observe(observation, *aggregates).select(*[F.col(f"`{c}`").alias(n) for n, c in pairs])
+        staged = self.put(stored, name)
+        schema = df.limit(0).agg(*aggregates).schema
+        return staged, local_rows(self.spark, [[observation.get[f.name] for f in schema]], schema)
+
+    def put_counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """Stage ``df``; the staged table and its number of rows, as the write saw them."""
+        staged, counts = self.put_observed(df, name, [F.count(F.lit(1)).alias("row_count")])
+        return staged, counts.first()["row_count"]
