@@ -39,10 +39,12 @@ def null_cells(columns: Sequence[str]) -> str:
     return " + ".join(f"nulls_{i}" for i in range(len(columns)))
 
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """AGG7: rows, nulls and share of nulls per column, one pass."""
+def null_profile(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """AGG7: rows, nulls and share of nulls per column, one pass; none if ``stats`` brings the counts
+    (see :func:`assaymill.sources.footers.stored_null_counts`)."""
     names = data_columns(df)
-    stats = df.agg(F.count(F.lit(1)).alias("row_count"), *null_counts(df))
+    if stats is None:
+        stats = df.agg(F.count(F.lit(1)).alias("row_count"), *null_counts(df))
     return stats.selectExpr(sql.rows([
         {"column_name": sql.literal(c), "row_count": "row_count", "null_count": f"nulls_{i}",
          "null_ratio": f"coalesce(try_divide(nulls_{i}, row_count), CAST(0 AS DOUBLE))"}
@@ -50,10 +52,11 @@ def null_profile(df: DataFrame) -> DataFrame:
     ]))
 
 
-def null_ratio(df: DataFrame) -> DataFrame:
-    """AGG8: one row, the share of null cells in the table; 0 for an empty table."""
+def null_ratio(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """AGG8: one row, the share of null cells in the table; 0 for an empty table. ``stats`` as above."""
     names = data_columns(df)
-    stats = df.agg(F.count(F.lit(1)).alias("row_count"), *null_counts(df))
+    if stats is None:
+        stats = df.agg(F.count(F.lit(1)).alias("row_count"), *null_counts(df))
     return stats.selectExpr(
         "row_count", f"{null_cells(names)} AS null_cells",
         f"coalesce(try_divide({null_cells(names)}, row_count * {len(names)}), CAST(0 AS DOUBLE)) "

@@ -17,6 +17,7 @@ from .. import sqltext as sql
 from ..functions import (
     band, executive_status, first_match, severity, severity_priority, success_rate,
 )
+from .documents import documents
 from .validate import Validation, failure_message
 
 EVENT_SCHEMA = (
@@ -378,6 +379,27 @@ def report_stats(reports: DataFrame, by: str = "report_type") -> DataFrame:
     return reports.groupBy(by).agg(F.count(F.lit(1)).alias("report_count"))
 
 
+# --- documents ------------------------------------------------------------------------------------------
+
+def run_documents(events: DataFrame, run_id: str) -> DataFrame:
+    """RPT2-RPT10 as two nested documents of a run: the technical one and the summary."""
+    def of_run(df: DataFrame) -> DataFrame:
+        return df.withColumn("run_id", F.lit(run_id))
+
+    technical = {
+        "run_info": run_summary(events), "detailed_errors": detailed_errors(events),
+        "schema_violations": schema_violations(events), "data_quality_issues": data_quality_issues(events),
+        "table_analysis": table_analysis(events),
+    }
+    summary = {
+        "quick_overview": quick_overview(events), "error_details": error_details(events),
+        "error_by_type": errors_by(events, "error_type"), "error_by_table": errors_by(events, "table_name"),
+        "actionable_recommendations": recommendations(events),
+    }
+    return documents("technical_report", {k: of_run(v) for k, v in technical.items()}, ["run_info"]).unionByName(
+        documents("summary_report", {k: of_run(v) for k, v in summary.items()}, ["quick_overview"]))
+
+
 # --- everything -----------------------------------------------------------------------------------------
 
 def build_reports(

@@ -23,13 +23,13 @@ from ..operators.gate import gate_passed, key_gate, null_ratio_gate
 from ..operators.merge import merge_tables, orphan_counts
 from ..operators.metrics import STEP_SCHEMA, counted_metrics, mapping_effects, step_metrics
 from ..operators.profile import null_counts
-from ..operators.reports import AFTER_CLEANING, build_reports, validation_events
+from ..operators.reports import AFTER_CLEANING, build_reports, run_documents, validation_events
 from ..operators.skew import hot_keys
 from ..operators.summary import summarise
 from ..operators.validate import Validation, validate
 from ..sources import (
-    Staging, extract_projects, extract_results, extract_subjects, spread, write_parquet, write_recipes,
-    write_report, write_summary_csv,
+    RunLog, Staging, extract_projects, extract_results, extract_subjects, spread, write_parquet, write_recipes,
+    write_summary_csv,
 )
 from ..specs import MERGED, PROJECTS, RESULTS, SUBJECTS, SUMMARY, TableSpec, spec_frame
 from .recipe import apply_recipe, generate_recipe, recipe_frame, rename_columns
@@ -136,8 +136,9 @@ class Pipeline:
             self._metrics(raw, cleaned, stats, stats_after),
         )
         if write and files.get("reports"):
-            for name, report in result.reports.items():
-                write_report(report, files["reports"], name, result.run_id)
+            log = RunLog(self.spark, files["reports"])
+            log.append(result.run_id, result.events, result.reports, run_documents(result.events, result.run_id))
+            log.retain(int((self.config.get("reports") or {}).get("kept_per_type", fixed.REPORTS_KEPT_PER_TYPE)))
         if write and files.get("recipes"):
             write_recipes(recipe_frame(self.spark, *self.recipes.values()), files["recipes"])
 

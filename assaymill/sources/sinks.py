@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -23,20 +23,26 @@ def write_summary_csv(df: DataFrame, path: str, order_by: Sequence[str] = ()) ->
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_report(df: DataFrame, path: str, report_type: str, run_id: str) -> None:
-    """SNK3, SNK4: append one report of a run, as JSON, to a table of reports.
+def write_report(df: DataFrame, path: str, report_type: str, run_id: str) -> int:
+    """SNK3, SNK4: put one report of a run, as JSON, into a table of reports; gives its number of rows.
 
-    Null fields are written, so that a column of nulls is read back. A report without rows becomes
+    The report replaces what the same run wrote before, and nothing else. Null fields are written, so
+    that a column of nulls is read back. A report without rows, which the write itself tells, becomes
     one row of nulls whose ``is_empty`` is true: it was made, and found nothing.
     """
-    empty = df.isEmpty()
-    if empty:
-        df = df.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
-    df = df.withColumn("is_empty", F.lit(empty))
-    (
-        df.withColumns({"report_type": F.lit(report_type), "run_id": F.lit(run_id)})
-        .write.mode("append").option("ignoreNullFields", False).partitionBy("report_type", "run_id").json(path)
-    )
+    def write(rows: DataFrame, empty: bool) -> None:
+        (
+            rows.withColumns({"is_empty": F.lit(empty), "report_type": F.lit(report_type), "run_id": F.lit(run_id)})
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .option("ignoreNullFields", False).partitionBy("report_type", "run_id").json(path)
+        )
+
+    observation = Observation(f"{report_type}-{run_id}")
+    write(df.observe(observation, F.count(F.lit(1)).alias("rows")), False)
+    rows = observation.get["rows"]
+    if not rows:
+        write(df.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]), True)
+    return rows
 
 
 def write_recipes(recipes: DataFrame, path: str) -> None:
