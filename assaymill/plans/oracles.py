@@ -714,3 +714,48 @@ ORACLES["parquet_round_trip"] = "SELECT * FROM customer"
 ORACLES["report_round_trip"] = """SELECT 'value_census' AS report_type, 'run-1' AS run_id,
   'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS row_count
   FROM orders GROUP BY o_orderstatus"""
+
+ORACLES["csv_quarantine"] = """SELECT o_orderkey,
+  CASE WHEN outcome = 'row' THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN outcome = 'row' THEN o_orderpriority || ', "kept"' END AS note, outcome
+  FROM (SELECT *, CASE WHEN o_orderkey % 13 = 0 THEN 'undecodable' WHEN o_orderkey % 17 = 0 THEN 'unclosed quote'
+    WHEN o_orderkey % 11 = 0 THEN 'too many fields' WHEN o_orderkey % 7 = 0 THEN 'too few fields' ELSE 'row' END AS outcome
+    FROM orders)"""
+
+# --- counts from footers ---------------------------------------------------------------------------------------------------
+
+_STORED = {
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+    "embeddings": ("vec_id", "embedding", "label"),
+}
+ORACLES["footer_null_profile"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+    f"(count(*) - count({c})) / count(*) AS null_ratio FROM {t}" for t, names in _STORED.items() for c in names)
+_GATE_ROW = """SELECT '{0}' AS table_name, '{1}' AS rule, {2} AS column_name, cast({3} AS double) AS measured,
+  cast({4} AS double) AS threshold, {3} <= {4} AS passed FROM {0}"""
+ORACLES["footer_gate"] = " UNION ALL ".join([
+    _GATE_ROW.format("orders", rule, f"'{c}'", e, 0)
+    for c in ("o_orderkey", "o_custkey") for rule, e in (("missing_key_column", "count(*) * 0"), ("null_key", f"count(*) - count({c})"))
+] + [_GATE_ROW.format("orders", "missing_key_column", "'o_batch'", "count(*) * 0 + 1", 0)] + [
+    _GATE_ROW.format(t, "null_ratio", "CAST(NULL AS varchar)", _cells(names), 0.2) for t, names in {
+        "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"),
+        "conversations": ("conv_id", "turn", "role", "text"), "pages": ("page_id", "url", "html")}.items()])
+
+# --- the log of runs -------------------------------------------------------------------------------------------------------
+
+_KEPT_RUNS = f"""WITH {LOG}, runs AS (SELECT 'run:' || cast(user_id % 6 AS varchar) AS run_id, * FROM log),
+  ranked AS (SELECT run_id, row_number() OVER (ORDER BY max(ts) DESC, run_id DESC) AS r FROM runs GROUP BY run_id)"""
+ORACLES["event_log"] = f"""{_KEPT_RUNS} SELECT run_id, CASE WHEN ok THEN 'success' ELSE 'error' END AS kind, error_type,
+  count(*) AS n_events FROM runs JOIN ranked USING (run_id) WHERE r <= 3 GROUP BY ALL"""
+ORACLES["event_log_retention"] = f"""{_KEPT_RUNS} SELECT 'validation_events' AS report_type,
+  count(*) FILTER (WHERE r <= 3) AS kept, count(*) FILTER (WHERE r > 3) AS cleaned FROM ranked"""
+ORACLES["report_documents"] = f"""{_KEPT_RUNS} SELECT run_id, 'by_type' AS section, error_type AS item,
+    cast(count(*) AS varchar) AS value, string_agg(DISTINCT table_name, ',' ORDER BY table_name) AS detail
+    FROM runs WHERE NOT ok GROUP BY run_id, error_type
+  UNION ALL SELECT run_id, 'rates', 'validations', cast(count(*) AS varchar),
+    CASE WHEN avg(cast(ok AS integer)) * 100 >= 95 THEN 'EXCELLENT' WHEN avg(cast(ok AS integer)) * 100 >= 80 THEN 'GOOD'
+      WHEN avg(cast(ok AS integer)) * 100 >= 50 THEN 'POOR' ELSE 'CRITICAL' END FROM runs GROUP BY run_id"""

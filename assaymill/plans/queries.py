@@ -17,13 +17,14 @@ from ..functions import (
 )
 from ..functions.scores import first_match, severity_priority
 from ..local import measured
-from ..operators import dedup, gate, merge, metrics, profile, reports
+from ..operators import dedup, documents, gate, merge, metrics, profile, reports
 from ..operators.constraints import Constraint, apply_constraints, drop_counts
 from ..operators.skew import hot_keys
 from ..operators.summary import summarise
 from ..operators.validate import first_errors, validate
 from ..sources import (
-    Staging, scan_csv, scan_parquet, spread, write_parquet, write_report, write_summary_csv,
+    RunLog, Staging, scan_csv, scan_csv_split, scan_parquet, spread, stored_null_counts, write_parquet, write_report,
+    write_summary_csv,
 )
 from .. import fixed_values as fixed
 from ..specs import MERGED, PROJECTS, RESULTS, SUBJECTS, SUMMARY, Check, ColumnSpec, TableCheck, TableSpec
@@ -821,3 +822,100 @@ def report_round_trip(spark, folder):
     write_report(census, path, "value_census", _RUN)
     return spark.read.json(path).select(
         "report_type", "run_id", "column_name", "value", F.col("row_count").cast("bigint"))
+
+
+# the records' faults, by order key, and the number of the field that shows it
+_FAULTY_LINES = """CASE WHEN o_orderkey % 13 = 0 THEN concat(line, cast(X'FF' AS string))
+  WHEN o_orderkey % 17 = 0 THEN concat(line, ',"open') WHEN o_orderkey % 11 = 0 THEN concat(line, ',more')
+  WHEN o_orderkey % 7 = 0 THEN concat(o_orderkey, ',', o_orderstatus) ELSE line END AS value"""
+
+
+@query
+def csv_quarantine(spark, folder):
+    """SRC5, SRC7: a folder with short, long, unclosed and undecodable records, parted in one pass."""
+    staging = Staging(spark)
+    path = f"{staging.folder}/orders_text"
+    table(spark, folder, "orders").selectExpr(
+        "*", """concat(o_orderkey, ',', o_orderstatus, ',"', o_orderpriority, ', ""kept"""') AS line""",
+    ).selectExpr(_FAULTY_LINES).write.text(path)
+    split = scan_csv_split(spark, path, ["o_orderkey", "o_orderstatus", "note"], staging=staging)
+    rows = split.rows.selectExpr("cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus", "note", "'row' AS outcome")
+    return rows.unionByName(split.rejects.selectExpr(
+        "cast(substring_index(make_valid_utf8(cast(record AS string)), ',', 1) AS bigint) AS o_orderkey",
+        "CAST(NULL AS string) AS o_orderstatus", "CAST(NULL AS string) AS note", "reason AS outcome"))
+
+
+# --- counts from footers ---------------------------------------------------------------------------------------------------
+
+@query
+def footer_null_profile(spark, folder):
+    """AGG7: the nulls of whole tables, of which no data page but the vectors' is read."""
+    out = None
+    for name in ("orders", "lineitem", "events", "documents", "embeddings"):
+        part = profile.null_profile(table(spark, folder, name), stored_null_counts(spark, f"{folder}/{name}.parquet"))
+        part = part.select(F.lit(name).alias("table_name"), "column_name", "row_count", "null_count", "null_ratio")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def footer_gate(spark, folder):
+    """GAT1-GAT3, GAT5 over stored tables, by their footers."""
+    def stats(name):
+        return table(spark, folder, name), name, stored_null_counts(spark, f"{folder}/{name}.parquet")
+
+    df, name, counts = stats("orders")
+    out = gate.key_gate(df, name, ["o_orderkey", "o_custkey", "o_batch"], counts)
+    for name in ("customer", "conversations", "pages"):
+        df, name, counts = stats(name)
+        out = out.unionByName(gate.null_ratio_gate(df, name, stats=counts))
+    return out
+
+
+# --- the log of runs -------------------------------------------------------------------------------------------------------
+
+def _runs(spark, folder) -> DataFrame:
+    """The events table as events of six runs."""
+    return _log(spark, folder).select(
+        F.concat(F.lit("run:"), (F.col("user_id") % 6).cast("string")).alias("run_id"), "event_ts", "kind", "error_type", "table_name")
+
+
+def _kept_log(spark, folder) -> tuple[RunLog, DataFrame, DataFrame]:
+    """A log whose runs were written, two thirds of them a second time, and the newest three kept."""
+    log, events = RunLog(spark, f"{Staging(spark).folder}/log"), _runs(spark, folder)
+    log.append_events(events)
+    log.append_events(events.where("run_id > 'run:1'"))
+    return log, events, log.retain(3)
+
+
+@query
+def event_log(spark, folder):
+    """RPT1, SNK5, SNK7: what the log holds after runs were repeated and old ones removed."""
+    log, events, _ = _kept_log(spark, folder)
+    return log.events(events.drop("run_id").schema.add("run_id", "string")).groupBy("run_id", "kind", "error_type").agg(
+        F.count(F.lit(1)).alias("n_events"))
+
+
+@query
+def event_log_retention(spark, folder):
+    """SNK7, SNK8: what retention kept and removed."""
+    return _kept_log(spark, folder)[2]
+
+
+@query
+def report_documents(spark, folder):
+    """SNK3, SNK4, RPT3: one nested document per run, stored, read back, and two of its sections."""
+    events = _runs(spark, folder)
+    by_type = reports.error_events(events).groupBy("run_id", "error_type").agg(
+        F.count(F.lit(1)).alias("error_count"), F.collect_set("table_name").alias("tables"))
+    rates = reports.rate_by(events, "run_id")
+    path = f"{Staging(spark).folder}/documents"
+    documents.documents("summary_report", {"by_type": by_type, "rates": rates}, ["rates"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    types = documents.section(stored, "by_type", "error_type string, error_count bigint, tables array<string>").select(
+        "run_id", F.lit("by_type").alias("section"), F.col("error_type").alias("item"),
+        F.col("error_count").cast("string").alias("value"), F.array_join(F.array_sort("tables"), ",").alias("detail"))
+    bands = documents.section(stored, "rates", "validations bigint, overview_band string", single=True).select(
+        "run_id", F.lit("rates").alias("section"), F.lit("validations").alias("item"),
+        F.col("validations").cast("string").alias("value"), F.col("overview_band").alias("detail"))
+    return types.unionByName(bands)

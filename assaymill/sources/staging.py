@@ -30,14 +30,14 @@ class Staging:
         self.run_id = run_id or uuid.uuid4().hex
         self.folder = f"{(root or staging_root(spark)).rstrip('/')}/assaymill-{self.run_id}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def put_observed(
         self, df: DataFrame, name: str, aggregates: Sequence[Column],
-        columns: Mapping[str, str] | Sequence[str] | None = None,
+        columns: Mapping[str, str] | Sequence[str] | None = None, partition_by: Sequence[str] = (),
     ) -> tuple[DataFrame, DataFrame]:
         """Stage ``df`` and measure it while it is written: the staged table, and one row of
         ``aggregates`` over ``df``. Nothing is scanned for the counts.
@@ -51,7 +51,7 @@ class Staging:
         kept = list(df.columns) if columns is None else columns
         pairs = kept.items() if isinstance(kept, Mapping) else [(c, c) for c in kept]
         stored = df.observe(observation, *aggregates).select(*[F.col(f"`{c}`").alias(n) for n, c in pairs])
-        staged = self.put(stored, name)
+        staged = self.put(stored, name, partition_by)
         schema = df.limit(0).agg(*aggregates).schema
         return staged, local_rows(self.spark, [[observation.get[f.name] for f in schema]], schema)
 

@@ -92,9 +92,9 @@ def test_a_run_scans_each_source_once(spark, tmp_path, monkeypatch):
     """Every source is read by the write that stages it, and by no other plan of the run."""
     written, put = {}, Staging.put
 
-    def watched(self, df, name):
+    def watched(self, df, name, partition_by=()):
         written[name] = df._jdf.queryExecution().optimizedPlan().toString()
-        return put(self, df, name)
+        return put(self, df, name, partition_by)
 
     monkeypatch.setattr(Staging, "put", watched)
     result = Pipeline(spark, write_inputs(tmp_path)).run(write=False, strict=True)

@@ -85,3 +85,64 @@ def test_round_trips(spark, tmp_path):
     assert back.drop(ROW_POSITION).schema == df.schema and sorted(rows(back)) == sorted(rows(df))
     write_summary_csv(df, str(tmp_path / "t.csv"), ["i"])
     assert rows(scan_csv(spark, str(tmp_path / "t.csv")))[1] == ("2", 'say "y", z', "-1.0", "false", "n")
+
+
+# --- rows and rejects -------------------------------------------------------------------------------------
+
+def split(spark, folder, **options):
+    from assaymill.sources import scan_csv_split
+
+    return scan_csv_split(spark, str(folder), **options)
+
+
+def bad_files(folder):
+    folder.mkdir()
+    (folder / "a.csv").write_bytes(
+        b'a,"b",c\r\n1,x,"say ""hi"", you"\n\n2,short\n3,x,y,long\n4,\xff\xfe,bytes\n5,"open,z\n 6 ,,NA\n')
+    (folder / "b.csv").write_text("﻿a,b,c\n7,ü,z\n,,\n")
+    return folder
+
+
+def test_records_are_parted_into_rows_and_rejects(spark, tmp_path):
+    folder = bad_files(tmp_path / "in")
+    got = split(spark, folder)
+    assert sorted(tuple(r)[:3] for r in got.rows.collect() if r["a"]) == [
+        (" 6 ", None, None), ("1", "x", 'say "hi", you'), ("7", "ü", "z")]
+    assert (got.accepted, got.rejected) == (4, 4) and got.rows.where("a IS NULL").count() == 1
+    rejects = {r["reason"]: (r["file"].rsplit("/", 1)[1], bytes(r["record"])) for r in got.rejects.collect()}
+    assert rejects == {
+        "too few fields": ("a.csv", b"2,short"), "too many fields": ("a.csv", b"3,x,y,long"),
+        "undecodable": ("a.csv", b"4,\xff\xfe,bytes"), "unclosed quote": ("a.csv", b'5,"open,z')}
+    places = [r["position"]["row"] for r in got.rejects.orderBy("position").collect()]
+    assert places == sorted(set(places))
+
+
+def test_short_records_padded_and_bad_ones_failing(spark, tmp_path):
+    folder = bad_files(tmp_path / "in")
+    padded = split(spark, folder, pad_short=True)
+    assert padded.rejected == 3 and [tuple(r)[:3] for r in padded.rows.where("a = 2").collect()] == [("2", "short", None)]
+    with pytest.raises(ExtractionError, match="4 records cannot be read"):
+        split(spark, folder, on_bad="fail")
+    with pytest.raises(ExtractionError):
+        split(spark, tmp_path / "absent")
+    with pytest.raises(ValueError):
+        split(spark, folder, on_bad="ignore")
+
+
+def test_given_columns_and_nothing_to_read(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("1,2\n3,4\n")
+    got = split(spark, tmp_path / "t.csv", columns=["x", "y y"], on_bad="fail")
+    assert sorted(tuple(r)[:2] for r in got.rows.collect()) == [("1", "2"), ("3", "4")] and got.rows.columns[1] == "y y"
+    (tmp_path / "h.csv").write_text("x,y\n")
+    only = split(spark, tmp_path / "h.csv")
+    assert (only.accepted, only.rejected, only.rows.count(), only.rejects.count()) == (0, 0, 0, 0)
+
+
+def test_splitting_takes_one_write(spark, tmp_path):
+    folder = bad_files(tmp_path / "in")
+    spark.sparkContext.setJobGroup("split", "split")
+    got = split(spark, folder, columns=["a", "b", "c"])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("split")) == 1
+    plan = got.rejects._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rejected" in plan and "Exchange" not in plan
