@@ -836,7 +836,7 @@ def csv_quarantine(spark, folder):
     staging = Staging(spark)
     path = f"{staging.folder}/orders_text"
     table(spark, folder, "orders").selectExpr(
-        "*", """concat(o_orderkey, ',', o_orderstatus, ',"', o_orderpriority, ', ""kept"""') AS line""",
+        "*", '''concat(o_orderkey, ',', o_orderstatus, ',"', o_orderpriority, ', ""kept"""') AS line''',
     ).selectExpr(_FAULTY_LINES).write.text(path)
     split = scan_csv_split(spark, path, ["o_orderkey", "o_orderstatus", "note"], staging=staging)
     rows = split.rows.selectExpr("cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus", "note", "'row' AS outcome")
