@@ -759,3 +759,27 @@ ORACLES["report_documents"] = f"""{_KEPT_RUNS} SELECT run_id, 'by_type' AS secti
   UNION ALL SELECT run_id, 'rates', 'validations', cast(count(*) AS varchar),
     CASE WHEN avg(cast(ok AS integer)) * 100 >= 95 THEN 'EXCELLENT' WHEN avg(cast(ok AS integer)) * 100 >= 80 THEN 'GOOD'
       WHEN avg(cast(ok AS integer)) * 100 >= 50 THEN 'POOR' ELSE 'CRITICAL' END FROM runs GROUP BY run_id"""
+
+# --- kept profiles and bitmaps -----------------------------------------------------------------------------------------------
+
+_PROFILED = ("event_type", "user_id", "value")
+ORACLES["merged_profile"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+    f"(count(*) - count({c})) / count(*) AS null_ratio, min(cast({c} AS varchar)) AS least, "
+    f"max(cast({c} AS varchar)) AS greatest FROM events" for c in _PROFILED)
+ORACLES["frequent_values"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, cast({c} AS varchar) AS value, count(*) AS row_count FROM events WHERE {c} IS NOT NULL "
+    f"GROUP BY {c} HAVING count(*) >= 0.01 * (SELECT count(*) FROM events)" for c in _PROFILED)
+ORACLES["bitmap_duplicates"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows_in, count(DISTINCT {k}) AS distinct_keys, "
+    f"count(*) - count(DISTINCT {k}) AS duplicate_rows FROM {t}"
+    for t, k in (("lineitem", "l_orderkey"), ("orders", "o_custkey"), ("events", "user_id"), ("conversations", "conv_id")))
+_ORPHAN_KEYS = """SELECT '{0}' AS relation, (SELECT count(*) FROM ({1})) AS left_keys, (SELECT count(*) FROM ({2})) AS right_keys,
+  (SELECT count(*) FROM ({1} INTERSECT {2})) AS common, (SELECT count(*) FROM ({1} EXCEPT {2})) AS left_only,
+  (SELECT count(*) FROM ({2} EXCEPT {1})) AS right_only"""
+ORACLES["bitmap_orphan_keys"] = " UNION ALL ".join([
+    _ORPHAN_KEYS.format("customer-orders", "SELECT DISTINCT c_custkey FROM customer", "SELECT DISTINCT o_custkey FROM orders"),
+    _ORPHAN_KEYS.format("orders-lineitem", "SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey % 3 > 0",
+                        "SELECT DISTINCT l_orderkey FROM lineitem")])
+ORACLES["bitmap_orphan_rows"] = """SELECT nullif(l_orderkey, 7) AS l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
+  FROM lineitem WHERE l_orderkey = 7 OR l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 > 0)"""

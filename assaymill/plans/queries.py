@@ -17,7 +17,7 @@ from ..functions import (
 )
 from ..functions.scores import first_match, severity_priority
 from ..local import measured
-from ..operators import dedup, documents, gate, merge, metrics, profile, reports
+from ..operators import bitmaps, dedup, documents, gate, merge, metrics, profile, profile_state, reports
 from ..operators.constraints import Constraint, apply_constraints, drop_counts
 from ..operators.skew import hot_keys
 from ..operators.summary import summarise
@@ -919,3 +919,57 @@ def report_documents(spark, folder):
         "run_id", F.lit("rates").alias("section"), F.lit("validations").alias("item"),
         F.col("validations").cast("string").alias("value"), F.col("overview_band").alias("detail"))
     return types.unionByName(bands)
+
+
+# --- kept profiles and bitmaps -----------------------------------------------------------------------------------------------
+
+_PROFILED = ["event_type", "user_id", "value"]
+
+
+def _profiles(spark, folder) -> profile_state.ProfileStore:
+    """The events profiled in four parts, of which the last comes later and the second twice."""
+    events = table(spark, folder, "events").withColumn("part", F.pmod("event_id", F.lit(4)).cast("string"))
+    store = profile_state.ProfileStore(spark, f"{Staging(spark).folder}/profiles")
+    store.put(profile_state.profile_state(events.where("part < 3"), _PROFILED, "part"))
+    store.put(profile_state.profile_state(events.where("part = 1"), _PROFILED, "part"))
+    store.add_new(events, _PROFILED, "part")
+    return store
+
+
+@query
+def merged_profile(spark, folder):
+    """AGG7, AGG17: rows, nulls and bounds from the merged states of four parts."""
+    return profile_state.described(_profiles(spark, folder).merged(), ()).drop("distinct_estimate")
+
+
+@query
+def frequent_values(spark, folder):
+    """AGG17, TOP3: every value with a hundredth of the rows: named by merged sketches, counted exactly."""
+    merged = _profiles(spark, folder).merged()
+    return profile_state.frequent_values(table(spark, folder, "events"), merged, 0.01)
+
+
+@query
+def bitmap_duplicates(spark, folder):
+    """AGG9, VAL8 without moving keys."""
+    out = None
+    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_custkey"), ("events", "user_id"), ("conversations", "conv_id")):
+        part = bitmaps.bitmap_duplicate_count(table(spark, folder, name), key).select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def bitmap_orphan_keys(spark, folder):
+    """JON6 by keys: customers and orders, orders and their lines."""
+    customer, orders, lines = (table(spark, folder, n) for n in ("customer", "orders", "lineitem"))
+    return bitmaps.orphan_keys(customer, "c_custkey", orders, "o_custkey").select(F.lit("customer-orders").alias("relation"), "*").unionByName(
+        bitmaps.orphan_keys(orders.where("o_orderkey % 3 > 0"), "o_orderkey", lines, "l_orderkey").select(F.lit("orders-lineitem").alias("relation"), "*"))
+
+
+@query
+def bitmap_orphan_rows(spark, folder):
+    """JON6 by rows: lines whose order was left out, null keys included."""
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "nullif(l_orderkey, 7) AS l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return bitmaps.bitmap_orphans(lines, "l_orderkey", table(spark, folder, "orders").where("o_orderkey % 5 > 0"), "o_orderkey")
