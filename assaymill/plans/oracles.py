@@ -783,3 +783,8 @@ ORACLES["bitmap_orphan_keys"] = " UNION ALL ".join([
                         "SELECT DISTINCT l_orderkey FROM lineitem")])
 ORACLES["bitmap_orphan_rows"] = """SELECT nullif(l_orderkey, 7) AS l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
   FROM lineitem WHERE l_orderkey = 7 OR l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 > 0)"""
+
+# --- stored by key -----------------------------------------------------------------------------------------------------------
+
+ORACLES["merge_copartitioned"] = ORACLES["merge_full"]
+ORACLES["dedup_copartitioned"] = ORACLES["clean_subjects"]

@@ -17,7 +17,7 @@ from ..functions import (
 )
 from ..functions.scores import first_match, severity_priority
 from ..local import measured
-from ..operators import bitmaps, dedup, documents, gate, merge, metrics, profile, profile_state, reports
+from ..operators import bitmaps, copartition, dedup, documents, gate, merge, metrics, profile, profile_state, reports
 from ..operators.constraints import Constraint, apply_constraints, drop_counts
 from ..operators.skew import hot_keys
 from ..operators.summary import summarise
@@ -973,3 +973,29 @@ def bitmap_orphan_rows(spark, folder):
     lines = table(spark, folder, "lineitem").selectExpr(
         "nullif(l_orderkey, 7) AS l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     return bitmaps.bitmap_orphans(lines, "l_orderkey", table(spark, folder, "orders").where("o_orderkey % 5 > 0"), "o_orderkey")
+
+
+# --- stored by key -----------------------------------------------------------------------------------------------------------
+
+def _keyed_tables(spark, folder) -> tuple[copartition.KeyedTable, copartition.KeyedTable]:
+    """Subjects and results without duplicates, stored by sample; the hot samples of the subjects apart."""
+    staging, tidy = Staging(spark), {}
+    for spec, make in ((SUBJECTS, raw_subjects), (RESULTS, raw_results)):
+        recipe = generate_recipe(spec, default_config()).without("duplicate_removal")
+        tidy[spec.name] = apply_recipe(make(spark, folder), recipe, keep_position=True)
+    hot = hot_keys(tidy["subjects"].select("sample_id"), ["sample_id"])[0]
+    return tuple(
+        copartition.stage_by_key(staging, tidy[s.name], s.name, "sample_id", s.dedup_key, hot) for s in (SUBJECTS, RESULTS))
+
+
+@query
+def merge_copartitioned(spark, folder):
+    """JON5, JON1, DST1 over tables stored by sample."""
+    subjects, results = _keyed_tables(spark, folder)
+    return _dates_as_text(copartition.merge_keyed(_clean_projects(spark, folder), subjects, results))
+
+
+@query
+def dedup_copartitioned(spark, folder):
+    """DST1, DST2: the cleaned subjects, as stored by sample."""
+    return _keyed_tables(spark, folder)[0].whole()

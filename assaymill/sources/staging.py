@@ -35,6 +35,17 @@ class Staging:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def put_bucketed(self, df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+        """Stage ``df`` in buckets of ``keys``, one file each if it is already dealt to them. Buckets are
+        known to the session's catalog alone, so the table gets a name there; the files lie with the
+        other staged ones."""
+        table = f"assaymill_{self.run_id}_{name}"
+        (
+            df.write.mode("overwrite").option("path", f"{self.folder}/{name}.parquet")
+            .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+        )
+        return self.spark.table(table)
+
     def put_observed(
         self, df: DataFrame, name: str, aggregates: Sequence[Column],
         columns: Mapping[str, str] | Sequence[str] | None = None, partition_by: Sequence[str] = (),
