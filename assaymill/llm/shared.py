@@ -21,8 +21,15 @@ from ..sources.staging import Staging
 BLANKS = r"\x20\x09-\x0D"
 
 
+#: Rows of an Arrow batch where the session has Spark's default: ten thousand texts are too many to hold.
+BATCH_ROWS, _BATCH_KEY, _BATCH_DEFAULT = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application: their Python need not have it."""
+    """Send this package to the executors, once per application: their Python need not have it. Sessions
+    that leave Arrow's batches at Spark's default get smaller ones, as rows are whole texts here."""
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_assaymill_sent", False):
         return
