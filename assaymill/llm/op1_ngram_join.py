@@ -12,7 +12,8 @@ The result is each document's component. Sets are compared by 64-bit hashes of t
    by two sets of compatible size; unique ones, the bulk, end there.
 3. *Leaders.* In each meeting place the sets are walked by size, and the smallest one that their
    size allows leads them. Each set is compared with the leader it meets most often: one pair per
-   set, which already ties large groups of near copies together.
+   set, which already ties large groups of near copies together. Bitmaps are compared first: only
+   pairs whose largest possible overlap is enough have their sets made and moved.
 4. *Signature trees.* A meeting place whose sets still lie in different components is searched
    exhaustively: its sets are dealt to blocks of bounded size, each pair of blocks gets a tree per
    side, whose nodes hold the OR of their token bitmaps, their size range and their components.
@@ -20,6 +21,9 @@ The result is each document's component. Sets are compared by 64-bit hashes of t
    overlap by bitmaps is too small, or which lie in one component; every pair of sets that is left
    is compared exactly. Nothing is capped: what leaders don't settle, the trees do.
 
+A set's bitmap has 4 to 8 bits per n-gram, a power of two, so it tells sets of any size apart; where
+two widths meet, the wider one is folded by OR.
+
 Defined results: null or empty text has an empty set, which links with nothing and is its own
 component; rows with equal sets are one class, repeated rows included; a null doc_id takes part,
 and is nobody's least id unless all ids of the component are null; an empty table gives an empty
@@ -46,12 +50,14 @@ COUNTERS = 1 << 18
 SLICES = 64
 #: An n-gram is common if its counter holds this many times the mean.
 CROWDED = 4
-#: Bits of a set's token bitmap.
-BITS = 1024
+#: Bits of a set's token bitmap per n-gram, at least, and of the smallest one.
+BITS_PER_NGRAM, LEAST_BITS = 4, 64
+#: Texts that a worker turns into sets at a time.
+TEXTS = 256
 #: Bits of the filter that tells which documents' sets are compared; it only saves work.
 FILTER_WORDS = 1 << 20
-#: Sets per block, and per leaf of a signature tree.
-BLOCK, LEAF = 1024, 8
+#: Sets and bytes of bitmaps per block, and sets per leaf of a signature tree.
+BLOCK, BLOCK_BYTES, LEAF = 1024, 1 << 24, 8
 BUCKETS_PER_PART = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,11 +84,29 @@ def set_id(hashes: np.ndarray) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(hashes >> np.uint64(20)) % np.uint64(BITS)] = True
+    width = max(LEAST_BITS, 1 << (BITS_PER_NGRAM * len(hashes) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(hashes >> np.uint64(20)) % np.uint64(width)] = True
     return np.packbits(bits).tobytes()
 
 
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bytes of a bitmap, ORed down to ``width`` bytes."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
+def most_common(bits_a: bytes, size_a: int, bits_b: bytes, size_b: int) -> int:
+    """The largest overlap that two sets can have by their bitmaps: of the n-grams behind a common bit
+    at least one is shared, and what collisions hide are at most the n-grams beyond the bits."""
+    width = min(len(bits_a), len(bits_b))
+    a, b = (folded(np.frombuffer(x, np.uint8)[None, :], width)[0] for x in (bits_a, bits_b))
+    surplus = min(size_a - int(np.bitwise_count(a).sum()), size_b - int(np.bitwise_count(b).sum()))
+    return int(np.bitwise_count(a & b).sum()) + surplus
+
+
 def needed(size: int, percent: int) -> int:
     """The least overlap a set of this size must have with one it links with."""
     return -(-percent * size // 100)
@@ -93,7 +117,7 @@ def _sets(keyed: DataFrame, n: int) -> DataFrame:
 
     def look(batches):
         counters = np.zeros(COUNTERS, np.uint32)
-        for batch in batches:
+        for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
             sets = [ngram_set(text, n) for text in utf8(batch.column("text"))]
             every = np.concatenate(sets) % np.uint64(COUNTERS) if sets else np.zeros(0, np.uint64)
             counters += np.bincount(every.astype(np.int64), minlength=COUNTERS).astype(np.uint32)
@@ -166,7 +190,7 @@ def _meeting_places(keyed: DataFrame, n: int, percent: int, common, parts: int)
                     [pa.array([b for b, _ in out], pa.int64()), pa.array([p for _, p in out], pa.binary())],
                     names=["bucket", "parcel"])
 
-        for batch in batches:
+        for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
             for text in utf8(batch.column("text")):
                 s = ngram_set(text, n)
                 sid = set_id(s)
@@ -177,7 +201,7 @@ def _meeting_places(keyed: DataFrame, n: int, percent: int, common, parts: int)
                 late = common.value[(s % np.uint64(COUNTERS)).astype(np.int64)]
                 held.append((np.concatenate((s[~late], s[late]))[:p], sid, len(s)))
                 count += p
-                if count > 2_000_000:
+                if count > 1_000_000:
                     yield from flush()
                     seen.clear()
                     count = 0
@@ -240,10 +264,19 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.pad(columns, ((0, 0), (0, 2)))).view(np.uint64).ravel()
 
 
-def _compared_sets(keyed: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(sid, hashes) of the documents in ``wanted`` (key): a fixed-size bit filter keeps the other
-    texts from being hashed and moved. A false hit is only a set that no pair asks for."""
-    slot = F.pmod("key", F.lit(FILTER_WORDS * 64))
+def _wanted(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key): one document of every set that a pair asks for."""
+    sids = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))).distinct()
+    return classes.select("sid", "key").join(sids, "sid", "left_semi").select("key")
+
+
+_SLOT = f"pmod(key, {FILTER_WORDS * 64})"
+
+
+def _key_filter(wanted: DataFrame):
+    """A fixed-size bit filter over keys, broadcast. It keeps rows that nobody asks for from being read
+    and moved; a false hit is only such a row, so no result depends on it."""
+    slot = F.expr(_SLOT)
     rows = (
         wanted.select(F.shiftright(slot, 6).alias("word"), F.expr(
             f"shiftleft(1L, cast(pmod(key, {FILTER_WORDS * 64}) % 64 AS int))").alias("bit"))
@@ -251,19 +284,55 @@ def _compared_sets(keyed: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     )
     words = np.zeros(FILTER_WORDS, np.int64)
     words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    shared = keyed.sparkSession.sparkContext.broadcast(words)
+    return wanted.sparkSession.sparkContext.broadcast(words)
+
+
+def _hits(batch: pa.RecordBatch, words: np.ndarray) -> pa.RecordBatch:
+    slots = batch.column("slot").to_numpy(zero_copy_only=False)
+    return batch.filter(pa.array((words[slots >> 6] >> (slots & 63)) & 1 == 1))
+
+
+def _compared_sets(keyed: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(sid, hashes) of the documents in ``wanted`` (key), and of a few others."""
+    shared = _key_filter(wanted)
 
     def take(batch: pa.RecordBatch):
-        slots = batch.column("slot").to_numpy(zero_copy_only=False)
-        hit = (shared.value[slots >> 6] >> (slots & 63)) & 1 == 1
-        # equal sets of one batch are sent once; of others, twice does no harm
-        sets = {set_id(s): s for s in (ngram_set(t, n) for t in utf8(batch.column("text").filter(pa.array(hit))))}
-        if sets:
+        found = _hits(batch, shared.value)
+        for at in range(0, found.num_rows, TEXTS):
+            # equal sets of one slice are sent once; of others, twice does no harm
+            sets = {set_id(s): s for s in (ngram_set(t, n) for t in utf8(found.column("text").slice(at, TEXTS)))}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sets), pa.int64()), pa.array(map(_packed, sets.values()), pa.binary())],
                 names=["sid", "hashes"])
 
-    return map_arrow(keyed.select("text", slot.alias("slot")), take, "sid long, hashes binary")
+    made = map_arrow(keyed.select("text", F.expr(_SLOT).alias("slot")), take, "sid long, hashes binary")
+    return staged(made.groupBy("sid").agg(F.first("hashes").alias("hashes")), "compared")
+
+
+def _signatures(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sid, size, bits) of the documents in ``wanted`` (key), and of a few others."""
+    shared = _key_filter(wanted)
+
+    def take(batch: pa.RecordBatch):
+        yield _hits(batch, shared.value).select(["sid", "size", "bits"])
+
+    found = map_arrow(rows.select("sid", "size", "bits", F.expr(_SLOT).alias("slot")), take, "sid long, size long, bits binary")
+    return staged(found.groupBy("sid").agg(F.first("size").alias("size"), F.first("bits").alias("bits")), "signatures")
+
+
+def _possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that neither sizes nor bitmaps rule out."""
+
+    def look(batch: pa.RecordBatch):
+        columns = [batch.column(c).to_pylist() for c in ("a", "size_a", "b", "size_b")]
+        yield batch.select(["u", "v"]).filter(pa.array([
+            linked(x, y, min(most_common(a, x, b, y), x, y), percent) for a, x, b, y in zip(*columns)]))
+
+    for side, as_ in (("v", "b"), ("u", "a")):
+        own = signatures.select(F.col("sid").alias(side), F.col("size").alias(f"size_{as_}"), F.col("bits").alias(as_))
+        pairs = pairs.join(own, side)
+    fits = (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+    return map_arrow(pairs.where(fits).select("u", "v", "a", "size_a", "b", "size_b"), look, "u long, v long")
 
 
 def linked(size_a: int, size_b: int, overlap: int, percent: int) -> bool:
@@ -272,7 +341,7 @@ def linked(size_a: int, size_b: int, overlap: int, percent: int) -> bool:
 
 def _links(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets link, by exact overlap. Only sets that a pair asks for are made,
-    from the texts; so a set travels once as ``v`` and, if it leads, once as ``u``."""
+    from the texts, once for both sides."""
 
     def compare(batch: pa.RecordBatch):
         keep = []
@@ -284,11 +353,9 @@ def _links(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, n: int, perce
             keep.append(linked(len(a), len(b), int((b[at] == a).sum()), percent))
         yield batch.select(["u", "v"]).filter(pa.array(keep))
 
-    def sets_of(side: str, as_: str) -> DataFrame:
-        wanted = classes.select("sid", "key").join(pairs.select(F.col(side).alias("sid")).distinct(), "sid", "left_semi")
-        return _compared_sets(keyed, wanted, n).select(F.col("sid").alias(side), F.col("hashes").alias(as_))
-
-    both = pairs.join(sets_of("v", "b"), "v").join(sets_of("u", "a"), "u")
+    sets = _compared_sets(keyed, _wanted(pairs, classes), n)
+    both = pairs.join(sets.select(F.col("sid").alias("v"), F.col("hashes").alias("b")), "v").join(
+        sets.select(F.col("sid").alias("u"), F.col("hashes").alias("a")), "u")
     return map_arrow(both.select("u", "v", "a", "b"), compare, "u long, v long")
 
 
@@ -352,7 +419,35 @@ def _children(i, j, n_left, n_right):
     return i, j
 
 
-def _tree_pairs(places: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def tree_pairs_of(left, right, percent: int) -> set[tuple[int, int]]:
+    """(least, greatest) of the pairs that the trees of two blocks leave. A block is (sids, sizes,
+    components, bitmaps); there is a tree per width of its bitmaps, and trees whose sizes allow links
+    meet at the smaller width."""
+
+    def by_width(block):
+        sids, sizes, comps, bits = block
+        width = np.array([len(b) for b in bits], int)
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            yield int(w), sids[at], sizes[at], comps[at], np.frombuffer(b"".join(bits[k] for k in at), np.uint8).reshape(len(at), -1)
+
+    found = set()
+    others = list(by_width(right))
+    for w, sids, sizes, comps, bits in by_width(left):
+        trees: dict[int, Tree] = {}
+        for v, sids_b, sizes_b, comps_b, bits_b in others:
+            if 100 * sizes.max() < percent * sizes_b.min() or 100 * sizes_b.max() < percent * sizes.min():
+                continue
+            at = min(v, w)
+            if at not in trees:
+                trees[at] = Tree(sids, sizes, folded(bits, at), comps)
+            # a pair may come from either order of the two sides
+            found.update((min(p), max(p)) for p in open_pairs(
+                trees[at], Tree(sids_b, sizes_b, folded(bits_b, at), comps_b), percent))
+    return found
+
+
+def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """(u, v): what the signature trees leave of the meeting places that are still open."""
     tied = places.select("token", "sid").join(
         comps.select(F.col("node").alias("sid"), "component"), "sid", "left"
@@ -361,10 +456,15 @@ def _tree_pairs(places: DataFrame, sets: DataFrame, comps: DataFrame, percent: i
         F.min("component").alias("_a"), F.max("component").alias("_b"), F.count(F.lit(1)).alias("n"),
         F.sum(F.xxhash64("sid").cast("decimal(38,0)")).alias("members")).where("_a <> _b")
     # places with the same sets are one
-    open_places = places_of.groupBy("n", "members").agg(F.min("token").alias("token")).select("token", "n")
-    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    open_places = places_of.groupBy("n", "members").agg(F.min("token").alias("token")).select("token")
+    members = staged(tied.join(open_places, "token"), "members")
+    wanted = classes.select("sid", "key").join(members.select("sid").distinct(), "sid", "left_semi").select("key")
+    signatures = _signatures(rows, wanted)
+    sizes = members.join(signatures.select("sid", F.octet_length("bits").alias("bytes")), "sid").groupBy("token").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("n_blocks"))
+    n_blocks = F.col("n_blocks")
     dealt = (
-        tied.join(open_places, "token").join(sets.select("sid", "size", "bits"), "sid")
+        members.join(sizes, "token").join(signatures, "sid")
         .withColumn("block", F.pmod(F.xxhash64("sid"), n_blocks).cast("int"))
         # every block meets every other one and itself, each pair in a group of its own
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
@@ -374,12 +474,13 @@ def _tree_pairs(places: DataFrame, sets: DataFrame, comps: DataFrame, percent: i
 
     def search(group: pa.Table) -> pa.Table:
         block = group.column("block").to_numpy()
-        columns = [group.column(c).to_numpy() for c in ("sid", "size", "component")]
-        bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint8).reshape(len(block), -1)
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        left, right = (Tree(columns[0][m], columns[1][m], bits[m], columns[2][m]) for m in (block == i, block == j))
-        # a pair may come from either order of the two sides
-        found = {(min(p), max(p)) for p in open_pairs(left, right, percent)} if len(left.sids) and len(right.sids) else set()
+        sids, sizes, comps = (group.column(c).to_numpy() for c in ("sid", "size", "component"))
+        bits = group.column("bits").to_pylist()
+        sides = []
+        for k in ("i", "j"):
+            m = np.flatnonzero(block == group.column(k)[0].as_py())
+            sides.append((sids[m], sizes[m], comps[m], [bits[x] for x in m]))
+        found = tree_pairs_of(*sides, percent) if len(sides[0][0]) and len(sides[1][0]) else set()
         u, v = zip(*found) if found else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
@@ -397,13 +498,14 @@ def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     rows = first.where(F.col("slice").isNull()).select("doc_id", "key", "sid", "size", "bits")
     common = spark.sparkContext.broadcast(_common(first.where(F.col("slice").isNotNull()).select("slice", "counts")))
     places = staged(_meeting_places(keyed.select("text"), n, percent, common, partitions(spark)), "places")
-    classes = staged(rows.where(F.col("size") > 0).dropDuplicates(["sid"]), "classes")
+    classes = staged(rows.where(F.col("size") > 0).groupBy("sid").agg(F.min("key").alias("key")), "classes")
     # each set is compared with the leader it meets most often
     led = staged(
         places.where(F.col("sid") != F.col("leader")).groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
         .groupBy(F.col("sid").alias("v")).agg(F.max_by("leader", F.struct("n", "leader")).alias("u")), "led")
+    led = staged(_possible(led, _signatures(rows, _wanted(led, classes)), percent), "possible")
     by_leader = staged(_links(led, keyed, classes, n, percent), "links")
-    left = staged(_tree_pairs(places, classes, components(by_leader), percent), "left")
+    left = staged(_tree_pairs(places, rows, classes, components(by_leader), percent), "left")
     by_tree = staged(_links(left, keyed, classes, n, percent), "links")
     comps = components(by_leader.unionByName(by_tree))
     # from sets back to documents: a component's least id is pre-aggregated before it moves

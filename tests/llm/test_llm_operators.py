@@ -450,3 +450,37 @@ def test_sources_without_a_number_fall_to_other(spark):
     sources = {"": "other", "press": "other", None: "other", "s12345678901": "other", "9s": "other", "s3": "web", "s4": "books", "s5": "forum"}
     df = spark.createDataFrame([(s,) for s in sources], "source string")
     assert {r["source"]: r["domain"] for r in df.select("source", F.expr(DOMAIN).alias("domain")).collect()} == sources
+
+
+def test_bitmaps_of_any_width_lose_no_link():
+    """The bound is never under the overlap, whatever the sizes; trees of mixed widths find every link."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for k in range(120):
+        base = np.unique(rng.integers(0, 1 << 62, int(rng.choice([3, 40, 70, 130, 700])), dtype=np.uint64))
+        sets.append(base)
+        for _ in range(2):
+            some = base[rng.random(len(base)) < 0.95]
+            sets.append(np.unique(np.concatenate((some, rng.integers(0, 1 << 62, max(1, len(base) // 30), dtype=np.uint64)))))
+    bits, size = [op1.bitmap(x) for x in sets], np.array([len(x) for x in sets])
+    assert len({len(b) for b in bits}) >= 4 and all(len(b) * 8 >= 4 * len(x) for b, x in zip(bits, sets))
+    expected = set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            overlap = len(np.intersect1d(a, sets[j]))
+            assert op1.most_common(bits[i], len(a), bits[j], len(sets[j])) >= overlap
+            if op1.linked(len(a), len(sets[j]), overlap, 85):
+                expected.add((j, i))
+    ids = np.arange(len(sets))
+    half = ids % 2 == 0
+    blocks = [(ids[m], size[m], ids[m], [bits[k] for k in ids[m]]) for m in (half, ~half)]
+    found = set().union(*(op1.tree_pairs_of(a, b, 85) for a in blocks for b in blocks))
+    found = {p for p in found if p[0] != p[1]}
+    assert expected and expected <= found and len(found) < 4 * len(expected)
+
+
+def test_unrelated_large_sets_are_told_apart():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 62, 5000, dtype=np.uint64)) for _ in range(20)]
+    block = (np.arange(20), np.array([len(x) for x in sets]), np.arange(20), [op1.bitmap(x) for x in sets])
+    assert {p for p in op1.tree_pairs_of(block, block, 85) if p[0] != p[1]} == set()
