@@ -19,7 +19,10 @@ The result is each document's component. Sets are compared by 64-bit hashes of t
    side, whose nodes hold the OR of their token bitmaps, their size range and their components.
    The dual traversal drops a pair of nodes whose sizes are incompatible, whose largest possible
    overlap by bitmaps is too small, or which lie in one component; every pair of sets that is left
-   is compared exactly. Nothing is capped: what leaders don't settle, the trees do.
+   is compared exactly. Before that, ``FIRST_ROUNDS`` searches look at one of ``FIRST_PLACES`` places
+   and compare each set with its likeliest partner of another component alone, which ties the parts
+   of large groups together; then follow all places that are still open, and every pair. So nothing
+   is capped, and a group whose members link is not compared pair by pair.
 
 A set's bitmap has 4 to 8 bits per n-gram, a power of two, so it tells sets of any size apart; where
 two widths meet, the wider one is folded by OR.
@@ -52,6 +55,9 @@ SLICES = 64
 CROWDED = 4
 #: Bits of a set's token bitmap per n-gram, at least, and of the smallest one.
 BITS_PER_NGRAM, LEAST_BITS = 4, 64
+#: The trees see bitmaps folded this many times over, which still rule out what is unrelated; the pairs
+#: they leave are checked by whole bitmaps.
+COARSER = 4
 #: Texts that a worker turns into sets at a time.
 TEXTS = 256
 #: Bits of the filter that tells which documents' sets are compared; it only saves work.
@@ -59,6 +65,8 @@ FILTER_WORDS = 1 << 20
 #: Sets and bytes of bitmaps per block, and sets per leaf of a signature tree.
 BLOCK, BLOCK_BYTES, LEAF = 1024, 1 << 24, 8
 BUCKETS_PER_PART = 4
+#: The first searches of the trees, and the places of which each looks at one.
+FIRST_ROUNDS, FIRST_PLACES = 2, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -309,15 +317,21 @@ def _compared_sets(keyed: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return staged(made.groupBy("sid").agg(F.first("hashes").alias("hashes")), "compared")
 
 
+def coarse(bits: bytes) -> bytes:
+    return folded(np.frombuffer(bits, np.uint8)[None, :], max(len(bits) // COARSER, LEAST_BITS // 8))[0].tobytes()
+
+
 def _signatures(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, size, bits) of the documents in ``wanted`` (key), and of a few others."""
+    """(sid, size, bits, coarse) of the documents in ``wanted`` (key), and of a few others."""
     shared = _key_filter(wanted)
 
     def take(batch: pa.RecordBatch):
-        yield _hits(batch, shared.value).select(["sid", "size", "bits"])
+        found = _hits(batch, shared.value).select(["sid", "size", "bits"])
+        yield found.append_column("coarse", pa.array(map(coarse, found.column("bits").to_pylist()), pa.binary()))
 
-    found = map_arrow(rows.select("sid", "size", "bits", F.expr(_SLOT).alias("slot")), take, "sid long, size long, bits binary")
-    return staged(found.groupBy("sid").agg(F.first("size").alias("size"), F.first("bits").alias("bits")), "signatures")
+    found = map_arrow(rows.select("sid", "size", "bits", F.expr(_SLOT).alias("slot")), take,
+                      "sid long, size long, bits binary, coarse binary")
+    return staged(found.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("size", "bits", "coarse")]), "signatures")
 
 
 def _possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
@@ -384,8 +398,23 @@ class Tree:
 
 
 def open_pairs(left: Tree, right: Tree, percent: int) -> Iterator[tuple[int, int]]:
-    """Dual traversal, level by level: the pairs of sets of different components that neither sizes
-    nor bitmaps rule out."""
+    """The pairs of sets of different components that neither sizes nor bitmaps rule out."""
+    i, j, _ = _open_leaves(left, right, percent)
+    yield from zip(left.sids[i].tolist(), right.sids[j].tolist())
+
+
+def likeliest_pairs(left: Tree, right: Tree, percent: int) -> Iterator[tuple[int, int]]:
+    """Of these, for each set the one with the largest possible likeness: as many as there are sets."""
+    i, j, likeness = _open_leaves(left, right, percent)
+    for side, other in ((i, j), (j, i)):
+        order = np.lexsort((other, -likeness, side))
+        ranked = side[order]
+        best = order[np.concatenate(([True], ranked[1:] != ranked[:-1]))[:len(order)]]
+        yield from zip(left.sids[i[best]].tolist(), right.sids[j[best]].tolist())
+
+
+def _open_leaves(left: Tree, right: Tree, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Dual traversal, level by level, down to pairs of sets, with the greatest likeness each can have."""
     level = max(len(left.levels), len(right.levels)) - 1
     i = j = np.zeros(1, np.int64)
     while len(i):
@@ -400,11 +429,11 @@ def open_pairs(left: Tree, right: Tree, percent: int) -> Iterator[tuple[int, int
         keep = 100 * most >= percent * (lo_a[i] + lo_b[j] - most)
         i, j = i[keep], j[keep]
         if level == 0:
-            yield from zip(left.sids[i].tolist(), right.sids[j].tolist())
-            return
+            return i, j, most[keep] / np.maximum(lo_a[i] + lo_b[j] - most[keep], 1)
         level -= 1
         i, j = _children(i, j, len(left.level(level)[1]) if level < len(left.levels) - 1 else None,
                          len(right.level(level)[1]) if level < len(right.levels) - 1 else None)
+    return i, j, np.zeros(0)
 
 
 def _children(i, j, n_left, n_right):
@@ -419,8 +448,8 @@ def _children(i, j, n_left, n_right):
     return i, j
 
 
-def tree_pairs_of(left, right, percent: int) -> set[tuple[int, int]]:
-    """(least, greatest) of the pairs that the trees of two blocks leave. A block is (sids, sizes,
+def tree_pairs_of(left, right, percent: int, pairs=open_pairs) -> set[tuple[int, int]]:
+    """(least, greatest) of the ``pairs`` that the trees of two blocks leave. A block is (sids, sizes,
     components, bitmaps); there is a tree per width of its bitmaps, and trees whose sizes allow links
     meet at the smaller width."""
 
@@ -442,13 +471,18 @@ def tree_pairs_of(left, right, percent: int) -> set[tuple[int, int]]:
             if at not in trees:
                 trees[at] = Tree(sids, sizes, folded(bits, at), comps)
             # a pair may come from either order of the two sides
-            found.update((min(p), max(p)) for p in open_pairs(
+            found.update((min(p), max(p)) for p in pairs(
                 trees[at], Tree(sids_b, sizes_b, folded(bits_b, at), comps_b), percent))
     return found
 
 
-def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """(u, v): what the signature trees leave of the meeting places that are still open."""
+def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: DataFrame, percent: int,
+                first: int | None) -> DataFrame:
+    """(u, v): what the signature trees leave of the meeting places that are still open; ``first``: the
+    likeliest pairs of one place of so many."""
+    pairs = open_pairs if first is None else likeliest_pairs
+    if first is not None:
+        places = places.where(F.pmod(F.xxhash64("token"), F.lit(FIRST_PLACES)) == first % FIRST_PLACES)
     tied = places.select("token", "sid").join(
         comps.select(F.col("node").alias("sid"), "component"), "sid", "left"
     ).select("token", "sid", F.coalesce("component", "sid").alias("component"))
@@ -460,11 +494,11 @@ def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: D
     members = staged(tied.join(open_places, "token"), "members")
     wanted = classes.select("sid", "key").join(members.select("sid").distinct(), "sid", "left_semi").select("key")
     signatures = _signatures(rows, wanted)
-    sizes = members.join(signatures.select("sid", F.octet_length("bits").alias("bytes")), "sid").groupBy("token").agg(
+    sizes = members.join(signatures.select("sid", F.octet_length("coarse").alias("bytes")), "sid").groupBy("token").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("n_blocks"))
     n_blocks = F.col("n_blocks")
     dealt = (
-        members.join(sizes, "token").join(signatures, "sid")
+        members.join(sizes, "token").join(signatures.select("sid", "size", F.col("coarse").alias("bits")), "sid")
         .withColumn("block", F.pmod(F.xxhash64("sid"), n_blocks).cast("int"))
         # every block meets every other one and itself, each pair in a group of its own
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
@@ -480,11 +514,12 @@ def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: D
         for k in ("i", "j"):
             m = np.flatnonzero(block == group.column(k)[0].as_py())
             sides.append((sids[m], sizes[m], comps[m], [bits[x] for x in m]))
-        found = tree_pairs_of(*sides, percent) if len(sides[0][0]) and len(sides[1][0]) else set()
+        found = tree_pairs_of(*sides, percent, pairs) if len(sides[0][0]) and len(sides[1][0]) else set()
         u, v = zip(*found) if found else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return dealt.groupBy("token", "i", "j").applyInArrow(search, "u long, v long").distinct()
+    found = staged(dealt.groupBy("token", "i", "j").applyInArrow(search, "u long, v long").distinct(), "found")
+    return _possible(found, signatures, percent)
 
 
 def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -505,9 +540,12 @@ def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
         .groupBy(F.col("sid").alias("v")).agg(F.max_by("leader", F.struct("n", "leader")).alias("u")), "led")
     led = staged(_possible(led, _signatures(rows, _wanted(led, classes)), percent), "possible")
     by_leader = staged(_links(led, keyed, classes, n, percent), "links")
-    left = staged(_tree_pairs(places, rows, classes, components(by_leader), percent), "left")
-    by_tree = staged(_links(left, keyed, classes, n, percent), "links")
-    comps = components(by_leader.unionByName(by_tree))
+    links = by_leader
+    comps = components(links)
+    for first in (*range(FIRST_ROUNDS), None):
+        left = staged(_tree_pairs(places, rows, classes, comps, percent, first), "left")
+        links = links.unionByName(staged(_links(left, keyed, classes, n, percent), "links"))
+        comps = components(links)
     # from sets back to documents: a component's least id is pre-aggregated before it moves
     tied = staged(rows.drop("bits").join(comps.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
         "doc_id", "key", "size", F.col("sid").alias("class_id"), F.coalesce("component", "sid").alias("component")), "tied")
