@@ -554,11 +554,19 @@ ORACLES["schema_violations"] = f"""WITH {EVENTS} SELECT table_name, stage,
   {_LIST.format('ExtraColumn')} AS extra_columns,
   {_LIST.format('TypeMismatch')} AS data_type_violations,
   {_LIST.format('ValidationError')} AS constraint_violations FROM errors GROUP BY 1, 2"""
-ORACLES["success_summary"] = f"""WITH {EVENTS} SELECT table_name, stage, count(*) AS success_count
-  FROM results_of WHERE n = 0 GROUP BY 1, 2"""
-ORACLES["quality_highlights"] = f"""WITH {EVENTS} SELECT table_name, stage,
+_STORED_VALID = """stored AS (
+  SELECT 'orders' AS table_name, count(*) FILTER (WHERE o_orderkey IS NULL OR o_totalprice IS NULL OR o_totalprice < 0
+    OR coalesce(o_orderstatus NOT IN ('F', 'O', 'P'), true)) AS bad FROM orders
+  UNION ALL SELECT 'nation', count(*) - count(DISTINCT n_nationkey) + count(*) FILTER (WHERE n_nationkey IS NULL OR n_name IS NULL) FROM nation
+  UNION ALL SELECT 'events', count(*) FILTER (WHERE event_id IS NULL OR event_type IS NULL OR value IS NULL OR value < 0) FROM events
+  UNION ALL SELECT 'customer', count(*) FILTER (WHERE c_custkey IS NULL OR c_acctbal IS NULL OR c_acctbal < 0) FROM customer)"""
+ORACLES["success_summary"] = f"""WITH {EVENTS}, {_STORED_VALID} SELECT table_name, stage, count(*) AS success_count
+  FROM results_of WHERE n = 0 GROUP BY 1, 2
+  UNION ALL SELECT table_name, 'after_cleaning', 1 FROM stored WHERE bad = 0"""
+ORACLES["quality_highlights"] = f"""WITH {EVENTS}, {_STORED_VALID} SELECT table_name, stage,
   'Excellent data quality in ' || table_name || ' table' AS highlight
-  FROM results_of WHERE n = 0 AND data_quality_score >= 95"""
+  FROM results_of WHERE n = 0 AND data_quality_score >= 95
+  UNION ALL SELECT table_name, 'after_cleaning', 'Excellent data quality in ' || table_name || ' table' FROM stored WHERE bad = 0"""
 _TOTALS = """totals AS (SELECT (SELECT count(*) FROM errors) AS e,
   (SELECT count(*) FROM results_of WHERE n = 0) AS s)"""
 ORACLES["quick_overview"] = f"""WITH {EVENTS}, {_TOTALS} SELECT e AS total_errors,
@@ -788,3 +796,68 @@ ORACLES["bitmap_orphan_rows"] = """SELECT nullif(l_orderkey, 7) AS l_orderkey, l
 
 ORACLES["merge_copartitioned"] = ORACLES["merge_full"]
 ORACLES["dedup_copartitioned"] = ORACLES["clean_subjects"]
+
+# --- sources of one's own, SQL functions, matched columns ----------------------------------------------------------------------
+
+ORACLES["arrow_round_trip"] = "SELECT * FROM orders"
+ORACLES["sql_functions"] = f"""WITH {RAW_RESULTS}, {TYPED_RESULTS}
+  SELECT sample_id, detection_value, cancer_detected, sample_status, date_of_run, count(*) AS row_count
+  FROM typed_results GROUP BY ALL"""
+ORACLES["column_matching"] = """SELECT l_returnflag AS returnflag, l_linestatus AS line_status,
+  cast(sum(l_partkey) AS bigint) AS part_keys, cast(sum(l_orderkey) AS bigint) AS order_keys,
+  cast(sum(cast(l_quantity AS bigint)) AS bigint) AS pieces FROM lineitem GROUP BY 1, 2"""
+
+# --- extraction, recipes, specs, reports ----------------------------------------------------------------------------------------
+
+_RAW_TABLES = f"{RAW_PROJECTS}, {RAW_SUBJECTS}, {RAW_RESULTS}"
+ORACLES["extract_tables"] = f"""WITH {_RAW_TABLES}
+  SELECT 'projects' AS source, count(*) AS row_count, count(study_code) AS key_count, CAST(NULL AS varchar) AS error FROM raw_projects
+  UNION ALL SELECT 'subjects', count(*), count(sample_id), NULL FROM raw_subjects
+  UNION ALL SELECT 'results', count(*), count(sample_id), NULL FROM raw_results
+  UNION ALL SELECT 'absent', NULL, NULL, 'Failed to extract results'"""
+_RECIPE_STEPS = {
+    "projects": ("pre_validation", "column_mapping", "string_standardization", "missing_value_handling", "type_conversion",
+                 "duplicate_removal", "post_validation"),
+    "subjects": ("pre_validation", "column_mapping", "string_standardization", "missing_value_handling", "type_conversion",
+                 "duplicate_removal", "post_validation"),
+    "results": ("pre_validation", "column_mapping", "value_mapping", "string_standardization", "missing_value_handling",
+                "type_conversion", "constraint_application", "duplicate_removal", "post_validation"),
+}
+ORACLES["recipe_output"] = f"WITH {_RAW_TABLES} " + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {i} AS step_number, '{s}' AS step_name, true AS enabled, count(*) AS input_rows FROM raw_{t}"
+    for t, steps in _RECIPE_STEPS.items() for i, s in enumerate(steps, 1))
+ORACLES["type_convert_strict"] = """SELECT l_orderkey, l_linenumber, cast(l_quantity AS double) AS quantity,
+  cast(l_partkey AS bigint) AS part_key FROM lineitem"""
+_COLUMNS_OF = {
+    "projects": [(c, "str") for c in shapes.PROJECTS],
+    "subjects": [(c, "str") for c in ("project_code", "study_code", "study_cohort_code", "subject_id", "sample_id", "sample_type")],
+    "results": list(zip(_RESULT_NAMES.values(), ("str", "float64", "str", "str", "str", "float64", "float64", "datetime64[ns]"))),
+}
+_NOT_NULLABLE = {"projects": None, "subjects": None, "results": ("sample_id",)}  # None: every column
+ORACLES["schema_metadata"] = f"WITH {_RAW_TABLES} " + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, '{k}' AS data_type, "
+    f"{str(_NOT_NULLABLE[t] is not None and c not in _NOT_NULLABLE[t]).lower()} AS nullable, count(*) AS row_count, "
+    f"count(*) - count({c}) AS null_count FROM raw_{t}" for t, columns in _COLUMNS_OF.items() for i, (c, k) in enumerate(columns))
+ORACLES["rule_lint"] = f"WITH {_RAW_TABLES} " + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'string_validation' AS rule_type, count(*) - count({c}) AS null_count FROM raw_{t}"
+    for t, columns in (("projects", ("project_name", "study_name", "study_cohort_name", "project_manager_name", "disease_name")),
+                       ("subjects", ("sample_type",))) for c in columns)
+_REPORT_ROWS = {
+    "run_summary": "1", "quick_overview": "1", "executive_summary": "1",
+    "table_analysis": "(SELECT count(*) FROM results_of)",
+    "schema_violations": "(SELECT count(*) FROM (SELECT DISTINCT table_name, stage FROM errors))",
+    "detailed_errors": "(SELECT count(*) FROM errors)", "error_details": "(SELECT count(*) FROM errors)",
+    "critical_issues": "(SELECT count(*) FROM errors)",
+    "data_quality_issues": "(SELECT count(*) FROM errors WHERE error_type IN ('DataQualityError', 'ValidationError'))",
+    "error_by_type": "(SELECT count(DISTINCT error_type) FROM errors)", "error_by_table": "(SELECT count(DISTINCT table_name) FROM errors)",
+    "top_error_types": "least(5, (SELECT count(DISTINCT error_type) FROM errors))",
+    "top_error_tables": "least(5, (SELECT count(DISTINCT table_name) FROM errors))",
+    "recommendations": "(SELECT count(DISTINCT error_type) FROM errors)",
+    "success_summary": "(SELECT count(*) FROM results_of WHERE n = 0)",
+    "quality_highlights": "(SELECT count(*) FROM results_of WHERE n = 0 AND stage = 'after_cleaning' AND data_quality_score >= 95)",
+    "coarse_recommendations": "(SELECT count(DISTINCT error_type) FROM errors WHERE error_type IN ('SchemaViolation', 'DataQualityError'))",
+    "next_steps": "(SELECT CASE WHEN count(*) FILTER (WHERE n > 0) > 0 THEN 3 ELSE 0 END + CASE WHEN count(*) FILTER (WHERE n = 0) > 0 THEN 2 ELSE 0 END "
+                  "FROM results_of WHERE stage = 'after_cleaning')",
+}
+ORACLES["all_reports"] = f"WITH {EVENTS} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS report, cast({rows} AS bigint) AS row_count" for name, rows in _REPORT_ROWS.items())

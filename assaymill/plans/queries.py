@@ -12,24 +12,28 @@ from pyspark.sql import functions as F
 
 from .. import specs
 from ..config import default_config
+from ..errors import ExtractionError
 from ..functions import (
     composite_code, convert, is_finished, map_values, severity, standardize, to_timestamp,
 )
+from ..functions.registry import register_functions
 from ..functions.scores import first_match, severity_priority
 from ..local import measured
 from ..operators import bitmaps, copartition, dedup, documents, gate, merge, metrics, profile, profile_state, reports
 from ..operators.constraints import Constraint, apply_constraints, drop_counts
+from ..operators.matching import with_schema_names
 from ..operators.skew import hot_keys
 from ..operators.summary import summarise
 from ..operators.validate import first_errors, validate
 from ..sources import (
-    RunLog, Staging, scan_csv, scan_csv_split, scan_parquet, spread, stored_null_counts, write_parquet, write_report,
-    write_summary_csv,
+    RunLog, Staging, extract_projects, extract_results, extract_subjects, scan_csv, scan_csv_split, scan_parquet, spread, stored_null_counts,
+    write_parquet, write_recipes, write_report, write_summary_csv,
 )
 from .. import fixed_values as fixed
+from ..sources.arrow_folder import FORMAT, register_sources
 from ..specs import MERGED, PROJECTS, RESULTS, SUBJECTS, SUMMARY, Check, ColumnSpec, TableCheck, TableSpec
 from . import shapes
-from .recipe import apply_recipe, clean, generate_recipe, rename_columns
+from .recipe import apply_recipe, clean, generate_recipe, recipe_frame, rename_columns
 from .shapes import raw_projects, raw_results, raw_subjects, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -549,6 +553,25 @@ def _events(spark, folder) -> DataFrame:
     return measured(out.unionByName(reports.validation_events(after, _RUN, event_ts=ts)))
 
 
+_STORED_SPECS = (
+    TableSpec("orders", (ColumnSpec("o_orderkey", specs.LONG), ColumnSpec("o_totalprice", specs.DOUBLE, checks=(specs.at_least(0),)),
+                         ColumnSpec("o_orderstatus", checks=(specs.one_of(["F", "O", "P"]),)))),
+    TableSpec("nation", (ColumnSpec("n_nationkey", specs.LONG), ColumnSpec("n_name")), unique_key=("n_nationkey",)),
+    TableSpec("events", (ColumnSpec("event_id", specs.LONG), ColumnSpec("event_type"), ColumnSpec("value", specs.DOUBLE, checks=(specs.at_least(0),)))),
+    TableSpec("customer", (ColumnSpec("c_custkey", specs.LONG), ColumnSpec("c_acctbal", specs.DOUBLE, checks=(specs.at_least(0),)))),
+)
+
+
+def _stored_events(spark, folder) -> DataFrame:
+    """Events of tables that are valid as they are, but for one."""
+    ts = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    out = None
+    for spec in _STORED_SPECS:
+        e = reports.validation_events(validate(table(spark, folder, spec.name), spec, "after_cleaning"), _RUN, event_ts=ts)
+        out = e if out is None else out.unionByName(e)
+    return measured(out)
+
+
 @query
 def error_by_type(spark, folder):
     """AGG12."""
@@ -625,13 +648,13 @@ def schema_violations(spark, folder):
 @query
 def success_summary(spark, folder):
     """AGG16."""
-    return reports.success_summary(_events(spark, folder))
+    return reports.success_summary(_events(spark, folder).unionByName(_stored_events(spark, folder)))
 
 
 @query
 def quality_highlights(spark, folder):
     """RPT16."""
-    return reports.quality_highlights(_events(spark, folder))
+    return reports.quality_highlights(_events(spark, folder).unionByName(_stored_events(spark, folder)))
 
 
 @query
@@ -999,3 +1022,122 @@ def merge_copartitioned(spark, folder):
 def dedup_copartitioned(spark, folder):
     """DST1, DST2: the cleaned subjects, as stored by sample."""
     return _keyed_tables(spark, folder)[0].whole()
+
+
+# --- sources of one's own, SQL functions, matched columns ----------------------------------------------------------------------
+
+@query
+def arrow_round_trip(spark, folder):
+    """SRC8, SNK6: orders written by a custom sink in two writes and read by a custom source in parts."""
+    register_sources(spark)
+    path = f"{Staging(spark).folder}/orders_arrow"
+    orders = table(spark, folder, "orders").repartition(6, "o_orderkey")
+    orders.where("o_orderkey % 2 = 0").write.format(FORMAT).mode("append").save(path)
+    orders.where("o_orderkey % 2 = 1").write.format(FORMAT).mode("append").save(path)
+    return spark.read.format(FORMAT).option("rows_per_partition", 10_000).load(path)
+
+
+@query
+def sql_functions(spark, folder):
+    """§2.12, §2.14: the column functions in SQL text over the raw results."""
+    register_functions(spark)
+    raw_results(spark, folder).createOrReplaceTempView("assay_raw_results")
+    return spark.sql("""
+      SELECT assay_standardize(sample_id) AS sample_id,
+        assay_to_double(assay_map_results_detection_value(` detection_value `)) AS detection_value,
+        assay_tidy(assay_map_results_cancer_detected(`cancer_detected_(yes_no)`)) AS cancer_detected,
+        assay_tidy(assay_map_results_sample_status(`sample_status(running/finished/failed)`)) AS sample_status,
+        CAST(CAST(assay_to_timestamp(`date of run`) AS DATE) AS STRING) AS date_of_run, count(*) AS row_count
+      FROM assay_raw_results GROUP BY ALL""")
+
+
+@query
+def column_matching(spark, folder):
+    """PRJ3: a table with other column names, matched one to one; two names would like the same column."""
+    spec = TableSpec("lines", (ColumnSpec("key", specs.LONG), ColumnSpec("order_key", specs.LONG), ColumnSpec("quantity", specs.DOUBLE),
+                               ColumnSpec("returnflag"), ColumnSpec("line_status")))
+    renamed = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS `Order Key`", "l_partkey AS `Key Of Part`", "l_quantity AS `Quantity (pieces)`",
+        "l_returnflag AS `Return_Flag`", "l_linestatus AS linestat")
+    named = with_schema_names(renamed, spec)
+    return named.groupBy("returnflag", "line_status").agg(
+        F.sum("key").alias("part_keys"), F.sum("order_key").alias("order_keys"), F.sum(F.col("quantity").cast("bigint")).alias("pieces"))
+
+
+# --- extraction, recipes, specs, reports ----------------------------------------------------------------------------------------
+
+@query
+def extract_tables(spark, folder):
+    """SRC1-SRC3, SRC5: the three sources as CSV folders, and one that isn't there."""
+    staging, out = Staging(spark), None
+    for name, make, extract, key in (
+            ("projects", raw_projects, extract_projects, "study_code"), ("subjects", raw_subjects, extract_subjects, "sample_id"),
+            ("results", raw_results, extract_results, "sample_id")):
+        path = f"{staging.folder}/{name}_csv"
+        write_summary_csv(make(spark, folder).drop(dedup.ROW_POSITION), path)
+        part = extract(spark, path).agg(F.count(F.lit(1)).alias("row_count"), F.count(key).alias("key_count"))
+        part = part.select(F.lit(name).alias("source"), "row_count", "key_count", F.lit(None).cast("string").alias("error"))
+        out = part if out is None else out.unionByName(part)
+    try:
+        missing = extract_results(spark, f"{staging.folder}/absent_csv").agg(F.count(F.lit(1)).alias("row_count"))
+    except ExtractionError as e:
+        missing = spark.range(1).select(
+            F.lit("absent").alias("source"), F.lit(None).cast("bigint").alias("row_count"), F.lit(None).cast("bigint").alias("key_count"),
+            F.lit(str(e).split(":")[0]).alias("error"))
+    return out.unionByName(missing)
+
+
+@query
+def recipe_output(spark, folder):
+    """SNK5, PRJ18: the recipes as written, beside the rows that they apply to."""
+    path, rows = f"{Staging(spark).folder}/recipes", None
+    write_recipes(recipe_frame(spark, *[generate_recipe(s, default_config()) for s in (PROJECTS, SUBJECTS, RESULTS)]), path)
+    for name, make in (("projects", raw_projects), ("subjects", raw_subjects), ("results", raw_results)):
+        part = make(spark, folder).agg(F.count(F.lit(1)).alias("input_rows")).select(F.lit(name).alias("table_name"), "input_rows")
+        rows = part if rows is None else rows.unionByName(part)
+    return spark.read.json(path).join(rows, "table_name").select(
+        "table_name", F.col("step_number").cast("int"), "step_name", "enabled", "input_rows")
+
+
+@query
+def type_convert_strict(spark, folder):
+    """PRJ13: strict conversion of texts that are all readable; one that isn't would end the job."""
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        convert(F.col("l_quantity").cast("string"), specs.DOUBLE, strict=True).alias("quantity"),
+        convert(F.col("l_partkey").cast("string"), specs.LONG, strict=True).alias("part_key"))
+
+
+def _raw_nulls(spark, folder) -> DataFrame:
+    out = None
+    for name, make in (("projects", raw_projects), ("subjects", raw_subjects), ("results", raw_results)):
+        config = default_config()["data"]["column_mappings"][name]
+        part = profile.null_profile(rename_columns(make(spark, folder), config)).select(
+            F.lit(name).alias("table_name"), "column_name", "row_count", "null_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def schema_metadata(spark, folder):
+    """VAL20: what the specs say of every column, and what the raw tables hold."""
+    return specs.spec_frame(spark).join(_raw_nulls(spark, folder), ["table_name", "column_name"]).select(
+        "table_name", "position", "column_name", "data_type", "nullable", "row_count", "null_count")
+
+
+@query
+def rule_lint(spark, folder):
+    """PRJ19: required columns without a check, and how many nulls stand in them."""
+    return specs.spec_lint(spark, PROJECTS, SUBJECTS, RESULTS).join(_raw_nulls(spark, folder), ["table_name", "column_name"]).select(
+        "table_name", "column_name", "rule_type", "null_count")
+
+
+@query
+def all_reports(spark, folder):
+    """RPT21, RPT3, RPT10: every report of a run, by its number of rows."""
+    built = reports.build_reports(_events(spark, folder), specs.spec_frame(spark))
+    out = None
+    for name in sorted(built):
+        part = built[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("report"), "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
