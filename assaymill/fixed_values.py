@@ -69,6 +69,14 @@ CONSTRAINTS = {
 # --- fixed values: quality gate ----------------------------------------------------------------
 MAX_NULL_RATIO = 0.2
 
+# --- fixed values: texts of reports where an event says nothing ------------------------------------
+NO_MESSAGE_PROVIDED = "No message provided"
+NO_MESSAGE = "No message"
+NO_DESCRIPTION = "No description provided"
+NO_VALUE = "Not specified"
+DEFAULT_FIX = "Manual review required"
+ISSUE_SEVERITY = "Medium"
+
 # --- fixed values: report vocabulary -------------------------------------------------------------
 # (substring of the error type, severity), first match wins; anything else is LOW
 SEVERITIES = (

@@ -195,9 +195,9 @@ def detailed_errors(events: DataFrame, spec_columns: DataFrame | None = None) ->
         "error_id", "event_ts", _or_unknown("table_name").alias("table_name"),
         _or_unknown("column_name").alias("column_name"), "stage",
         _or_unknown("error_type").alias("error_type"),
-        F.coalesce("error_message", F.lit("No message provided")).alias("error_message"),
+        F.coalesce("error_message", F.lit(fixed.NO_MESSAGE_PROVIDED)).alias("error_message"),
         "actual_value", "check_name", "failed_cells",
-        F.lit("Manual review required").alias("recommended_fix"),
+        F.lit(fixed.DEFAULT_FIX).alias("recommended_fix"),
     )
     if spec_columns is None:
         return out
@@ -214,11 +214,11 @@ def data_quality_issues(events: DataFrame) -> DataFrame:
     return numbered(issues, _EVENT_ORDER, "DQ", "issue_id").select(
         "issue_id", _or_unknown("table_name").alias("table_name"),
         _or_unknown("column_name").alias("column_name"), F.col("error_type").alias("issue_type"),
-        F.lit("Medium").alias("severity"),
-        F.coalesce("error_message", F.lit("No description provided")).alias("description"),
+        F.lit(fixed.ISSUE_SEVERITY).alias("severity"),
+        F.coalesce("error_message", F.lit(fixed.NO_DESCRIPTION)).alias("description"),
         F.coalesce("failed_cells", F.lit(0)).alias("affected_rows"),
         F.col("actual_value").alias("data_sample"),
-        F.lit("Manual review required").alias("recommended_action"),
+        F.lit(fixed.DEFAULT_FIX).alias("recommended_action"),
     )
 
 
@@ -229,8 +229,8 @@ def error_details(events: DataFrame) -> DataFrame:
         _or_unknown("table_name").alias("table_name"),
         _or_unknown("column_name").alias("column_name"), "stage", "check_name",
         _or_unknown("error_type").alias("error_type"),
-        F.coalesce("error_message", F.lit("No message")).alias("error_message"),
-        F.coalesce("actual_value", F.lit("Not specified")).alias("failed_value"), "failed_cells",
+        F.coalesce("error_message", F.lit(fixed.NO_MESSAGE)).alias("error_message"),
+        F.coalesce("actual_value", F.lit(fixed.NO_VALUE)).alias("failed_value"), "failed_cells",
         severity(kind).alias("severity"),
         severity_priority(severity(kind)).alias("fix_priority"),
         first_match(kind, fixed.ERROR_ACTIONS, fixed.DEFAULT_ACTION).alias("recommended_action"),
