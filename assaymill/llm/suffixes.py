@@ -16,6 +16,7 @@ theirs alone repeat nowhere and are discarded, with everything that would have t
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,10 +41,17 @@ def suffix_ranks(sequences: DataFrame, owner: Sequence[str], depth: int) -> Data
     The depths 1, 2, 4, ... and ``depth`` are passed through. Sequences are told apart by ``owner``;
     rows that repeat one (owner, pos) count as the same suffix. An empty table gives an empty one.
     """
+    return suffix_levels(sequences, owner, depth)[depth]
+
+
+def suffix_levels(sequences: DataFrame, owner: Sequence[str], depth: int) -> dict[int, DataFrame]:
+    """The ranks at depths 1, 2, 4, ... and ``depth``. Keys that repeat are staged before rows meet them, so
+    that both sides of the join come from a shuffle and a hot key's rows can be divided."""
     # at depth 1 a symbol is its own rank
-    level = staged(sequences.join(_repeated(sequences, owner, ["sym"]), "sym").select(
+    repeated = staged(_repeated(sequences, owner, ["sym"]), "repeated")
+    level = staged(sequences.join(repeated, "sym").select(
         *owner, "pos", F.col("sym").alias("rank")), "suffixes")
-    h = 1
+    h, levels = 1, {1: level}
     while h < depth:
         ahead = min(h, depth - h)
         there = Window.partitionBy(*owner).orderBy("pos").rangeBetween(ahead, ahead)
@@ -56,7 +64,54 @@ def suffix_ranks(sequences: DataFrame, owner: Sequence[str], depth: int) -> Data
             "rank", F.monotonically_increasing_id()), "ranks")
         level = staged(pairs.join(ranks, ["head", "tail"]).select(*owner, "pos", "rank"), "suffixes")
         h += ahead
-    return level
+        levels[h] = level
+    return levels
+
+
+def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which null ids equal each other; the columns ``on`` stand once."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(renamed, same, how).drop(*[f"_right_{c}" for c in on])
+
+
+def repeated_windows(levels: dict[int, DataFrame], owner: Sequence[str], windows: DataFrame) -> DataFrame:
+    """(owner..., pos, length, rank) of the windows (owner..., pos, length) whose symbols stand elsewhere as
+    well; windows of equal length and rank are equal. ``levels`` are the ranks of :func:`suffix_levels`, up
+    to the greatest power of two that is no longer than the longest window.
+
+    A window of any length is told by two ranks: that of its first 2^k symbols and that of its last, 2^k
+    being the greatest power not over the length.
+    """
+    out = None
+    for h in sorted(levels):
+        mine = windows.where((F.col("length") >= h) & (F.col("length") < 2 * h))
+        head = levels[h].dropDuplicates([*owner, "pos"]).withColumnRenamed("rank", "head")
+        tail = head.select(*owner, F.col("pos").alias("_end"), F.col("head").alias("tail"))
+        met = null_safe(mine, head, [*owner, "pos"]).withColumn("_end", F.col("pos") + F.col("length") - h)
+        met = null_safe(met, tail, [*owner, "_end"])
+        pairs = met.select(*owner, "pos", "length", "head", "tail")
+        out = pairs if out is None else out.unionByName(pairs)
+    found = staged(out, "windows")
+    twice = staged(_repeated(found, owner, ["length", "head", "tail"]).withColumn(
+        "rank", F.monotonically_increasing_id()), "ranks")
+    return found.join(twice, ["length", "head", "tail"]).select(*owner, "pos", "length", "rank")
+
+
+def later_windows(windows: DataFrame, owner: Sequence[str]) -> DataFrame:
+    """The maximal runs covered by windows (see :func:`repeated_windows`) that also start earlier: (owner...,
+    runs array<struct<start, end>>), end exclusive; windows that overlap or touch join into one run."""
+    place = F.struct(*owner, "pos")
+    first = staged(windows.groupBy("rank").agg(F.min(place).alias("first")), "first")
+    later = windows.join(first, "rank").where(place != F.col("first")).select(
+        *owner, F.col("pos").alias("start"), (F.col("pos") + F.col("length")).alias("end"))
+    # a run begins where all windows before it have ended
+    order = Window.partitionBy(*owner).orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begun = later.withColumn("new", F.coalesce((F.col("start") > reach).cast("int"), F.lit(1)))
+    run = begun.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return run.groupBy(*owner, "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).groupBy(*owner).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
 
 def later_runs(level: DataFrame, owner: Sequence[str], depth: int) -> DataFrame:
@@ -68,7 +123,7 @@ def later_runs(level: DataFrame, owner: Sequence[str], depth: int) -> DataFrame:
     """
     last = F.size("at") - 1
     place = F.struct(*owner, "pos")
-    first = level.groupBy("rank").agg(F.min(place).alias("first"))
+    first = staged(level.groupBy("rank").agg(F.min(place).alias("first")), "first")
     return (
         level.join(first, "rank").where(place != F.col("first"))
         .groupBy(*owner).agg(F.array_sort(F.collect_set("pos")).alias("at"))

@@ -569,3 +569,32 @@ def test_page_time_is_linear():
     op3.blocks_of("<span>" * 20_000 + "<table>" * 20_000 + "x")
     op3.blocks_of("<a " + "b='" * 50_000)
     assert time.time() - start < 5
+
+
+def brute_runs_by_words(texts, least):
+    """Lines covered by any run of lines with ``least`` words and more together that also starts earlier."""
+    lines = [[x for x in (t or "").split("\n") if WORD.search(x)] for t in texts]
+    starts = collections.defaultdict(list)
+    for d, own in enumerate(lines):
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                if sum(len(WORD.findall(x)) for x in own[i:j]) >= least:
+                    starts[tuple(own[i:j])].append((d, i))
+    gone = {(d, i + k) for run, at in starts.items() for d, i in sorted(at)[1:] for k in range(len(run))}
+    return [[x for k, x in enumerate(own) if (d, k) not in gone] for d, own in enumerate(lines)], len(gone)
+
+
+def test_runs_of_lines_by_their_words(spark):
+    ship(spark)
+    rng = random.Random(2)
+    pool = [" ".join(f"w{rng.randrange(50)}" for _ in range(rng.choice([1, 2, 4, 6, 11, 23]))) for _ in range(14)]
+    texts = ["\n".join(rng.choice(pool) if rng.random() < 0.8 else rng.choice(["", "  ", f"own {k} {rng.random()}"]) for _ in range(rng.randint(0, 14))) for k in range(40)]
+    texts += [texts[3], texts[4] + "\n" + texts[5], "\n".join(["a b"] * 40), None]
+    df = spark.createDataFrame([(k if k else None, t) for k, t in enumerate(texts)], "doc_id long, text string")  # null comes first
+    for least in (20, 7, 1):
+        left, removed = brute_runs_by_words(texts, least)
+        rows = op2.dedup_lines(df, min_words=least).collect()
+        assert sum(r["n_removed"] for r in rows) == removed > 0
+        for r in rows:
+            assert [x for x in (r["text"] or "").split("\n") if WORD.search(x)] == left[r["row"]["doc_id"] or 0], r["row"]["doc_id"]
+    assert op2.dedup_lines(df.limit(0), min_words=20).count() == 0
