@@ -30,10 +30,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of line runs. A document all of whose lines went goes too; one that
+    """Texts without later copies of line runs of 20 words and more, of any number of lines. A document all of whose lines went goes too; one that
     had no line with a word stays as it is. ``n_chars`` follows the text."""
     ship(spark)
-    left = op2_line_dedup.dedup_lines(docs).where((F.col("n_removed") < F.col("n_lines")) | (F.col("n_lines") == 0))
+    left = op2_line_dedup.dedup_lines(docs, min_words=20).where((F.col("n_removed") < F.col("n_lines")) | (F.col("n_lines") == 0))
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars"))}
     return left.select(*[
         changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"row.`{c}`") for c in docs.columns])
