@@ -65,8 +65,8 @@ FILTER_WORDS = 1 << 20
 #: Sets and bytes of bitmaps per block, and sets per leaf of a signature tree.
 BLOCK, BLOCK_BYTES, LEAF = 1024, 1 << 24, 8
 BUCKETS_PER_PART = 4
-#: The first searches of the trees, and the places of which each looks at one.
-FIRST_ROUNDS, FIRST_PLACES = 2, 8
+#: How many searches of the trees come first, and the places of which each looks at one.
+FIRST_ROUNDS, FIRST_PLACES = 1, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
