@@ -12,12 +12,13 @@ greatest values the manifest keeps skip whole files.
     spark.read.format("assaymill_arrow").load(folder)
 
 Folders are reached through Arrow's file systems (local, HDFS, S3, GCS), from the driver and from the
-executors, which need this package (``--py-files``).
+executors.
 """
 
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as fs
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual,
@@ -221,5 +222,7 @@ class ArrowFolder(DataSource):
 
 def register_sources(spark: SparkSession) -> None:
     """Make the format known to the session, which is told to offer its filters to such sources."""
+    # the classes travel whole: planning and task workers need not have this package
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
     spark.dataSource.register(ArrowFolder)
