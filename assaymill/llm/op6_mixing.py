@@ -49,7 +49,7 @@ def _split(children: DataFrame, parents: list[str], level: str) -> DataFrame:
     ``used`` and weights ``open`` are left; it is filled too if its capacity is at most its share
     of what is left. From the first that is not, all get their share of the same rest.
     """
-    # parts of a family are compared exactly by cross-multiplied integers: capacity/weight as a decimal
+    # parts of a family are ordered by capacity/weight as a decimal with twelve places; ties by name
     ratio = F.col("capacity").cast("decimal(38,12)") / F.col("weight")
     order = Window.partitionBy(*parents).orderBy(ratio.asc_nulls_last(), F.col(level).asc_nulls_first())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
