@@ -57,7 +57,7 @@ CROWDED = 4
 BITS_PER_NGRAM, LEAST_BITS = 4, 64
 #: The trees see bitmaps folded this many times over, which still rule out what is unrelated; the pairs
 #: they leave are checked by whole bitmaps.
-COARSER = 4
+COARSER = 2
 #: Texts that a worker turns into sets at a time.
 TEXTS = 256
 #: Bits of the filter that tells which documents' sets are compared; it only saves work.
@@ -448,6 +448,12 @@ def _children(i, j, n_left, n_right):
     return i, j
 
 
+def met_first(found: set[tuple[int, int]], token: int, tokens: dict[int, list[int]]) -> set[tuple[int, int]]:
+    """The pairs that share no place of a lesser token: each pair is found in one place alone."""
+    lesser = {s: frozenset(t for t in own if t < token) for s, own in tokens.items()}
+    return {(u, v) for u, v in found if lesser[u].isdisjoint(lesser[v])}
+
+
 def tree_pairs_of(left, right, percent: int, pairs=open_pairs) -> set[tuple[int, int]]:
     """(least, greatest) of the ``pairs`` that the trees of two blocks leave. A block is (sids, sizes,
     components, bitmaps); there is a tree per width of its bitmaps, and trees whose sizes allow links
@@ -496,14 +502,16 @@ def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: D
     signatures = _signatures(rows, wanted)
     sizes = members.join(signatures.select("sid", F.octet_length("coarse").alias("bytes")), "sid").groupBy("token").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("n_blocks"))
+    # a set stands in as many places as its prefix has n-grams, at most
+    of_set = members.groupBy("sid").agg(F.collect_list("token").alias("tokens"))
     n_blocks = F.col("n_blocks")
     dealt = (
-        members.join(sizes, "token").join(signatures.select("sid", "size", F.col("coarse").alias("bits")), "sid")
+        members.join(sizes, "token").join(signatures.select("sid", "size", F.col("coarse").alias("bits")), "sid").join(of_set, "sid")
         .withColumn("block", F.pmod(F.xxhash64("sid"), n_blocks).cast("int"))
         # every block meets every other one and itself, each pair in a group of its own
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                "sid", "size", "bits", "component")
+                "sid", "size", "bits", "component", "tokens")
     )
 
     def search(group: pa.Table) -> pa.Table:
@@ -515,6 +523,11 @@ def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: D
             m = np.flatnonzero(block == group.column(k)[0].as_py())
             sides.append((sids[m], sizes[m], comps[m], [bits[x] for x in m]))
         found = tree_pairs_of(*sides, percent, pairs) if len(sides[0][0]) and len(sides[1][0]) else set()
+        if found:
+            asked = {s for pair in found for s in pair}
+            tokens = {s: t for s, t in zip(sids.tolist(), group.column("tokens").to_pylist()) if s in asked}
+            found = {p for p in found if p[0] != p[1]}
+            found = met_first(found, group.column("token")[0].as_py(), tokens)
         u, v = zip(*found) if found else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
