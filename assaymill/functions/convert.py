@@ -21,6 +21,8 @@ _WHOLE = r"^\s*[+-]?\d+\s*$"
 _YEAR_FIRST = r"^\s*[0-9]{4}/"
 # A day-first date (5/1/2023, 05-01-2023 10:20, 5.1.2023 ...) at the start of the text.
 _DAY_FIRST = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
+# The same as the whole text, which no other shape matches.
+_PLAIN_DAY_FIRST = r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}\z"
 # Day-first dates with a year of two digits, dates of eight digits, and month names.
 _SHORT_YEAR = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})(?=\s|$)"
 _EIGHT_DIGITS = r"^\s*(\d{4})(\d{2})(\d{2})(?=\s|$)"
@@ -97,15 +99,21 @@ def _in_iso_order(c: Column) -> Column:
     )
 
 
-def to_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column:
+def to_timestamp(c: Column, formats: Sequence[str] | None = None, held: bool = True) -> Column:
     """PRJ11: text to a zone-less timestamp, day first, each value on its own.
 
     By default ISO dates, day-first dates with ``/ - .`` and years of four or two digits, dates of
     eight digits and dates with an English month name are read, each with an optional time: what is not in ISO order is rewritten to it, and one ``try_cast`` parses the result. With ``formats`` the
-    given patterns are tried in order instead; a pattern is only tried on texts of its shape.
+    given patterns are tried in order instead; a pattern is only tried on texts of its shape. ``held=False``
+    writes the expression out without a lambda, for those who need its SQL text.
     """
     if formats is None:
-        return _in_iso_order(_on_full_clock(c)).try_cast("timestamp_ntz")
+        # the usual shape needs one rewriting; for the others a lambda holds the text on the full clock, which
+        # the shapes mention a dozen times, so that it is computed once and generated code stays small
+        clock = _on_full_clock(c)
+        other = F.get(F.transform(F.array(clock), _in_iso_order), 0) if held else _in_iso_order(clock)
+        iso = F.when(c.rlike(_PLAIN_DAY_FIRST), F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1")).otherwise(other)
+        return iso.try_cast("timestamp_ntz")
     text = F.trim(c)
     tries = [
         F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f))).cast("timestamp_ntz")

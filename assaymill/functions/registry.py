@@ -30,7 +30,7 @@ _FUNCTIONS: dict[str, tuple[dict[str, str], Callable[[], Column], str]] = {
     "code": ({"a": "string", "b": "string", "c": "string"}, lambda: composite_code("a", "b", "c"), "string"),
     "to_double": ({"x": "string"}, lambda: to_double(F.col("x")), "double"),
     "to_long": ({"x": "string"}, lambda: to_long(F.col("x")), "bigint"),
-    "to_timestamp": ({"x": "string"}, lambda: to_timestamp(F.col("x")), "timestamp_ntz"),
+    "to_timestamp": ({"x": "string"}, lambda: to_timestamp(F.col("x"), held=False), "timestamp_ntz"),
     "severity": ({"x": "string"}, lambda: severity(F.col("x")), "string"),
     "severity_priority": ({"x": "string"}, lambda: severity_priority(F.col("x")), "int"),
     "rate_band": ({"rate": "double"}, lambda: band(F.col("rate")), "string"),

@@ -17,6 +17,9 @@ _EDGES = f"^{_SPACE}+|{_SPACE}+$"
 # Only what has to change: a run of two or more, or a single one that is not a plain blank. Text
 # that is already clean is scanned but never rebuilt.
 _RUNS = f"[{_OTHER_SPACE}]{_SPACE}*| {_SPACE}+"
+# Visible ASCII words with single blanks between: nothing to collapse, told without trying both kinds of
+# run at every character.
+_PLAIN = r"^[!-~]++(?: [!-~]++)*+\z"
 
 
 def strip(c: Column) -> Column:
@@ -32,10 +35,12 @@ def collapse_spaces(c: Column) -> Column:
 def standardize(c: Column, lower: bool = True) -> Column:
     """PRJ5-PRJ7 together: strip, lower-case (optional), collapse.
 
-    Collapsing first turns every edge run into one plain blank, which ``trim`` removes without a
-    second regular expression.
+    Plain words between blanks are only trimmed. For other texts, collapsing first turns every edge run
+    into one plain blank, which ``trim`` removes without a second regular expression.
     """
-    clean = F.trim(collapse_spaces(c.cast("string")))
+    text = c.cast("string")
+    trimmed = F.trim(text)
+    clean = F.when(trimmed.rlike(_PLAIN), trimmed).otherwise(F.trim(collapse_spaces(text)))
     return F.lower(clean) if lower else clean
 
 

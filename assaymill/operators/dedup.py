@@ -49,7 +49,8 @@ def drop_duplicates(
     rank = "_dup_rank"
     # a row without a whole key is a group by itself, which also spreads such rows over the tasks
     alone = [] if null_keys_equal else [F.when(_any_null(keys), F.struct(*default_order(df, order_by)))]
-    window = Window.partitionBy(*keys, *alone).orderBy(*order)
+    # the hash goes first: sorting then compares numbers, and texts only within a key
+    window = Window.partitionBy(F.xxhash64(*keys), *keys, *alone).orderBy(*order)
     return (
         df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
     )

@@ -1,6 +1,7 @@
 """Column functions on hand-written values."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,7 +12,9 @@ from assaymill.functions import (
     to_long, to_timestamp,
 )
 from assaymill.fixed_values import VALUE_MAPPINGS
+from assaymill.functions.convert import _in_iso_order, _on_full_clock
 from assaymill.functions.scores import band, executive_status, severity
+from assaymill.specs import RESULTS
 
 
 def apply(spark, values, column):
@@ -79,3 +82,33 @@ def test_ladders(spark):
         "EXCELLENT", "GOOD", "GOOD", "POOR", "CRITICAL"]
     assert apply(spark, ["90", "89.9", "69.9"], lambda c: executive_status(c.cast("double"))) == [
         "PASSED", "WARNING", "FAILED"]
+
+
+def test_cleaning_generates_methods_that_the_jvm_compiles(spark):
+    """HotSpot interprets methods of more than 8000 bytes of byte code."""
+    from assaymill.config import default_config
+    from assaymill.plans.recipe import apply_recipe, generate_recipe
+    from assaymill.plans.shapes import raw_results
+
+    recipe = generate_recipe(RESULTS, default_config()).without("duplicate_removal")
+    tidy = apply_recipe(raw_results(spark, "/root/testdata/sf0.001"), recipe, keep_position=True)
+    shown = spark._jvm.PythonSQLUtils.explainString(tidy._jdf.queryExecution(), "codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_plain_texts_are_standardised_as_others(spark):
+    texts = ["", " ", "  A b ", "a  b", "a\tb", "\u00a0 a", "\u00e9  x ", "one two three", "x\n", "~ !", "a\u3000", "\x1c"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(standardize(F.col("t"))).collect()]
+    assert got == [" ".join(re.split(r"[ \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+", t)).strip(" ").lower()
+                   for t in texts]
+
+
+def test_dates_are_read_alike_with_and_without_the_held_text(spark):
+    texts = ["1/2/2023", "01-02-2023", "31.12.2023", "31/02/2023", "1/2-2023", "  11-12-2023", "1-12-2023 ", "1/2/2023\n", "1/2/23",
+             "5 May 2023 1:05 PM", "2023/1/2", "20230102", "1/2/2023 1:05 pm", "2023-01-02", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", to_timestamp(F.col("t")).alias("a"), to_timestamp(F.col("t"), held=False).alias("b"),
+                     _in_iso_order(_on_full_clock(F.col("t"))).try_cast("timestamp_ntz").alias("c")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows] == [r["c"] for r in rows]

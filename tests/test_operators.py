@@ -302,3 +302,14 @@ def test_specs(spark):
     assert spec_frame(spark).count() == sum(len(s.columns) for s in SPECS.values())
     lint = {(r["table_name"], r["column_name"]) for r in spec_lint(spark).collect()}
     assert ("projects", "project_name") in lint and ("projects", "project_code") not in lint
+
+
+def test_duplicates_are_sorted_by_a_number_first(spark):
+    """Keys that begin alike are no worse to sort than others."""
+    from assaymill.operators.dedup import drop_duplicates
+
+    df = spark.createDataFrame([("a", "x", 2), ("a", "x", 1), ("a", None, 3), (None, None, 4), (None, None, 5)], "k string, l string, n int")
+    out = drop_duplicates(df, ["k", "l"], ["n"], null_keys_equal=False)
+    assert sorted(r["n"] for r in out.collect()) == [1, 3, 4, 5]
+    window = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(_w0" in window and "xxhash64(k" in window
