@@ -99,6 +99,16 @@ def _in_iso_order(c: Column) -> Column:
     )
 
 
+def _plain_in_iso_order(c: Column) -> Column:
+    """A text of ``_PLAIN_DAY_FIRST`` as year-month-day, cut by places: the year is the last four characters,
+    and of two characters at either end of what stands before it one may be the separator."""
+    day_month = F.substring(c, F.lit(1), F.length(c) - 5)
+    separators = F.lit("/.-")
+    return F.concat(
+        F.substring(c, -4, 4), F.lit("-"), F.btrim(F.substring(day_month, -2, 2), separators), F.lit("-"),
+        F.btrim(F.substring(day_month, 1, 2), separators))
+
+
 def to_timestamp(c: Column, formats: Sequence[str] | None = None, held: bool = True) -> Column:
     """PRJ11: text to a zone-less timestamp, day first, each value on its own.
 
@@ -112,7 +122,7 @@ def to_timestamp(c: Column, formats: Sequence[str] | None = None, held: bool = T
         # the shapes mention a dozen times, so that it is computed once and generated code stays small
         clock = _on_full_clock(c)
         other = F.get(F.transform(F.array(clock), _in_iso_order), 0) if held else _in_iso_order(clock)
-        iso = F.when(c.rlike(_PLAIN_DAY_FIRST), F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1")).otherwise(other)
+        iso = F.when(c.rlike(_PLAIN_DAY_FIRST), _plain_in_iso_order(c)).otherwise(other)
         return iso.try_cast("timestamp_ntz")
     text = F.trim(c)
     tries = [

@@ -1,5 +1,7 @@
 """Operators on small fixtures, hot keys included."""
 
+from functools import reduce
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,11 +9,14 @@ from assaymill import PROJECTS, RESULTS, SUBJECTS, default_config
 from assaymill.errors import PlanError, ValidationFailed
 from assaymill.operators import gate, merge, metrics, profile, reports
 from assaymill.operators.constraints import apply_constraints, constraints_for, drop_counts
-from assaymill.operators.dedup import drop_duplicates, duplicate_count
+from assaymill.operators.dedup import ROW_POSITION, drop_duplicates, duplicate_count
 from assaymill.operators.skew import hot_keys, join_on_keys
 from assaymill.operators.summary import summarise
 from assaymill.operators.validate import first_errors, validate
-from assaymill.plans.recipe import clean, generate_recipe, infer_column_mapping, recipe_frame
+from assaymill.plans import shapes
+from assaymill.plans.recipe import (
+    apply_recipe, apply_step, clean, generate_recipe, infer_column_mapping, recipe_frame,
+)
 from assaymill.specs import SPECS, get_spec, spec_frame, spec_lint, spec_metadata
 
 KEYS = ["project_code", "study_code", "study_cohort_code"]
@@ -313,3 +318,17 @@ def test_duplicates_are_sorted_by_a_number_first(spark):
     assert sorted(r["n"] for r in out.collect()) == [1, 3, 4, 5]
     window = out._jdf.queryExecution().optimizedPlan().toString()
     assert "row_number() windowspecdefinition(_w0" in window and "xxhash64(k" in window
+
+
+def test_steps_run_where_their_column_is_first_needed(spark):
+    """The result of one step after the other; what decides about no row is computed for the rows that stay."""
+    folder = "/root/testdata/sf0.001"
+    for spec, raw in ((RESULTS, shapes.raw_results), (SUBJECTS, shapes.raw_subjects)):
+        recipe = generate_recipe(spec, default_config())
+        plainly = reduce(apply_step, recipe, raw(spark, folder)).drop(ROW_POSITION)
+        tidy = apply_recipe(raw(spark, folder), recipe)
+        assert tidy.dtypes == plainly.dtypes
+        assert bag(tidy) == bag(plainly)
+    plan = apply_recipe(shapes.raw_results(spark, folder), generate_recipe(RESULTS, default_config()))
+    plan = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "timestamp_ntz" in plan[:plan.index("Window [")]
