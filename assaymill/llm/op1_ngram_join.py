@@ -15,7 +15,8 @@ The result is each document's component. Sets are compared by 64-bit hashes of t
    set, which already ties large groups of near copies together. Bitmaps are compared first: only
    pairs whose largest possible overlap is enough have their sets made and moved.
 4. *Signature trees.* A meeting place whose sets still lie in different components is searched
-   exhaustively: its sets are dealt to blocks of bounded size, each pair of blocks gets a tree per
+   exhaustively; places with the same least and greatest set are searched as one, and a pair that meets
+   in several of them is taken in one alone. Its sets are dealt to blocks of bounded size, each pair of blocks gets a tree per
    side, whose nodes hold the OR of their token bitmaps, their size range and their components.
    The dual traversal drops a pair of nodes whose sizes are incompatible, whose largest possible
    overlap by bitmaps is too small, or which lie in one component; every pair of sets that is left
@@ -321,17 +322,21 @@ def coarse(bits: bytes) -> bytes:
     return folded(np.frombuffer(bits, np.uint8)[None, :], max(len(bits) // COARSER, LEAST_BITS // 8))[0].tobytes()
 
 
-def _signatures(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, size, bits, coarse) of the documents in ``wanted`` (key), and of a few others."""
+def _signatures(rows: DataFrame, wanted: DataFrame, trees: bool = True) -> DataFrame:
+    """(sid, size, bits, coarse) of the documents in ``wanted`` (key), and of a few others; ``coarse``, made
+    where a set's row has arrived, only for the trees."""
     shared = _key_filter(wanted)
 
     def take(batch: pa.RecordBatch):
-        found = _hits(batch, shared.value).select(["sid", "size", "bits"])
-        yield found.append_column("coarse", pa.array(map(coarse, found.column("bits").to_pylist()), pa.binary()))
+        yield _hits(batch, shared.value).select(["sid", "size", "bits"])
+
+    def fold(batch: pa.RecordBatch):
+        yield batch.append_column("coarse", pa.array(map(coarse, batch.column("bits").to_pylist()), pa.binary()))
 
     found = map_arrow(rows.select("sid", "size", "bits", F.expr(_SLOT).alias("slot")), take,
-                      "sid long, size long, bits binary, coarse binary")
-    return staged(found.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("size", "bits", "coarse")]), "signatures")
+                      "sid long, size long, bits binary")
+    own = found.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("size", "bits")])
+    return staged(map_arrow(own, fold, "sid long, size long, bits binary, coarse binary") if trees else own, "signatures")
 
 
 def _possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
@@ -482,6 +487,20 @@ def tree_pairs_of(left, right, percent: int, pairs=open_pairs) -> set[tuple[int,
     return found
 
 
+def _open_members(places: DataFrame, comps: DataFrame) -> DataFrame:
+    """(place, sid, component): the sets of the places that still hold several components. Places whose
+    least and greatest sets are the same hold mostly the same sets and are searched as one, so that a set
+    with many n-grams in common with its neighbours moves a few times, not once per n-gram. As set ids are
+    hashes, places agree on both ends about as often as they share their sets."""
+    tied = places.select("token", "sid").join(
+        comps.select(F.col("node").alias("sid"), "component"), "sid", "left"
+    ).select("token", "sid", F.coalesce("component", "sid").alias("component"))
+    open_places = tied.groupBy("token").agg(
+        F.min("component").alias("_a"), F.max("component").alias("_b"),
+        F.xxhash64(F.min("sid"), F.max("sid")).alias("place")).where("_a <> _b").select("token", "place")
+    return tied.join(open_places, "token").groupBy("place", "sid").agg(F.first("component").alias("component"))
+
+
 def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: DataFrame, percent: int,
                 first: int | None) -> DataFrame:
     """(u, v): what the signature trees leave of the meeting places that are still open; ``first``: the
@@ -489,29 +508,21 @@ def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: D
     pairs = open_pairs if first is None else likeliest_pairs
     if first is not None:
         places = places.where(F.pmod(F.xxhash64("token"), F.lit(FIRST_PLACES)) == first % FIRST_PLACES)
-    tied = places.select("token", "sid").join(
-        comps.select(F.col("node").alias("sid"), "component"), "sid", "left"
-    ).select("token", "sid", F.coalesce("component", "sid").alias("component"))
-    places_of = tied.groupBy("token").agg(
-        F.min("component").alias("_a"), F.max("component").alias("_b"), F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("sid").cast("decimal(38,0)")).alias("members")).where("_a <> _b")
-    # places with the same sets are one
-    open_places = places_of.groupBy("n", "members").agg(F.min("token").alias("token")).select("token")
-    members = staged(tied.join(open_places, "token"), "members")
+    members = staged(_open_members(places, comps), "members")
     wanted = classes.select("sid", "key").join(members.select("sid").distinct(), "sid", "left_semi").select("key")
     signatures = _signatures(rows, wanted)
-    sizes = members.join(signatures.select("sid", F.octet_length("coarse").alias("bytes")), "sid").groupBy("token").agg(
+    sizes = members.join(signatures.select("sid", F.octet_length("coarse").alias("bytes")), "sid").groupBy("place").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("n_blocks"))
-    # a set stands in as many places as its prefix has n-grams, at most
-    of_set = members.groupBy("sid").agg(F.collect_list("token").alias("tokens"))
+    of_set = members.groupBy("sid").agg(F.collect_list("place").alias("places"))
     n_blocks = F.col("n_blocks")
     dealt = (
-        members.join(sizes, "token").join(signatures.select("sid", "size", F.col("coarse").alias("bits")), "sid").join(of_set, "sid")
+        members.join(sizes, "place").join(signatures.select("sid", "size", F.col("coarse").alias("bits")), "sid").join(of_set, "sid")
+        .withColumn("lesser", F.filter("places", lambda p: p < F.col("place")))
         .withColumn("block", F.pmod(F.xxhash64("sid"), n_blocks).cast("int"))
         # every block meets every other one and itself, each pair in a group of its own
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                "sid", "size", "bits", "component", "tokens")
+        .select("place", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                "sid", "size", "bits", "component", "lesser")
     )
 
     def search(group: pa.Table) -> pa.Table:
@@ -525,13 +536,13 @@ def _tree_pairs(places: DataFrame, rows: DataFrame, classes: DataFrame, comps: D
         found = tree_pairs_of(*sides, percent, pairs) if len(sides[0][0]) and len(sides[1][0]) else set()
         if found:
             asked = {s for pair in found for s in pair}
-            tokens = {s: t for s, t in zip(sids.tolist(), group.column("tokens").to_pylist()) if s in asked}
+            lesser = {s: p for s, p in zip(sids.tolist(), group.column("lesser").to_pylist()) if s in asked}
             found = {p for p in found if p[0] != p[1]}
-            found = met_first(found, group.column("token")[0].as_py(), tokens)
+            found = met_first(found, group.column("place")[0].as_py(), lesser)
         u, v = zip(*found) if found else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    found = staged(dealt.groupBy("token", "i", "j").applyInArrow(search, "u long, v long").distinct(), "found")
+    found = staged(dealt.groupBy("place", "i", "j").applyInArrow(search, "u long, v long").distinct(), "found")
     return _possible(found, signatures, percent)
 
 
@@ -551,7 +562,7 @@ def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     led = staged(
         places.where(F.col("sid") != F.col("leader")).groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
         .groupBy(F.col("sid").alias("v")).agg(F.max_by("leader", F.struct("n", "leader")).alias("u")), "led")
-    led = staged(_possible(led, _signatures(rows, _wanted(led, classes)), percent), "possible")
+    led = staged(_possible(led, _signatures(rows, _wanted(led, classes), trees=False), percent), "possible")
     by_leader = staged(_links(led, keyed, classes, n, percent), "links")
     links = by_leader
     comps = components(links)

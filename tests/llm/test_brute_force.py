@@ -275,3 +275,23 @@ def test_stages_on_awkward_tables(spark, awkward, tmp_path):
                 assert not collections.Counter(map(str, out.select("doc_id", "text").collect())) - before, name
         packed = pipeline.packing(spark, docs, str(tmp_path))
         assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_op1_places_with_equal_ends_are_searched_as_one(spark, monkeypatch):
+    """Sets that meet at several n-grams move once to all of them, and every pair is still found."""
+    counts, real = {}, op1.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(op1, "staged", counted)
+    met = {10: (1, 2, 9), 11: (1, 3, 9), 12: (1, 2, 3, 9), 13: (4, 9)}
+    places = spark.createDataFrame([(t, s) for t, sids in met.items() for s in sids], "token long, sid long")
+    bits = op1.bitmap(np.arange(10, dtype=np.uint64) << np.uint64(20))
+    rows = spark.createDataFrame([(s, s, s, 10, bits) for s in (1, 2, 3, 4, 9)], "doc_id long, key long, sid long, size long, bits binary")
+    comps = spark.createDataFrame([], "node long, component long")
+    found = op1._tree_pairs(places, rows, rows.select("sid", "key"), comps, 85, None)
+    assert {(r["u"], r["v"]) for r in found.collect()} == {(1, 2), (1, 3), (1, 9), (2, 3), (2, 9), (3, 9), (4, 9)}
+    assert counts["members"] == 6
