@@ -40,14 +40,23 @@ def _position() -> Column:
     ).alias(ROW_POSITION)
 
 
+#: Bytes of a split where the session has Spark's default: that many packed numbers become ten million wide
+#: rows of texts, which no task sorts in memory.
+SPLIT_BYTES, _SPLIT_KEY, _SPLIT_DEFAULT = "16m", "spark.sql.files.maxPartitionBytes", "134217728b"
+
+
 def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """Share the rows of a scan over ``tasks`` tasks, if the caller asks for it.
 
     Meant for inputs that cannot be split (one row group, a multi-line file) in front of heavy
-    per-row work; large inputs come in enough tasks by themselves (``spark.sql.files.maxPartitionBytes``).
-    Without ``tasks`` the session's ``assaymill.scan.tasks`` decides; unset, nothing is shuffled.
+    per-row work. Without ``tasks`` the session's ``assaymill.scan.tasks`` decides; unset, nothing is
+    shuffled, and large inputs come in splits of ``SPLIT_BYTES``, which bounds a task's rows whatever the
+    input; sessions that set ``spark.sql.files.maxPartitionBytes`` keep their own.
     """
-    tasks = tasks or int(df.sparkSession.conf.get("assaymill.scan.tasks", "0"))
+    session = df.sparkSession
+    if session.conf.get(_SPLIT_KEY) == _SPLIT_DEFAULT:
+        session.conf.set(_SPLIT_KEY, SPLIT_BYTES)
+    tasks = tasks or int(session.conf.get("assaymill.scan.tasks", "0"))
     return df.repartition(tasks) if tasks else df
 
 

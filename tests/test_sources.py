@@ -146,3 +146,15 @@ def test_splitting_takes_one_write(spark, tmp_path):
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("split")) == 1
     plan = got.rejects._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(rejected" in plan and "Exchange" not in plan
+
+
+def test_rows_for_heavy_work_come_in_small_splits(spark):
+    """A task's rows stay few, however large the table; a session's own setting stands."""
+    key = "spark.sql.files.maxPartitionBytes"
+    session = spark.newSession()
+    session.conf.unset(key)
+    assert spread(session.range(3)).count() == 3
+    assert session.conf.get(key) == "16m"
+    session.conf.set(key, "64m")
+    spread(session.range(3))
+    assert session.conf.get(key) == "64m"
