@@ -110,7 +110,8 @@ def dedup_lines(
         runs.select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), "runs").hint("merge"),
         F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy")), "left",
     )
-    without = F.pandas_udf(_without_runs, "text string, n_lines long, n_removed long")
+    # a filter on the counts would else run the step twice, the second time in a worker of its own
+    without = F.pandas_udf(_without_runs, "text string, n_lines long, n_removed long").asNondeterministic()
     cut = joined.select("row", without(F.col(f"row.`{text_col}`"), "runs").alias("cut"))
     return cut.select("row", "cut.*")
 

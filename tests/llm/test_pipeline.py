@@ -91,3 +91,15 @@ def test_copies_are_told_by_five_words_and_four_fifths(spark):
     assert group[1] == 0 and 100 * len(narrow[0] & narrow[1]) < 85 * len(narrow[0] | narrow[1])
     kept = sorted(r["doc_id"] for r in pipeline.copies(spark, docs, FOLDER).select("doc_id").collect())
     assert kept == [i for i in range(len(texts)) if group[i] == i]
+
+
+def test_lines_are_cut_once_per_text(spark):
+    """The stage filters on the cut's counts; Spark may not cut again for the columns."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.createDataFrame([(1, "a b\nc", "en", "s", 5), (2, None, "en", "s", 0)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = pipeline.lines(spark, docs, FOLDER)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython ") == 1
+    assert sorted(map(tuple, left.collect())) == [(1, "a b\nc", "en", "s", 5), (2, None, "en", "s", 0)]
