@@ -135,25 +135,31 @@ def _sets(keyed: DataFrame, n: int) -> DataFrame:
                 [batch.column("doc_id"), batch.column("key"), pa.array([set_id(s) for s in sets], pa.int64()),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary()),
                  pa.array(nothing, pa.int32()), pa.array(nothing, pa.binary())], names=names)
-        parts = [x.tobytes() for x in counters.reshape(SLICES, -1)]
         nothing = [None] * SLICES
         yield pa.RecordBatch.from_arrays(
-            [pa.array(nothing, pa.int64())] * 4 + [pa.array(nothing, pa.binary()), pa.array(range(SLICES), pa.int32()),
-                                                   pa.array(parts, pa.binary())], names=names)
+            [pa.array(nothing, pa.int64())] * 4 + [pa.array(nothing, pa.binary()), *sliced(counters)], names=names)
 
     names = ["doc_id", "key", "sid", "size", "bits", "slice", "counts"]
     return keyed.mapInArrow(
         look, "doc_id long, key long, sid long, size long, bits binary, slice int, counts binary")
 
 
-def _common(counts: DataFrame) -> np.ndarray:
-    """Which counters are crowded. Slices are added up where they meet; their number is fixed."""
+def sliced(counters: np.ndarray) -> list[pa.Array]:
+    """The columns (slice, counts) of a task's counters, byte by byte of all of them, which compresses the upper ones."""
+    squeeze = zstandard.ZstdCompressor(1)
+    planes = (np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T) for x in counters.reshape(SLICES, -1))
+    return [pa.array(range(SLICES), pa.int32()), pa.array([squeeze.compress(x.tobytes()) for x in planes], pa.binary())]
+
+
+def total_counts(counts: DataFrame, counters: int = COUNTERS) -> np.ndarray:
+    """The tasks' counters, added up. Slices are added up where they meet; their number is fixed."""
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, part in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(part, np.uint32).astype(np.int64)
+                planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(part), np.uint8).reshape(4, -1)
+                part = np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
                 sums[k] = sums[k] + part if k in sums else part
         if sums:
             yield pa.RecordBatch.from_arrays(
@@ -161,10 +167,15 @@ def _common(counts: DataFrame) -> np.ndarray:
                 names=["slice", "counts"])
 
     summed = counts.repartitionById(SLICES, F.col("slice")).mapInArrow(add, "slice int, counts binary")
-    total = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
+    total = np.zeros((SLICES, counters // SLICES), np.int64)
     for row in summed.collect():
         total[row["slice"]] += np.frombuffer(row["counts"], np.int64)
-    total = total.ravel()
+    return total.ravel()
+
+
+def _common(counts: DataFrame) -> np.ndarray:
+    """Which counters are crowded."""
+    total = total_counts(counts)
     return total > CROWDED * max(total.mean(), 1.0)
 
 

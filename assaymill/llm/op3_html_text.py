@@ -8,8 +8,8 @@ such names too: outside an article, names that only say what a wrapper has (``ha
 count; an ``article`` or ``main`` inside a container named as a sidebar, notice, menu or the like
 is still the page's article if no other is marked; and where such menus, headers, widgets (not
 adverts, notices, sidebars, comments) hold all the open text, it stays open. Other text inside an ``article`` or ``main`` element that
-remains is main text: articles are copied between pages of one host and share sentences, so a
-repeat inside one proves nothing against it.
+remains is the article. Articles are copied between pages of one host and share sentences, so in
+them only the ranks below take out what most of the host's articles hold.
 
 All other text is open. The open text of a host's pages makes streams of words; equal ones are one
 stream, and streams whose sets of ``NEAR_WORDS``-word sequences have a Jaccard of ``NEAR_PERCENT`` or
@@ -20,7 +20,15 @@ or more that repeat. Of a host with D distinct pages that have ``long`` open wor
 is boilerplate if it occurs on ``share`` percent of them (rounded up) and on at least three; with D = 2
 on both; with D = 1 nothing is. Words covered by one are no main text. For a page without an article
 the open words that are left are its main text; for a page with an article they are dropped, but
-its open text still serves as evidence for its host. Hosts without a page that asks are not ranked.
+its open text still serves as evidence for its host. Open text of hosts whose pages all mark an
+article is not ranked, as none of it can be main text.
+
+The ranks judge the articles of every host as well, apart from open text: of a host with D different
+articles of ``long`` words or more, a sequence is boilerplate if it occurs on more than ``template``
+percent of them and on at least three; near copies are one occurrence, but count one by one in D, so
+they prove nothing against their text. Which words can lie in such a sequence at all is told first by
+a fixed number of counters of sequences; the ranks then see these words alone. The counters only save
+work: a counter is never less than the number of articles with a sequence.
 
 Defined results: null or empty html gives an empty text; a page with null page_id or url is
 extracted all the same (its host is ''); pages whose open text is equal or
@@ -36,12 +44,14 @@ import html as entities
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from .op1_ngram_join import ngram_components
-from .shared import map_arrow, staged, texts
+from .op1_ngram_join import ngram_components, sliced, total_counts
+from .shared import map_arrow, staged, texts, utf8
 from .suffixes import suffix_ranks
 
 # Element names of the HTML standard.
@@ -63,6 +73,11 @@ ASIDE_NAMES = re.compile(
 
 # Open streams that agree so far count as one page.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+# Hosts that share a slot share the least number of articles that any of them asks for, in the counters' test alone.
+HOST_SLOTS = 1 << 16
+# Counters of word sequences: a fixed size, whatever the corpus.
+COUNTERS = 1 << 21
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 # Outside an article: of these nothing is main text, not even an article inside; of these an article
 # inside may be; of the other names above, also the text if the page has no other.
@@ -226,30 +241,90 @@ def split_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return map_arrow(rows, cut, schema)
 
 
-def distinct_pages(streams: DataFrame, long: int, share: int) -> DataFrame:
+def _sequence_slots(host: bytes, text: bytes, long: int) -> np.ndarray:
+    """The counters of an article's sequences of ``long`` words, by their first word's place."""
+    words = text.split(b" ")
+    out, size = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)), 1
+    while size < long:
+        ahead = min(size, long - size)
+        out = out[:max(len(out) - ahead, 0)] * _MIX + out[ahead:]
+        out ^= out >> np.uint64(29)
+        size += ahead
+    out = (out ^ np.uint64(xxh3_64_intdigest(host))) * _MIX >> np.uint64(32)
+    return (out % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def asked_articles(articles: DataFrame, needs: DataFrame, long: int) -> DataFrame:
+    """(stream, host, text, ask): the articles that can hold boilerplate of their host, once each, and the
+    places of the words that can lie in it. Input: articles (stream, host, text), needs (host, need)."""
+    spark = articles.sparkSession
+
+    def count(batches):
+        counters = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for host, text in zip(utf8(batch.column("host")), utf8(batch.column("text"))):
+                counters[np.unique(_sequence_slots(host, text, long))] += 1
+        yield pa.RecordBatch.from_arrays(sliced(counters), names=["slice", "counts"])
+
+    total = total_counts(articles.select("host", "text").mapInArrow(count, "slice int, counts binary"), COUNTERS).astype(np.uint32)
+    slot = F.pmod(F.xxhash64("host"), F.lit(HOST_SLOTS)).cast("int").alias("slot")
+    found = needs.groupBy(slot).agg(F.min("need").alias("need")).toArrow()
+    least = np.full(HOST_SLOTS, np.iinfo(np.int64).max)
+    least[found.column("slot").to_numpy()] = found.column("need").to_numpy()
+    shared = spark.sparkContext.broadcast((total, least))
+
+    def pick(batch: pa.RecordBatch):
+        total, least = shared.value
+        columns = [utf8(batch.column("host")), utf8(batch.column("text")), batch.column("slot").to_pylist()]
+        ask = []
+        for host, text, slot in zip(*columns):
+            at = np.flatnonzero(total[_sequence_slots(host, text, long)] >= least[slot])
+            ask.append(np.unique(at[:, None] + np.arange(long)).tolist())
+        out = batch.select(["stream", "host", "text"]).append_column("ask", pa.array(ask, pa.list_(pa.int32())))
+        yield out.filter(pa.array([bool(x) for x in ask], pa.bool_()))
+
+    picked = map_arrow(articles.select("stream", "host", "text", slot), pick,
+                       "stream long, host string, text string, ask array<int>")
+    return picked.groupBy("stream").agg(*[F.first(c).alias(c) for c in ("host", "text", "ask")])
+
+
+def article_needs(articles: DataFrame, template: int) -> DataFrame:
+    """(host, need): on how many of a host's articles a sequence must occur to be boilerplate in them;
+    hosts with fewer articles than that have none. Input: (stream, host), repeats allowed."""
+    need = F.greatest(F.lit(3), F.floor(F.col("n") * template / 100) + 1).cast("long")
+    counted = articles.select("host", "stream").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("host", need.alias("need"), "n").where("n >= need").select("host", "need")
+
+
+def distinct_pages(streams: DataFrame, needs: DataFrame, long: int, share: int) -> DataFrame:
     """(stream, alike, need): which distinct page of its host a stream counts as, and on how many of
-    them a sequence must occur to be boilerplate. Input: (stream, host, open), one row per stream;
-    streams of fewer than ``long`` words cannot hold one and are left out."""
-    able = streams.where(F.size(F.split("open", " ")) >= long)
+    them a sequence must occur to be boilerplate. Input: (stream, host, article, text), one row per stream;
+    streams of fewer than ``long`` words cannot hold one and are left out. ``needs`` has those of articles."""
+    able = streams.where(F.size(F.split("text", " ")) >= long)
     # the host goes into each word, so that streams of different hosts share no sequence
-    mixed = able.select("stream", F.array_join(F.transform(F.split("open", " "), lambda w: F.concat(
-        w, F.lit("@"), F.hex(F.xxhash64("host")))), " ").alias("text"))
+    mixed = able.select("stream", F.array_join(F.transform(F.split("text", " "), lambda w: F.concat(
+        w, F.lit("@"), F.hex(F.xxhash64("host", "article")))), " ").alias("text"))
     alike = staged(ngram_components(mixed, NEAR_WORDS, NEAR_PERCENT, "stream", "text").select(
-        F.col("doc_id").alias("stream"), F.col("component_id").alias("alike")).join(able.select("stream", "host"), "stream"), "alike")
+        F.col("doc_id").alias("stream"), F.col("component_id").alias("alike")).join(
+            able.select("stream", "host", "article"), "stream"), "alike")
     # of three pages and more, one repeat may be a quotation
     least = F.when(F.col("n") < 3, F.lit(2)).otherwise(F.greatest(F.lit(3), F.ceil(F.col("n") * share / 100)))
-    hosts = staged(alike.select("host", "alike").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("host"), least.cast("long").alias("need")), "hosts")
-    return alike.join(hosts, "host").select("stream", "alike", "need")
+    hosts = staged(alike.where("NOT article").select("host", "alike").distinct().groupBy("host").agg(
+        F.count(F.lit(1)).alias("n")).select(F.col("host"), F.lit(False).alias("article"), least.cast("long").alias("need")).unionByName(
+            needs.select("host", F.lit(True).alias("article"), "need")), "hosts")
+    return alike.join(hosts, ["host", "article"]).select("stream", "alike", "need")
 
 
-def boilerplate_words(streams: DataFrame, long: int, share: int) -> DataFrame:
+def boilerplate_words(streams: DataFrame, needs: DataFrame, long: int, share: int) -> DataFrame:
     """(stream, at): positions of a stream's words inside word sequences of ``long`` words that are
-    boilerplate of its host. Input: (stream, host, open), one row per stream."""
-    pages = staged(distinct_pages(streams, long, share), "pages")
+    boilerplate of its host. Input: (stream, host, article, text, ask), one row per stream; ``ask``: the
+    places that may be (null: all); ``needs`` (host, need) for articles."""
+    pages = staged(distinct_pages(streams, needs, long, share), "pages")
+    asked = F.coalesce("ask", F.sequence(F.lit(0), F.size("words") - 1))
     symbols = (
-        streams.select("stream", "host", F.posexplode(F.split("open", " ")).alias("pos", "word"))
-        .select("stream", "pos", F.xxhash64("host", "word").alias("sym"))
+        streams.withColumn("words", F.split("text", " "))
+        .select("stream", "host", "article", "words", F.explode(asked).alias("pos"))
+        .select("stream", "pos", F.xxhash64("host", "article", F.get("words", F.col("pos"))).alias("sym"))
     )
     level = suffix_ranks(symbols, ["stream"], long)
     # an interval of the suffix array counts if its suffixes lie on enough distinct pages
@@ -264,30 +339,34 @@ def boilerplate_words(streams: DataFrame, long: int, share: int) -> DataFrame:
 
 
 def extract_text(pages: DataFrame, long: int = 8, id_col: str = "page_id", url_col: str = "url",
-                 html_col: str = "html", share: int = 10) -> DataFrame:
+                 html_col: str = "html", share: int = 10, template: int = 50) -> DataFrame:
     """(page_id, url, text, n_chars, from_article) for every row of ``pages``."""
-    cut = split_pages(pages, id_col, url_col, html_col)
-    # only open text is staged and compared; articles go straight from their page to the result,
-    # which costs a second reading of the pages and spares moving their texts
-    open_text = staged(
-        cut.where(F.col("open") != "").select(
-            "page", "host", "open", "url", F.xxhash64("host", "open").alias("stream"),
-            F.col("main").isNull().alias("unmarked")), "open")
+    # pages are read once; their texts are staged, and move only if they may hold boilerplate
+    cut = staged(split_pages(pages, id_col, url_col, html_col).select(
+        "page", "url", "host", "main", "open", F.xxhash64("host", "main", F.lit("article")).alias("stream")), "cut")
+    open_text = cut.where(F.col("open") != "").select(
+        "page", "host", "open", "url", F.xxhash64("host", "open").alias("stream"), F.col("main").isNull().alias("unmarked"))
     asking = staged(open_text.where("unmarked").select("host").distinct(), "asking")
-    streams = staged(open_text.join(asking, "host", "left_semi").groupBy("stream").agg(
-        F.first("host").alias("host"), F.first("open").alias("open")), "streams")
-    covered = boilerplate_words(streams, long, share)
-    left = (
-        open_text.where("unmarked").join(covered, "stream", "left")
-        .select("page", "url", F.array_join(_uncovered("open", "at"), " ").alias("text"))
-    )
-    marked = cut.where(F.col("main").isNotNull() | (F.col("open") == "")).select(
-        "page", "url", F.coalesce("main", F.lit("")).alias("text"), F.col("main").isNotNull().alias("from_article"))
-    return marked.unionByName(left.withColumn("from_article", F.lit(False))).select(
+    open_streams = open_text.join(asking, "host", "left_semi").groupBy("stream").agg(
+        F.first("host").alias("host"), F.first("open").alias("text"))
+    articles = cut.where(F.size(F.split("main", " ")) >= long).select("stream", "host", F.col("main").alias("text"))
+    needs = staged(article_needs(articles, template), "needs")
+    streams = staged(
+        open_streams.select("stream", "host", F.lit(False).alias("article"), "text", F.lit(None).cast("array<int>").alias("ask"))
+        .unionByName(asked_articles(articles, needs, long).withColumn("article", F.lit(True))), "streams")
+    covered = staged(boilerplate_words(streams, needs, long, share), "covered")
+    left = _uncovered(open_text.where("unmarked").join(covered, "stream", "left"), "open").select(
+        "page", "url", "text", F.lit(False).alias("from_article"))
+    marked = _uncovered(cut.where(F.col("main").isNotNull() | (F.col("open") == "")).join(covered, "stream", "left"), "main").select(
+        "page", "url", "text", F.col("main").isNotNull().alias("from_article"))
+    return marked.unionByName(left).select(
         F.col("page").alias("page_id"), "url", "text", F.length("text").cast("bigint").alias("n_chars"), "from_article")
 
 
-def _uncovered(open_: str, at: str):
-    words = F.split(F.col(open_), " ")
-    places = F.array_except(F.sequence(F.lit(0), F.size(words) - 1), F.coalesce(F.col(at), F.array().cast("array<int>")))
-    return F.transform(places, lambda i: F.get(words, i))
+def _uncovered(pages: DataFrame, column: str) -> DataFrame:
+    """``pages`` with ``text``: the words of ``column`` that don't stand at ``at`` (null: all of them)."""
+    # the words are split once, before the lambda that looks them up
+    split = pages.withColumn("words", F.when(F.col("at").isNotNull(), F.split(column, " ")))
+    places = F.array_except(F.sequence(F.lit(0), F.size("words") - 1), "at")
+    left = F.array_join(F.transform(places, lambda i: F.get("words", i)), " ")
+    return split.withColumn("text", F.when(F.col("at").isNull(), F.coalesce(column, F.lit(""))).otherwise(left))

@@ -238,6 +238,45 @@ def test_copies_and_quotes_on_unmarked_pages_stay(spark):
     assert [out[i] for i in range(len(pages))] == expected
 
 
+def brute_articles(pages, long=8, template=50):
+    """Texts of marked pages, given as (host, words)."""
+    out = []
+    for host, own in pages:
+        rest = {tuple(w) for h, w in pages if h == host and len(w) >= long}
+        need = max(3, len(rest) * template // 100 + 1)
+        groups = []
+        for w in rest:
+            s = {w[i:i + 5] for i in range(len(w) - 4)}
+            ties = [g for g in groups if any(100 * len(s & o) >= 80 * len(s | o) for _, o in g)]
+            groups = [g for g in groups if not any(g is t for t in ties)] + [[(w, s), *sum(ties, [])]]
+        count = collections.Counter(x for g in groups for x in {w[i:i + long] for w, _ in g for i in range(len(w) - long + 1)})
+        gone = {i + k for i in range(len(own) - long + 1) if count[tuple(own[i:i + long])] >= need for k in range(long)}
+        out.append(" ".join(w for i, w in enumerate(own) if i not in gone))
+    return out
+
+
+def test_ranks_judge_articles_too(spark):
+    """What most articles of a host hold goes; copies, near copies, quotes and shared paragraphs stay."""
+    ship(spark)
+    notice, quote, short = [f"notice{k}" for k in range(10)], [f"quote{k}" for k in range(9)], [f"s{k}" for k in range(7)]
+    body = [numbered(60, 150 + i) for i in range(12)]
+    near = [[*body[0][:k], "edited", *body[0][k + 1:]] for k in (10, 20, 30)]
+    pages = [("copies", body[0])] * 4 + [("copies", w) for w in near]                       # one article
+    pages += [("two", body[1] + notice), ("two", notice + body[2])]
+    pages += [("three", body[3] + notice), ("three", body[4][:30] + notice + body[4][30:]), ("three", notice + body[5])]
+    pages += [("most", b + (notice if i < 5 else []) + (quote if i < 4 else []) + short) for i, b in enumerate(body[:8])] + [("most", body[0] + notice + quote + short)]
+    pages += [("other", body[3] + notice), ("short", ["too", "short"]), ("short", ["too", "short"])]
+    expected = brute_articles(pages)
+    assert expected[:9] == [" ".join(w) for _, w in pages[:9]] and expected[9:12] == [" ".join(w) for w in body[3:6]]
+    assert "notice0" not in expected[12] and "quote0" in expected[12] and "s0" in expected[12]
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", f"<body><p>beside</p><article><p>{' '.join(w)}</p></article></body>") for i, (h, w) in enumerate(pages)],
+                               "page_id long, url string, html string")
+    out = {r["page_id"]: r for r in op3.extract_text(df).collect()}
+    assert [out[i]["text"] for i in range(len(pages))] == expected
+    assert all(r["from_article"] for r in out.values())
+
+
+
 def test_line_frequency(spark, docs, texts, empty):
     for r in op4.line_frequency_rules(docs.where("doc_id IS NOT NULL")).collect():
         t = texts[r["doc_id"]] or ""
