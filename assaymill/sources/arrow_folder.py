@@ -3,7 +3,8 @@
 ``assaymill_arrow`` shows what a custom source and sink need, and is one. A write leaves one Arrow file
 per task under names that nobody reads yet; when all tasks are done, the driver writes a manifest that
 names the files of the table. So readers see all of a write or nothing of it, repeated and failed
-tasks leave no rows, and an aborted write removes its files. Reads are planned from the manifest:
+tasks leave no rows, and an aborted write removes its files. A write lasts as long as its mark stands in the
+folder: tasks that Spark is still ending when the driver has cleaned up leave no file. Reads are planned from the manifest:
 files become partitions of about ``rows_per_partition`` rows, and filters on columns whose least and
 greatest values the manifest keeps skip whole files.
 
@@ -17,6 +18,7 @@ executors.
 
 from __future__ import annotations
 
+import contextlib
 import json
 import sys
 import uuid
@@ -68,7 +70,8 @@ def _remove(path: str, names: Sequence[str]) -> None:
     system, root = _located(path)
     for name in names:
         if system.get_file_info(f"{root.rstrip('/')}/{name}").type != fs.FileType.NotFound:
-            system.delete_file(f"{root.rstrip('/')}/{name}")
+            with contextlib.suppress(FileNotFoundError):  # a task and the driver may remove the same file
+                system.delete_file(f"{root.rstrip('/')}/{name}")
 
 
 @dataclass
@@ -101,6 +104,20 @@ class ArrowFolderWriter(DataSourceArrowWriter):
     def __init__(self, path: str, schema: StructType, overwrite: bool):
         self.path, self.schema, self.overwrite = path, schema, overwrite
         self.write_id = uuid.uuid4().hex
+        self.mark = f"_open-{self.write_id}"
+
+    def begin(self) -> ArrowFolderWriter:
+        system, root = _located(self.path)
+        system.create_dir(root, recursive=True)
+        system.open_output_stream(f"{root.rstrip('/')}/{self.mark}").close()
+        return self
+
+    def _drop_if_ended(self, name: str) -> None:
+        """A write that has ended takes no more files."""
+        system, root = _located(self.path)
+        if system.get_file_info(f"{root.rstrip('/')}/{self.mark}").type == fs.FileType.NotFound:
+            _remove(self.path, [name])
+            raise RuntimeError(f"the write {self.write_id} has ended")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         task = TaskContext.get()
@@ -111,8 +128,10 @@ class ArrowFolderWriter(DataSourceArrowWriter):
         try:
             for batch in iterator:
                 if writer is None:
+                    self._drop_if_ended(name)
                     sink = system.open_output_stream(f"{root.rstrip('/')}/{name}")
                     writer = pa.ipc.new_file(sink, batch.schema)
+                    self._drop_if_ended(name)
                 writer.write_batch(batch)
                 rows += batch.num_rows
                 low, high = _bounds(pa.Table.from_batches([batch]))
@@ -123,6 +142,7 @@ class ArrowFolderWriter(DataSourceArrowWriter):
             if writer is not None:
                 writer.close()
                 sink.close()
+                self._drop_if_ended(name)  # some stores show a file only once it is closed
         return WrittenFile(name if writer is not None else "", rows, least, greatest)
 
     def commit(self, messages: list[WrittenFile | None]) -> None:
@@ -138,10 +158,11 @@ class ArrowFolderWriter(DataSourceArrowWriter):
         self._clean(keep=set(), drop=[])
 
     def _clean(self, keep: set[str], drop: list[str]) -> None:
-        """Remove what attempts of this write left and nobody committed, and what an overwrite replaced."""
+        """End the write; remove what attempts of it left and nobody committed, and what an overwrite replaced."""
         system, root = _located(self.path)
         if system.get_file_info(root).type == fs.FileType.NotFound:
             return
+        _remove(self.path, [self.mark])
         left = [f.base_name for f in system.get_file_info(fs.FileSelector(root))
                 if f.base_name.startswith(f"part-{self.write_id}-") and f.base_name not in keep]
         _remove(self.path, left + drop)
@@ -217,7 +238,7 @@ class ArrowFolder(DataSource):
         return ArrowFolderReader(self._path(), int(self.options.get("rows_per_partition", _ROWS)))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return ArrowFolderWriter(self._path(), schema, overwrite)
+        return ArrowFolderWriter(self._path(), schema, overwrite).begin()
 
 
 def register_sources(spark: SparkSession) -> None:

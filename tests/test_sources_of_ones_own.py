@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from assaymill.functions import convert, map_values, severity, standardize, to_t
 from assaymill.functions.registry import register_functions
 from assaymill.operators.matching import best_assignment, match_columns, weight, with_schema_names
 from assaymill.plans.recipe import infer_column_mapping
+from assaymill.sources import arrow_folder
 from assaymill.sources.arrow_folder import FORMAT, read_manifest, register_sources
 from assaymill.specs import RESULTS, ColumnSpec, TableSpec
 
@@ -57,6 +59,24 @@ def test_an_aborted_write_leaves_nothing(source, tmp_path):
     assert source.read.format(FORMAT).load(str(tmp_path / "t")).count() == 5
 
 
+@pytest.mark.parametrize("abort_at", [0, 1])
+def test_a_task_that_outlives_its_write_leaves_nothing(source, tmp_path, monkeypatch, abort_at):
+    """The driver cleans up before the task opens its file, or between two of its batches."""
+    context = type("Context", (), {"partitionId": lambda self: 1, "taskAttemptId": lambda self: 7})()
+    monkeypatch.setattr(arrow_folder.TaskContext, "get", classmethod(lambda cls: context))
+    writer = arrow_folder.ArrowFolderWriter(str(tmp_path / "t"), source.range(1).schema, False).begin()
+
+    def batches():
+        for i in range(2):
+            if i == abort_at:
+                writer.abort([])
+            yield pa.RecordBatch.from_pydict({"id": [i]})
+
+    with pytest.raises(RuntimeError, match="has ended"):
+        writer.write(batches())
+    assert os.listdir(tmp_path / "t") == []
+
+
 def test_files_are_skipped_by_their_bounds(source, tmp_path):
     save(source.range(1000).repartitionByRange(5, "id").withColumn("name", F.concat(F.lit("n"), F.lpad("id", 4, "0"))), tmp_path / "t")
 
